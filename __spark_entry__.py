@@ -32,7 +32,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.repartition(cores) if documents.rdd.getNumPartitions() < cores else documents
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.as_lines(sources.document_bigrams(_documents(spark, sf_dir)))
 
 
@@ -50,7 +50,7 @@ def _stop_words(spark: SparkSession, workspace: Workspace) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.clean_ngrams(_lines(spark, sf_dir), STOP_WORDS, language="english")
+    return plans.clean_ngrams(ngram_lines(spark, sf_dir), STOP_WORDS, language="english")
 
 
 def _stored_pairs(spark: SparkSession, sf_dir: str, workspace: Workspace) -> DataFrame:
@@ -60,14 +60,14 @@ def _stored_pairs(spark: SparkSession, sf_dir: str, workspace: Workspace) -> Dat
 def _scores(spark: SparkSession, sf_dir: str, workspace: Workspace | None = None) -> DataFrame:
     workspace = workspace or Workspace(spark)
     counts = plans.count_pairs(
-        _lines(spark, sf_dir), STOP_WORDS, language="english", workspace=workspace
+        ngram_lines(spark, sf_dir), STOP_WORDS, language="english", workspace=workspace
     )
     return plans.score_pairs(counts, workspace=workspace, validate=False)
 
 
 def _selected(spark: SparkSession, sf_dir: str, ordered: bool = False, **choices) -> DataFrame:
     return plans.collocations(
-        spark, _lines(spark, sf_dir), language="english", stop_words=STOP_WORDS,
+        spark, ngram_lines(spark, sf_dir), language="english", stop_words=STOP_WORDS,
         min_npmi=MIN_NPMI, rel_min_npmi=REL_MIN_NPMI, ordered=ordered, **choices,
     )
 
@@ -83,13 +83,13 @@ def _rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 def ngram_scan(spark, sf_dir):
     path = Workspace(spark).new_path("ngrams")
-    _lines(spark, sf_dir).write.text(path)
+    ngram_lines(spark, sf_dir).write.text(path)
     return sources.read_ngrams(spark, path)
 
 
 def sequence_scan(spark, sf_dir):
     path = Workspace(spark).new_path("ngrams-sequence")
-    _lines(spark, sf_dir).rdd.map(lambda row: (0, row.value)).saveAsSequenceFile(path)
+    ngram_lines(spark, sf_dir).rdd.map(lambda row: (0, row.value)).saveAsSequenceFile(path)
     return sources.read_ngrams(spark, path, format="sequence")
 
 
@@ -98,13 +98,13 @@ def malformed_rows(spark, sf_dir):
     one_word = documents.select(F.col("lang").alias("value"))
     no_count = documents.select(F.concat("lang", F.lit(" words 1990")).alias("value"))
     zero_count = documents.select(F.concat("lang", F.lit(" words 1990 0")).alias("value"))
-    lines = _lines(spark, sf_dir).union(one_word).union(no_count).union(zero_count)
+    lines = ngram_lines(spark, sf_dir).union(one_word).union(no_count).union(zero_count)
     kept = op.keep_language(sources.split_ngrams(lines, "DROPMALFORMED"), "english")
     return op.reject_malformed(kept, "DROPMALFORMED")
 
 
 def english_words(spark, sf_dir):
-    return op.keep_language(sources.split_ngrams(_lines(spark, sf_dir)), "english")
+    return op.keep_language(sources.split_ngrams(ngram_lines(spark, sf_dir)), "english")
 
 
 def hebrew_words(spark, sf_dir):
@@ -120,18 +120,18 @@ def decade_bucket(spark, sf_dir):
 
 
 def row_sample(spark, sf_dir):
-    return sources.split_ngrams(op.sample_rows(_lines(spark, sf_dir), SAMPLE, seed=7))
+    return sources.split_ngrams(op.sample_rows(ngram_lines(spark, sf_dir), SAMPLE, seed=7))
 
 
 def row_sample_hash(spark, sf_dir):
-    return sources.split_ngrams(op.sample_rows_by_hash(_lines(spark, sf_dir), SAMPLE))
+    return sources.split_ngrams(op.sample_rows_by_hash(ngram_lines(spark, sf_dir), SAMPLE))
 
 
 # --- counts ------------------------------------------------------------------
 
 
 def pair_counts(spark, sf_dir):
-    return plans.count_pairs(_lines(spark, sf_dir), STOP_WORDS, language="english")
+    return plans.count_pairs(ngram_lines(spark, sf_dir), STOP_WORDS, language="english")
 
 
 def pair_counts_reload(spark, sf_dir):
@@ -165,7 +165,7 @@ def duplicate_pairs(spark, sf_dir):
 def degenerate_pairs(spark, sf_dir):
     workspace = Workspace(spark)
     solo = spark.range(1).select(F.lit("solo pair\t1500\t7").alias("value"))
-    lines = _lines(spark, sf_dir).union(solo)
+    lines = ngram_lines(spark, sf_dir).union(solo)
     counts = plans.count_pairs(lines, STOP_WORDS, language="english", workspace=workspace)
     return op.whole_decade_pairs(counts).select("decade", "w1", "w2", "c12", "n")
 

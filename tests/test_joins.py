@@ -1,0 +1,124 @@
+"""Broadcast only what was measured small, and the other way beyond it."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordbond import Workspace
+from wordbond.operators import (
+    attach_decade_total, attach_left_marginal, attach_right_marginal, broadcast_if_small,
+    drop_stop_words, marginals,
+)
+from wordbond.sources import split_ngrams
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One word holds a third of the pairs in each slot, one decade most of them."""
+    number = F.col("id")
+    table = spark.range(6000).select(
+        F.when(number % 7 == 0, 1900).otherwise(1980).alias("decade"),
+        F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), number)).alias("w1"),
+        F.when(number % 3 == 1, "hot").otherwise(F.concat(F.lit("v"), number)).alias("w2"),
+        (number % 9 + 1).alias("c12"),
+    )
+    workspace = Workspace(spark)
+    pairs = workspace.store(table, "skewed")
+    return pairs, marginals(pairs, workspace)
+
+
+def expected(pairs, keys):
+    totals, rows = {}, [row.asDict() for row in pairs.collect()]
+    for row in rows:
+        key = tuple(row[name] for name in keys)
+        totals[key] = totals.get(key, 0) + row["c12"]
+    return sorted((*row.values(), totals[tuple(row[name] for name in keys)]) for row in rows)
+
+
+LIMITS = {
+    "broadcast": {},
+    "shuffled": {"broadcast_bytes": 0},
+    "split": {"broadcast_bytes": 0, "split_rows": 100},
+    "few hot keys": {"broadcast_bytes": 0, "split_rows": 100, "max_hot_keys": 3},
+    "all keys hot": {"broadcast_bytes": 0, "split_rows": 0},
+}
+
+
+@pytest.mark.parametrize("limits", LIMITS.values(), ids=LIMITS)
+@pytest.mark.parametrize("attach, keys, name", [
+    (attach_decade_total, ["decade"], "n"),
+    (attach_left_marginal, ["decade", "w1"], "c1"),
+    (attach_right_marginal, ["decade", "w2"], "c2"),
+])
+def test_totals_are_the_same_on_every_path(skewed, attach, keys, name, limits):
+    pairs, counted = skewed
+    attached = attach(pairs, counted, **limits).select(*pairs.columns, name)
+    assert sorted(tuple(row) for row in attached.collect()) == expected(pairs, keys)
+
+
+def test_small_totals_are_broadcast(skewed, plan_of):
+    pairs, counted = skewed
+    plan = plan_of(attach_left_marginal(pairs, counted))
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_large_totals_are_shuffled_with_the_hot_keys_split(spark, skewed, plan_of):
+    pairs, counted = skewed
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = plan_of(attach_left_marginal(pairs, counted, broadcast_bytes=0))
+        assert "BroadcastHashJoin" not in plain and "salt" not in plain
+        split = attach_left_marginal(pairs, counted, broadcast_bytes=0, split_rows=100)
+        assert "SortMergeJoin [decade" in plan_of(split) and "salt" in plan_of(split)
+        sizes = [row["count"] for row in split.groupBy(F.spark_partition_id()).count().collect()]
+        # 2,000 rows share the word "hot"; unsplit they would sit in two partitions.
+        assert len(sizes) > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_split_keys_spread_over_partitions(spark, skewed):
+    pairs, counted = skewed
+    saved = {
+        name: spark.conf.get(name)
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def largest(**limits):
+            joined = attach_left_marginal(pairs, counted, broadcast_bytes=0, **limits)
+            return max(
+                row["count"]
+                for row in joined.filter("w1 = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+            )
+
+        assert largest() >= 1700
+        assert largest(split_rows=50) < 700
+    finally:
+        for name, value in saved.items():
+            spark.conf.set(name, value)
+
+
+def test_broadcast_only_within_the_limit(spark, plan_of):
+    words = spark.createDataFrame([(f"w{i}",) for i in range(1000)], "word string")
+    table = spark.range(10).select(F.concat(F.lit("w"), "id").alias("word"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = table.join(broadcast_if_small(words), "word")
+        large = table.join(broadcast_if_small(words, max_bytes=1000), "word")
+        assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" not in plan_of(large)
+        assert small.count() == large.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_empty_tables(spark, workspace):
+    empty = spark.createDataFrame([], "decade int, w1 string, w2 string, c12 bigint")
+    assert attach_left_marginal(empty, marginals(empty, workspace)).count() == 0
+
+
+def test_stop_words_are_two_broadcast_anti_joins(spark, lines, plan_of):
+    words = spark.createDataFrame([("the",)], "word string")
+    plan = plan_of(drop_stop_words(split_ngrams(lines("a b 1990 1")), words))
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("LeftAnti") == 2

@@ -1,0 +1,99 @@
+"""Whole runs against brute force, and rules that hold for any input."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests import brute_force
+from wordbond import collocations, count_pairs, score_pairs
+
+STOP_WORDS = ("the", "of")
+
+
+def random_lines(seed, size=400):
+    chance = random.Random(seed)
+    words = ["Tea", "tea", "cup", "ship", "old", "the", "of", "x1", "sea", "ice", "hot", "new"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+
+    def word():
+        return chance.choices(words, weights)[0]
+
+    return [
+        f"{word()} {word()}\t{chance.choice([1761, 1875, 1879, 1985, 1990, 2004])}\t{chance.randint(1, 30)}\t1\t1"
+        for _ in range(size)
+    ]
+
+
+def scored(df):
+    counts = count_pairs(df, STOP_WORDS, language="english")
+    return {
+        (r.decade, r.w1, r.w2): (r.c12, r.n, r.c1, r.c2, r.npmi) for r in score_pairs(counts).collect()
+    }
+
+
+def close(a, b):
+    return a.keys() == b.keys() and all(
+        a[k][:4] == b[k][:4] and a[k][4] == pytest.approx(b[k][4], abs=1e-9) for k in a
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_scores_against_brute_force(lines, seed):
+    texts = random_lines(seed)
+    assert close(scored(lines(*texts)), brute_force.scores(texts, stop_words=STOP_WORDS))
+
+
+@pytest.mark.parametrize("scope, buckets", [("decade", None), ("running", 11), ("running", 1)])
+def test_selection_against_brute_force(spark, lines, scope, buckets):
+    texts = random_lines(3)
+    found = brute_force.scores(texts, stop_words=STOP_WORDS)
+    kept = collocations(
+        spark, lines(*texts), language="english", stop_words=STOP_WORDS, min_npmi=0.12,
+        rel_min_npmi=0.03, total_scope=scope, buckets=buckets or 11,
+    )
+    assert {(r.decade, r.w1, r.w2) for r in kept.collect()} == brute_force.kept(found, 0.12, 0.03, buckets)
+
+
+def test_order_partitioning_and_split_counts_change_nothing(lines):
+    texts = random_lines(4)
+    expected = scored(lines(*texts))
+    shuffled = texts[:]
+    random.Random(0).shuffle(shuffled)
+    assert close(scored(lines(*shuffled).repartition(13)), expected)
+    halves = []
+    for text in texts:
+        pair, year, count, *_ = text.split("\t")
+        parts = [int(count) // 2, int(count) - int(count) // 2]
+        halves += [f"{pair}\t{year}\t{part}" for part in parts if part]
+    assert close(scored(lines(*halves)), expected)
+
+
+def test_sums_agree(lines):
+    counts = count_pairs(lines(*random_lines(5)), STOP_WORDS, language="english")
+    by_decade = counts.groupBy("decade").agg(F.sum("c12").alias("sum"), F.max("n").alias("n"), F.min("n").alias("m"))
+    by_left = counts.groupBy("decade", "w1").agg(F.sum("c12").alias("sum"), F.max("c1").alias("n"), F.min("c1").alias("m"))
+    for totals in (by_decade, by_left):
+        assert totals.filter("sum != n or n != m").count() == 0
+    scores = score_pairs(counts)
+    by_right = scores.groupBy("decade", "w2").agg(F.sum("c12").alias("sum"), F.max("c2").alias("n"))
+    assert by_right.filter("sum > n").count() == 0
+    assert scores.filter("npmi > 1 + 1e-9 or npmi < -1 - 1e-9").count() == 0
+
+
+def test_swapping_the_words_swaps_the_marginals(lines):
+    texts = random_lines(6)
+    swapped = []
+    for text in texts:
+        pair, rest = text.split("\t", 1)
+        w1, w2 = pair.split(" ")
+        swapped.append(f"{w2} {w1}\t{rest}")
+    there, back = scored(lines(*texts)), scored(lines(*swapped))
+    assert close(there, {
+        (d, w1, w2): (c12, n, c2, c1, score) for (d, w2, w1), (c12, n, c1, c2, score) in back.items()
+    })
+
+
+def test_a_third_of_all_rows_with_one_word(lines):
+    texts = random_lines(7, 200) + [f"hot w{chr(97 + i % 26)}{chr(97 + i // 26)}\t1985\t{i + 1}" for i in range(100)]
+    assert close(scored(lines(*texts)), brute_force.scores(texts, stop_words=STOP_WORDS))

@@ -1,0 +1,58 @@
+"""Every registered query against its SQL twin in DuckDB."""
+
+import math
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as spark_entry
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def canonical(rows, names):
+    places = sorted(range(len(names)), key=lambda i: names[i])
+
+    def text(value):
+        return repr(value + 0.0) if isinstance(value, float) and not math.isnan(value) else str(value)
+
+    return sorted(tuple(text(row[i]) for i in places) for row in rows)
+
+
+@pytest.mark.parametrize("name", [name for name in QUERIES if name in SQL])
+def test_query_equals_sql(spark, duck, name):
+    ours = QUERIES[name](spark, SF_DIR)
+    theirs = duck.execute(SQL[name])
+    names = [column[0] for column in theirs.description]
+    assert sorted(ours.columns) == sorted(names)
+    expected = canonical(theirs.fetchall(), names)
+    assert expected
+    assert canonical([tuple(row) for row in ours.collect()], ours.columns) == expected
+
+
+def test_only_the_random_sample_has_no_sql():
+    assert set(QUERIES) - set(SQL) == {"row_sample"}
+    assert set(SQL) <= set(QUERIES)
+
+
+def test_random_sample_is_a_part_of_the_rows(spark):
+    every = QUERIES["ngram_scan"](spark, SF_DIR).count()
+    part = QUERIES["row_sample"](spark, SF_DIR).count()
+    assert 0.23 * every < part < 0.27 * every
+
+
+def test_entry_is_ordered(spark):
+    rows = [(r.decade, -r.npmi) for r in spark_entry.entry(spark).collect()]
+    assert rows and rows == sorted(rows)

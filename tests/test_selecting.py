@@ -1,0 +1,86 @@
+"""Upper bound, self pairs, repeated rows and the best rows of each decade."""
+
+import random
+
+import pytest
+
+from wordbond import top_collocations
+from wordbond.operators import (
+    drop_high_scores, drop_repeated_scores, order_collocations, order_counts, order_scores,
+    top_k_per_decade,
+)
+
+SCORES = "decade int, w1 string, w2 string, npmi double"
+NAN = float("nan")
+
+
+def rows(df):
+    return [tuple(row)[:4] for row in df.select("decade", "w1", "w2", "npmi").collect()]
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """2,000 rows in two decades with few different scores, so ties decide."""
+    chance = random.Random(3)
+    table = [
+        (decade, f"w{i:04d}", f"v{chance.randrange(50)}", chance.randrange(20) / 20)
+        for decade, size in ((1980, 1900), (1990, 100)) for i in range(size)
+    ]
+    return table, spark.createDataFrame(table, SCORES).repartition(5)
+
+
+@pytest.mark.parametrize("k", [1, 10, 150, 1500])
+def test_top_k_against_sorting(many, k):
+    table, frame = many
+    expected = []
+    for decade in (1980, 1990):
+        ranked = sorted((r for r in table if r[0] == decade), key=lambda r: (-r[3], r[1], r[2]))
+        expected += ranked[:k]
+    assert rows(order_collocations(top_k_per_decade(frame, k))) == expected
+
+
+def test_top_k_cuts_rows_before_the_shuffle(many, plan_of):
+    plan = plan_of(top_k_per_decade(many[1], 10))
+    assert plan.count("WindowGroupLimit") == 4
+
+
+def test_upper_bound_keeps_nan(spark):
+    frame = spark.createDataFrame([(1980, "a", "b", 0.5), (1980, "c", "d", 0.9), (1980, "e", "f", NAN)], SCORES)
+    assert {row.w1 for row in drop_high_scores(frame, 0.6).collect()} == {"a", "e"}
+    assert drop_high_scores(frame, None).count() == 3
+
+
+def test_repeats_do_not_use_up_places(spark):
+    frame = spark.createDataFrame(
+        [(1980, "a", "b", 0.9)] * 5 + [(1980, "c", "d", 0.8), (1980, "e", "f", 0.7)], SCORES
+    )
+    assert [r[1] for r in rows(top_collocations(frame, 2))] == ["a", "c"]
+    assert [r[1] for r in rows(top_collocations(frame, 2, deduplicate=False))] == ["a", "a"]
+    assert drop_repeated_scores(frame).count() == 3
+
+
+def test_same_pair_with_another_score_is_no_repeat(spark):
+    frame = spark.createDataFrame([(1980, "a", "b", 0.9), (1980, "a", "b", 0.8)], SCORES)
+    assert drop_repeated_scores(frame).count() == 2
+
+
+def test_self_pairs_go_unless_asked_for(spark):
+    frame = spark.createDataFrame([(1980, "a", "a", 0.9), (1980, "a", "b", 0.8)], SCORES)
+    assert len(rows(top_collocations(frame, 5))) == 1
+    assert len(rows(top_collocations(frame, 5, drop_self_pairs=False))) == 2
+
+
+def test_orders(spark):
+    frame = spark.createDataFrame([
+        (1990, "a", "a", 0.1), (1980, "b", "a", 0.2), (1980, "a", "b", 0.2), (1980, "a", "c", NAN),
+        (1980, "c", "a", 0.9),
+    ], SCORES)
+    assert [r[:3] for r in rows(order_counts(frame))] == [
+        (1980, "a", "b"), (1980, "a", "c"), (1980, "b", "a"), (1980, "c", "a"), (1990, "a", "a"),
+    ]
+    assert [r[:3] for r in rows(order_scores(frame))] == [
+        (1980, "b", "a"), (1980, "c", "a"), (1980, "a", "b"), (1980, "a", "c"), (1990, "a", "a"),
+    ]
+    assert [r[:3] for r in rows(order_collocations(frame))] == [
+        (1980, "a", "c"), (1980, "c", "a"), (1980, "a", "b"), (1980, "b", "a"), (1990, "a", "a"),
+    ]

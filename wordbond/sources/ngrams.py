@@ -57,18 +57,15 @@ def split_ngrams(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     # every filter and column above it: the split runs once per record.
     tokens = F.split(F.col("value"), r"\s+", _SPLIT_LIMIT)
     records = lines.select(F.explode(F.array(tokens)).alias("t"))
-    w2 = F.get("t", F.lit(1))
     # Empty tokens can only be the first or the last of a record.
-    too_short = F.coalesce(w2, F.lit("")) == ""
-    if mode == "DROPMALFORMED":
-        records = records.filter(~too_short)
-    else:
-        w2 = F.when(
-            too_short, F.raise_error(F.lit("malformed n-gram row: fewer than two words"))
-        ).otherwise(w2)
-    return records.select(
+    long_enough = F.coalesce(F.get("t", F.lit(1)), F.lit("")) != ""
+    if mode == "FAILFAST":
+        long_enough = F.when(long_enough, True).otherwise(
+            F.raise_error(F.lit("malformed n-gram row: fewer than two words"))
+        )
+    return records.filter(long_enough).select(
         F.get("t", F.lit(0)).alias("w1"),
-        w2.alias("w2"),
+        F.get("t", F.lit(1)).alias("w2"),
         F.get("t", F.lit(2)).try_cast("int").alias("year"),
         F.get("t", F.lit(3)).try_cast("bigint").alias("match_count"),
     )
