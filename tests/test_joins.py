@@ -122,3 +122,31 @@ def test_stop_words_are_two_broadcast_anti_joins(spark, lines, plan_of):
     words = spark.createDataFrame([("the",)], "word string")
     plan = plan_of(drop_stop_words(split_ngrams(lines("a b 1990 1")), words))
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("LeftAnti") == 2
+
+
+def test_hot_words_are_split_when_the_stop_list_is_too_large_to_broadcast(spark, plan_of):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    saved = {name: spark.conf.get(name) for name in settings}
+    number = F.col("id")
+    table = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), number)).alias("w1"),
+        F.concat(F.lit("v"), number % 1000).alias("w2"),
+    )
+    words = spark.range(0, 500).select(F.concat(F.lit("v"), F.col("id") * 2).alias("word"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        kept = drop_stop_words(table, words, broadcast_bytes=0)
+        assert kept.filter("w1 = 'hot'").count() == 10_000
+        kept.collect()
+        plan = plan_of(kept)
+        assert "isFinalPlan=true" in plan and "skew=true" in plan and plan.count("LeftAnti") >= 2
+    finally:
+        for name, value in saved.items():
+            spark.conf.set(name, value)

@@ -1,10 +1,10 @@
 from .cleaning import drop_stop_words, keep_language, reject_malformed, with_decade
 from .counting import (
-    Marginals, attach_decade_total, attach_left_marginal, attach_right_marginal,
+    Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
     count_pairs_per_decade, count_rollup, decade_totals, duplicate_pairs, marginals,
     require_unique_pairs,
 )
-from .joining import attach_totals, broadcast_if_small
+from .joining import attach_totals, broadcast_if_small, local_table, store_totals
 from .ordering import order_collocations, order_counts, order_scores
 from .sampling import sample_rows, sample_rows_by_hash
 from .scoring import (
@@ -16,12 +16,12 @@ from .selecting import (
 )
 
 __all__ = [
-    "Marginals", "attach_decade_total", "attach_left_marginal", "attach_right_marginal",
+    "Marginal", "attach_decade_total", "attach_left_marginal", "attach_right_marginal",
     "attach_totals", "broadcast_if_small", "count_pairs_per_decade", "count_rollup",
     "decade_totals", "drop_high_scores", "drop_repeated_scores", "drop_self_pairs",
     "drop_stop_words", "drop_whole_decade_pairs", "duplicate_pairs", "keep_high_scores",
-    "keep_language", "marginals", "npmi_totals", "order_collocations", "order_counts",
+    "keep_language", "local_table", "marginals", "npmi_totals", "order_collocations", "order_counts",
     "order_scores", "reject_malformed", "require_unique_pairs", "running_npmi_totals",
-    "sample_rows", "sample_rows_by_hash", "scoped_totals", "top_k_per_decade",
+    "sample_rows", "sample_rows_by_hash", "scoped_totals", "store_totals", "top_k_per_decade",
     "whole_decade_pairs", "with_decade", "with_npmi", "with_relative_npmi",
 ]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.words import decade_of, fold_case, in_alphabet
-from .joining import broadcast_if_small
+from .joining import broadcast_if_small, local_table
 
 MODES = ("FAILFAST", "DROPMALFORMED")
 
@@ -23,16 +25,22 @@ def keep_language(ngrams: DataFrame, language: str) -> DataFrame:
 
 
 def drop_stop_words(
-    ngrams: DataFrame, stop_words: DataFrame | None, broadcast_bytes: int | None = None
+    ngrams: DataFrame,
+    stop_words: DataFrame | Iterable[str] | None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Drop rows where either word is a stop word.
+    """Drop rows where either word is a stop word, matched exactly.
 
-    The list is broadcast if its measured size allows. A larger list becomes two
-    shuffled anti joins, whose hot words adaptive execution splits.
+    ``stop_words`` is a table with a column ``word``, or words given in the
+    program. They are broadcast if their measured size allows. A larger list
+    becomes two shuffled anti joins, whose hot words adaptive execution splits.
     """
     if stop_words is None:
         return ngrams
-    words = broadcast_if_small(stop_words.select("word"), broadcast_bytes)
+    if isinstance(stop_words, DataFrame):
+        words = broadcast_if_small(stop_words.select("word"), broadcast_bytes)
+    else:
+        words = local_table(ngrams.sparkSession, "word", stop_words, broadcast_bytes)
     for side in ("w1", "w2"):
         ngrams = ngrams.join(words, ngrams[side] == words["word"], "left_anti")
     return ngrams

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
-from .joining import attach_totals
+from .joining import Size, attach_totals, store_totals
 
 PAIR = ["decade", "w1", "w2"]
 
@@ -19,6 +19,7 @@ _LEVEL_KEYS = {
     RIGHT_LEVEL: ["decade", "w2"],
     DECADE_LEVEL: ["decade"],
 }
+_TOTAL_NAMES = {LEFT_LEVEL: "c1", RIGHT_LEVEL: "c2", DECADE_LEVEL: "n"}
 MARGINAL_LEVELS = (LEFT_LEVEL, RIGHT_LEVEL, DECADE_LEVEL)
 
 
@@ -47,39 +48,45 @@ def count_rollup(pairs: DataFrame, levels=(PAIR_LEVEL, *MARGINAL_LEVELS)) -> Dat
 
 
 @dataclass(frozen=True)
-class Marginals:
-    """Per-decade totals and the two word marginals of one pair table."""
-
-    decades: DataFrame
-    left: DataFrame
-    right: DataFrame
-
-
-def marginals(pairs: DataFrame, workspace: Workspace, levels=MARGINAL_LEVELS) -> Marginals:
-    """Compute and store the marginals; levels left out come back empty."""
-    stored = workspace.store(count_rollup(pairs, levels), "marginals", partition_by=["level"])
-
-    def level(number: int, name: str) -> DataFrame:
-        return stored.filter(F.col("level") == number).select(
-            *_LEVEL_KEYS[number], F.col("total").alias(name), "rows"
+class Marginal:
+    """One level of totals, stored and measured."""
+
+    table: DataFrame
+    size: Size
+
+    def attach(self, pairs: DataFrame, keys: list[str], spread: list[str], **limits) -> DataFrame:
+        return attach_totals(pairs, self.table, keys, spread, self.size, **limits)
+
+
+def marginals(
+    pairs: DataFrame, workspace: Workspace, levels=MARGINAL_LEVELS
+) -> dict[int, Marginal]:
+    """Per-decade totals and word marginals of a pair table, by level."""
+    stored, sizes = store_totals(count_rollup(pairs, levels), workspace, "marginals", levels)
+    return {
+        level: Marginal(
+            stored.filter(F.col("level") == level).select(
+                *_LEVEL_KEYS[level], F.col("total").alias(_TOTAL_NAMES[level]), "rows"
+            ),
+            sizes[level],
         )
-
-    return Marginals(level(DECADE_LEVEL, "n"), level(LEFT_LEVEL, "c1"), level(RIGHT_LEVEL, "c2"))
+        for level in levels
+    }
 
 
-def attach_decade_total(pairs: DataFrame, counted: Marginals, **limits) -> DataFrame:
+def attach_decade_total(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
     """Add ``n``, the count of all pairs of the decade."""
-    return attach_totals(pairs, counted.decades, ["decade"], ["w1", "w2"], **limits)
+    return counted[DECADE_LEVEL].attach(pairs, ["decade"], ["w1", "w2"], **limits)
 
 
-def attach_left_marginal(pairs: DataFrame, counted: Marginals, **limits) -> DataFrame:
+def attach_left_marginal(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
     """Add ``c1``, the count of all pairs of the decade that begin with ``w1``."""
-    return attach_totals(pairs, counted.left, ["decade", "w1"], ["w2"], **limits)
+    return counted[LEFT_LEVEL].attach(pairs, ["decade", "w1"], ["w2"], **limits)
 
 
-def attach_right_marginal(pairs: DataFrame, counted: Marginals, **limits) -> DataFrame:
+def attach_right_marginal(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
     """Add ``c2``, the count of all pairs of the decade that end with ``w2``."""
-    return attach_totals(pairs, counted.right, ["decade", "w2"], ["w1"], **limits)
+    return counted[RIGHT_LEVEL].attach(pairs, ["decade", "w2"], ["w1"], **limits)
 
 
 def duplicate_pairs(pairs: DataFrame) -> DataFrame:

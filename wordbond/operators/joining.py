@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..workspace import Workspace
 
 # A table is broadcast only if its measured size is at most this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -14,7 +20,7 @@ MAX_HOT_KEYS = 50_000
 _ROW_OVERHEAD = 48
 
 
-def _row_bytes(columns: list[str]):
+def _row_bytes(columns: list[str]) -> Column:
     size = F.lit(_ROW_OVERHEAD).cast("bigint")
     for name in columns:
         size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
@@ -28,11 +34,74 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
     return F.broadcast(df) if size <= limit else df
 
 
+def local_table(
+    spark: SparkSession, column: str, values: Iterable[str], max_bytes: int | None = None
+) -> DataFrame:
+    """Strings given in the program as a table, to be broadcast if they are few."""
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
+    values = sorted(set(values))
+    table = spark.createDataFrame(pa.table({column: pa.array(values, pa.string())}))
+    size = sum(_ROW_OVERHEAD + len(value.encode()) for value in values)
+    return F.broadcast(table) if size <= limit else table
+
+
+@dataclass(frozen=True)
+class Size:
+    """What :func:`attach_totals` must know of a totals table before it plans."""
+
+    bytes: int
+    detail_rows: int
+    hot_keys: int
+    hot_row_bytes: int
+
+    @staticmethod
+    def metrics(columns: list[str], split_rows: int, where: Column | None = None) -> list[Column]:
+        """Aggregates that measure a totals table, or its rows ``where`` holds."""
+        held = F.lit(True) if where is None else where
+        hot, size = held & (F.col("rows") > split_rows), _row_bytes(columns)
+        return [
+            F.sum(F.when(held, size)), F.sum(F.when(held, F.col("rows"))),
+            F.sum(F.when(hot, 1)), F.max(F.when(hot, size)),
+        ]
+
+    @classmethod
+    def of(cls, values: Iterable[int | None]) -> "Size":
+        return cls(*[value or 0 for value in values])
+
+    @classmethod
+    def measure(cls, totals: DataFrame, split_rows: int) -> "Size":
+        return cls.of(totals.agg(*cls.metrics(totals.columns, split_rows)).first())
+
+
+def store_totals(
+    totals: DataFrame, workspace: Workspace, name: str, levels: dict[int, list[str]] | None = None
+) -> tuple[DataFrame, dict[int | None, Size]]:
+    """Store a totals table and measure it in the same job.
+
+    With ``levels`` the table holds several kinds of totals, told apart by the
+    column ``level`` and measured one by one.
+    """
+    wanted = {None: None} if levels is None else {level: F.col("level") == level for level in levels}
+    names, metrics = [], []
+    for level, where in wanted.items():
+        for place, metric in enumerate(Size.metrics(totals.columns, SPLIT_ROWS, where)):
+            names.append((level, f"m{level}_{place}"))
+            metrics.append(metric.alias(names[-1][1]))
+    partition_by = None if levels is None else ["level"]
+    stored, seen = workspace.store_observed(totals, name, metrics, partition_by)
+    sizes = {
+        level: Size.of(seen[metric] for of_level, metric in names if of_level == level)
+        for level in wanted
+    }
+    return stored, sizes
+
+
 def attach_totals(
     detail: DataFrame,
     totals: DataFrame,
     keys: list[str],
     spread: list[str],
+    size: Size | None = None,
     broadcast_bytes: int | None = None,
     split_rows: int | None = None,
     max_hot_keys: int | None = None,
@@ -40,33 +109,30 @@ def attach_totals(
     """Inner join of ``totals`` to ``detail``, safe for keys with very many rows.
 
     ``totals`` holds one row per key and a column ``rows``: the number of detail
-    rows with that key. It is measured first. If it is small it is broadcast and
-    the detail stays where it is. Otherwise both sides are shuffled on the key; a
-    key with more than ``split_rows`` detail rows is split by the hash of the
-    ``spread`` columns into several tasks, and its one totals row is repeated for
-    each of them. The list of such keys is broadcast: since the ``rows`` add up
-    to the detail rows, ``split_rows`` bounds how many there can be.
+    rows with that key. Its ``size`` is measured here unless it is given. If it is
+    small it is broadcast and the detail stays where it is. Otherwise both sides
+    are shuffled on the key; a key with more than ``split_rows`` detail rows is
+    split by the hash of the ``spread`` columns into several tasks, and its one
+    totals row is repeated for each of them. The list of such keys is broadcast:
+    since the ``rows`` add up to the detail rows, ``split_rows`` bounds how many
+    there can be.
     """
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    split_rows = SPLIT_ROWS if split_rows is None else split_rows
     max_hot_keys = MAX_HOT_KEYS if max_hot_keys is None else max_hot_keys
+    if size is None or split_rows is not None:
+        split_rows = SPLIT_ROWS if split_rows is None else split_rows
+        size = Size.measure(totals, split_rows)
+    else:
+        split_rows = SPLIT_ROWS
 
-    size = _row_bytes(totals.columns)
-    is_hot = F.col("rows") > split_rows
-    measured = totals.agg(
-        F.sum(size).alias("bytes"),
-        F.sum("rows").alias("detail_rows"),
-        F.sum(F.when(is_hot, 1)).alias("hot_keys"),
-        F.max(F.when(is_hot, size)).alias("hot_row_bytes"),
-    ).first()
-    if (measured["bytes"] or 0) <= limit:
+    if size.bytes <= limit:
         return detail.join(F.broadcast(totals.drop("rows")), keys)
-    if not measured["hot_keys"]:
+    if not size.hot_keys:
         return detail.join(totals.drop("rows"), keys)
 
     # Few enough hot keys that the list of them stays within the broadcast bound.
-    hot_limit = max(1, min(max_hot_keys, max(limit, BROADCAST_BYTES) // measured["hot_row_bytes"]))
-    split_rows = max(split_rows, -(-measured["detail_rows"] // hot_limit))
+    hot_limit = max(1, min(max_hot_keys, BROADCAST_BYTES // size.hot_row_bytes))
+    split_rows = max(split_rows, -(-size.detail_rows // hot_limit))
     parts = F.ceil(F.col("rows") / F.lit(split_rows)).cast("int")
 
     hot = totals.filter(F.col("rows") > split_rows).select(*keys, parts.alias("parts"))

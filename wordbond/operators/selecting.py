@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Parts a decade is cut into for the first of the two top-k rounds.
-TOP_PARTS = 32
+# Groups that the input partitions are merged into, one top-k round after another,
+# until a decade is left whole. Up to this k Spark cuts each input partition down
+# before the first shuffle; beyond it a decade is spread over more groups first.
+SMALL_K = 999
+SMALL_K_GROUPS = (32, 1)
+LARGE_K_GROUPS = (1024, 32, 1)
 
 
 def keep_high_scores(scores: DataFrame, min_npmi: float, rel_min_npmi: float) -> DataFrame:
@@ -36,12 +40,13 @@ def drop_repeated_scores(scores: DataFrame) -> DataFrame:
 def top_k_per_decade(scores: DataFrame, k: int) -> DataFrame:
     """The ``k`` best pairs of each decade, ties broken by the words.
 
-    A decade may hold a third of all rows, so it is ranked in two rounds: first
-    within parts of the decade, then among the parts' winners.
+    A decade may hold a third of all rows, so no task ranks it whole: the input
+    partitions are ranked in groups, and the winners of the groups again.
     """
     order = [F.desc("npmi"), F.asc("w1"), F.asc("w2")]
-    part = F.pmod(F.xxhash64("w1", "w2"), F.lit(TOP_PARTS))
-    for keys in (["decade", part], ["decade"]):
+    ranked = scores.withColumn("part", F.spark_partition_id())
+    for groups in SMALL_K_GROUPS if k <= SMALL_K else LARGE_K_GROUPS:
+        keys = ["decade"] if groups == 1 else ["decade", F.col("part") % groups]
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        scores = scores.withColumn("place", place).filter(F.col("place") <= k).drop("place")
-    return scores
+        ranked = ranked.withColumn("place", place).filter(F.col("place") <= k)
+    return ranked.drop("part", "place")

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.words import check_language
 from ..operators.cleaning import check_mode, drop_stop_words, keep_language, reject_malformed, with_decade
 from ..operators.counting import (
-    RIGHT_LEVEL, Marginals, attach_decade_total, attach_left_marginal, attach_right_marginal,
+    RIGHT_LEVEL, Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
     count_pairs_per_decade, marginals, require_unique_pairs,
 )
-from ..operators.joining import attach_totals
+from ..operators.joining import attach_totals, store_totals
 from ..operators.ordering import order_collocations
 from ..operators.sampling import check_fraction, sample_rows, sample_rows_by_hash
 from ..operators.scoring import TOTAL_SCOPES, scoped_totals, with_npmi, with_relative_npmi
@@ -21,7 +21,7 @@ from ..operators.selecting import (
     keep_high_scores, top_k_per_decade,
 )
 from ..sources.ngrams import read_lines, split_ngrams
-from ..sources.stop_words import stop_word_table
+from ..sources.stop_words import read_stop_words
 from ..workspace import Workspace
 
 SAMPLE_METHODS = ("row", "hash")
@@ -45,7 +45,8 @@ def clean_ngrams(
     """Sample, split and filter n-gram records into ``decade, w1, w2, match_count``.
 
     ``ngrams`` is a table of lines (column ``value``) or of ``w1, w2, year,
-    match_count``. ``sample_by="hash"`` samples lines by their text.
+    match_count``. ``stop_words`` is a table (column ``word``), a file path or
+    words. ``sample_by="hash"`` samples lines by their text.
     """
     check_language(language), check_fraction(fraction), check_mode(mode)
     if sample_by not in SAMPLE_METHODS:
@@ -56,12 +57,13 @@ def clean_ngrams(
         ngrams = sample_rows(ngrams, fraction, seed)
     if "value" in ngrams.columns:
         ngrams = split_ngrams(ngrams, mode)
-    words = stop_word_table(ngrams.sparkSession, stop_words)
-    kept = drop_stop_words(keep_language(ngrams, language), words)
+    if isinstance(stop_words, str):
+        stop_words = read_stop_words(ngrams.sparkSession, stop_words)
+    kept = drop_stop_words(keep_language(ngrams, language), stop_words)
     return with_decade(reject_malformed(kept, mode))
 
 
-def _counted(cleaned: DataFrame, workspace: Workspace) -> tuple[DataFrame, Marginals]:
+def _counted(cleaned: DataFrame, workspace: Workspace) -> tuple[DataFrame, dict[int, Marginal]]:
     pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
     counted = marginals(pairs, workspace)
     with_total = attach_decade_total(pairs, counted)
@@ -84,7 +86,7 @@ def count_pairs(
     return _counted(cleaned, workspace or Workspace(ngrams.sparkSession))[0]
 
 
-def _scored(pair_counts: DataFrame, counted: Marginals) -> DataFrame:
+def _scored(pair_counts: DataFrame, counted: dict[int, Marginal]) -> DataFrame:
     return with_npmi(attach_right_marginal(pair_counts, counted)).select(
         "decade", "w1", "w2", "c12", "n", "c1", "c2", "npmi"
     )
@@ -134,8 +136,8 @@ def select_collocations(
     workspace = workspace or Workspace(scores.sparkSession)
     if not stored:
         scores = workspace.store(scores, "scores")
-    totals = workspace.store(scoped_totals(scores, total_scope, buckets), "npmi-totals")
-    with_total = attach_totals(scores, totals, ["decade"], ["w1", "w2"])
+    totals, sizes = store_totals(scoped_totals(scores, total_scope, buckets), workspace, "npmi-totals")
+    with_total = attach_totals(scores, totals, ["decade"], ["w1", "w2"], sizes[None])
     kept = keep_high_scores(with_relative_npmi(with_total), min_npmi, rel_min_npmi)
     return order_collocations(kept) if ordered else kept
 

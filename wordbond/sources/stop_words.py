@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.words import check_language
@@ -20,14 +18,3 @@ def read_stop_words(spark: SparkSession, path: str, language: str | None = None)
     if language is not None:
         path = f"{path.rstrip('/')}/{STOP_WORD_FILES[check_language(language)]}"
     return spark.read.text(path).select(F.col("value").alias("word"))
-
-
-def stop_word_table(
-    spark: SparkSession, stop_words: DataFrame | str | Iterable[str] | None
-) -> DataFrame | None:
-    """A ``word`` table from a table, a file path or words given in the program."""
-    if stop_words is None or isinstance(stop_words, DataFrame):
-        return stop_words
-    if isinstance(stop_words, str):
-        return read_stop_words(spark, stop_words)
-    return spark.createDataFrame([(word,) for word in stop_words], "word string")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,6 +54,14 @@ class Workspace:
         df.write.parquet(path, partitionBy=partition_by)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def store_observed(
+        self, df: DataFrame, name: str, metrics: list[Column], partition_by: list[str] | None = None
+    ) -> tuple[DataFrame, dict]:
+        """Like :meth:`store`; the aliased ``metrics`` are computed while writing."""
+        observation = Observation()
+        stored = self.store(df.observe(observation, *metrics), name, partition_by)
+        return stored, observation.get
+
     def drop(self) -> None:
         """Delete the folder of this run."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
