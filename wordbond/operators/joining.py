@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -20,17 +20,15 @@ MAX_HOT_KEYS = 50_000
 _ROW_OVERHEAD = 48
 
 
-def _row_bytes(columns: list[str]) -> Column:
-    size = F.lit(_ROW_OVERHEAD).cast("bigint")
-    for name in columns:
-        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
-    return size
+def _row_bytes(columns: list[str]) -> str:
+    parts = [f"coalesce(octet_length(cast(`{name}` AS STRING)), 0)" for name in columns]
+    return " + ".join([f"{_ROW_OVERHEAD}L", *parts])
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` if its rows measure at most ``max_bytes``, else ``df``."""
     limit = BROADCAST_BYTES if max_bytes is None else max_bytes
-    size = df.agg(F.sum(_row_bytes(df.columns))).first()[0] or 0
+    size = df.agg(F.expr(f"sum({_row_bytes(df.columns)})")).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
 
 
@@ -55,13 +53,12 @@ class Size:
     hot_row_bytes: int
 
     @staticmethod
-    def metrics(columns: list[str], split_rows: int, where: Column | None = None) -> list[Column]:
-        """Aggregates that measure a totals table, or its rows ``where`` holds."""
-        held = F.lit(True) if where is None else where
-        hot, size = held & (F.col("rows") > split_rows), _row_bytes(columns)
+    def metrics(columns: list[str], split_rows: int, where: str = "true") -> list[str]:
+        """SQL aggregates that measure the rows of a totals table ``where`` holds."""
+        size, hot = _row_bytes(columns), f"{where} AND rows > {split_rows}"
         return [
-            F.sum(F.when(held, size)), F.sum(F.when(held, F.col("rows"))),
-            F.sum(F.when(hot, 1)), F.max(F.when(hot, size)),
+            f"sum(if({where}, {size}, 0))", f"sum(if({where}, rows, 0))",
+            f"count_if({hot})", f"max(if({hot}, {size}, 0))",
         ]
 
     @classmethod
@@ -70,30 +67,31 @@ class Size:
 
     @classmethod
     def measure(cls, totals: DataFrame, split_rows: int) -> "Size":
-        return cls.of(totals.agg(*cls.metrics(totals.columns, split_rows)).first())
+        return cls.of(totals.agg(*map(F.expr, cls.metrics(totals.columns, split_rows))).first())
 
 
 def store_totals(
-    totals: DataFrame, workspace: Workspace, name: str, levels: dict[int, list[str]] | None = None
+    totals: DataFrame, workspace: Workspace, name: str, levels: Iterable[int] | None = None
 ) -> tuple[DataFrame, dict[int | None, Size]]:
     """Store a totals table and measure it in the same job.
 
     With ``levels`` the table holds several kinds of totals, told apart by the
     column ``level`` and measured one by one.
     """
-    wanted = {None: None} if levels is None else {level: F.col("level") == level for level in levels}
-    names, metrics = [], []
-    for level, where in wanted.items():
-        for place, metric in enumerate(Size.metrics(totals.columns, SPLIT_ROWS, where)):
-            names.append((level, f"m{level}_{place}"))
-            metrics.append(metric.alias(names[-1][1]))
+    wanted = {None: "true"} if levels is None else {level: f"level = {level}" for level in levels}
+    names = {
+        level: [f"of_{level}_{place}" for place in range(len(fields(Size)))] for level in wanted
+    }
+    metrics = [
+        F.expr(metric).alias(alias)
+        for level, where in wanted.items()
+        for alias, metric in zip(names[level], Size.metrics(totals.columns, SPLIT_ROWS, where))
+    ]
     partition_by = None if levels is None else ["level"]
     stored, seen = workspace.store_observed(totals, name, metrics, partition_by)
-    sizes = {
-        level: Size.of(seen[metric] for of_level, metric in names if of_level == level)
-        for level in wanted
+    return stored, {
+        level: Size.of(seen[alias] for alias in names[level]) for level in wanted
     }
-    return stored, sizes
 
 
 def attach_totals(
