@@ -26,6 +26,10 @@ def skewed(spark):
     return pairs, marginals(pairs, workspace)
 
 
+def rows(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
 def expected(pairs, keys):
     totals, rows = {}, [row.asDict() for row in pairs.collect()]
     for row in rows:
@@ -61,20 +65,19 @@ def test_small_totals_are_broadcast(skewed, plan_of):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_large_totals_are_shuffled_with_the_hot_keys_split(spark, skewed, plan_of):
+@pytest.mark.parametrize("hash_bytes, strategy", [(None, "ShuffledHashJoin"), (0, "SortMergeJoin")])
+def test_large_totals_are_shuffled_with_the_hot_keys_split(
+    skewed, plan_of, monkeypatch, hash_bytes, strategy
+):
+    if hash_bytes is not None:
+        monkeypatch.setattr("wordbond.operators.joining.HASH_BYTES", hash_bytes)
     pairs, counted = skewed
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = plan_of(attach_left_marginal(pairs, counted, broadcast_bytes=0))
-        assert "BroadcastHashJoin" not in plain and "salt" not in plain
-        split = attach_left_marginal(pairs, counted, broadcast_bytes=0, split_rows=100)
-        assert "SortMergeJoin [decade" in plan_of(split) and "salt" in plan_of(split)
-        sizes = [row["count"] for row in split.groupBy(F.spark_partition_id()).count().collect()]
-        # 2,000 rows share the word "hot"; unsplit they would sit in two partitions.
-        assert len(sizes) > 1 or spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plain = attach_left_marginal(pairs, counted, broadcast_bytes=0)
+    assert f"{strategy} [decade" in plan_of(plain) and "Broadcast" not in plan_of(plain)
+    split = attach_left_marginal(pairs, counted, broadcast_bytes=0, split_rows=100)
+    assert f"{strategy} [decade" in plan_of(split) and "salt" in plan_of(split)
+    keys = ["decade", "w1", "w2"]
+    assert rows(split.select(*keys, "c1")) == rows(plain.select(*keys, "c1"))
 
 
 def test_split_keys_spread_over_partitions(spark, skewed):

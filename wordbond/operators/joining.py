@@ -12,6 +12,9 @@ from ..workspace import Workspace
 
 # A table is broadcast only if its measured size is at most this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Shuffled totals are hashed, sparing the detail a sort, only if a partition of
+# them measures at most this.
+HASH_BYTES = 64 * 1024 * 1024
 # Detail rows of one key that a single task may take before the key is split.
 SPLIT_ROWS = 2_000_000
 # Upper bound on the number of keys that may be split at once.
@@ -109,7 +112,7 @@ def attach_totals(
     ``totals`` holds one row per key and a column ``rows``: the number of detail
     rows with that key. Its ``size`` is measured here unless it is given. If it is
     small it is broadcast and the detail stays where it is. Otherwise both sides
-    are shuffled on the key; a key with more than ``split_rows`` detail rows is
+    are shuffled on the key and hashed or merged. A key with more than ``split_rows`` detail rows is
     split by the hash of the ``spread`` columns into several tasks, and its one
     totals row is repeated for each of them. The list of such keys is broadcast:
     since the ``rows`` add up to the detail rows, ``split_rows`` bounds how many
@@ -125,8 +128,10 @@ def attach_totals(
 
     if size.bytes <= limit:
         return detail.join(F.broadcast(totals.drop("rows")), keys)
+    partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strategy = "shuffle_hash" if size.bytes <= HASH_BYTES * partitions else "merge"
     if not size.hot_keys:
-        return detail.join(totals.drop("rows"), keys)
+        return detail.join(totals.drop("rows").hint(strategy), keys)
 
     # Few enough hot keys that the list of them stays within the broadcast bound.
     hot_limit = max(1, min(max_hot_keys, BROADCAST_BYTES // size.hot_row_bytes))
@@ -141,4 +146,4 @@ def attach_totals(
     salted_totals = (
         totals.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
     )
-    return salted_detail.join(salted_totals, [*keys, "salt"]).drop("salt")
+    return salted_detail.join(salted_totals.hint(strategy), [*keys, "salt"]).drop("salt")

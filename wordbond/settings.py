@@ -14,8 +14,9 @@ def spark_settings(shuffle_partitions: int | None = None) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-        # Hash instead of sort where every partition of a marginal is small.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+        # Hash instead of sort where every partition of a marginal is small. Spark
+        # ignores the setting if it is below the advisory size.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
         "spark.sql.session.timeZone": "UTC",
     }
     if shuffle_partitions is not None:
