@@ -90,6 +90,14 @@ def test_judged_rows_without_filters(lines):
 def test_parsed_tables_are_accepted(spark):
     table = spark.createDataFrame([("Tea", "Cup", 1991, 2)], "w1 string, w2 string, year int, match_count bigint")
     assert rows(clean_ngrams(table, language="english")) == [(1990, "tea", "cup", 2)]
+    with pytest.raises(ValueError, match="lines"):
+        clean_ngrams(table, language="english", sample_by="hash", fraction=0.5)
+
+
+def test_sampled_lines_are_counted(lines):
+    texts = [f"a{chr(97 + i % 26)} b{chr(97 + i // 26)} 1990 1" for i in range(300)]
+    some = clean(lines, *texts, fraction=0.5, sample_by="hash")
+    assert 100 < len(some) < 200 and set(some) < set(clean(lines, *texts))
 
 
 STOP_CASES = [["the"], ["cat"], ["The"], ["the "], ["the", "cat"], []]

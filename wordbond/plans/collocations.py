@@ -52,6 +52,8 @@ def clean_ngrams(
     if sample_by not in SAMPLE_METHODS:
         raise ValueError(f"sample_by must be one of {SAMPLE_METHODS}, not {sample_by!r}")
     if sample_by == "hash":
+        if "value" not in ngrams.columns:
+            raise ValueError("sample_by='hash' needs a table of lines")
         ngrams = sample_rows_by_hash(ngrams, fraction)
     else:
         ngrams = sample_rows(ngrams, fraction, seed)
