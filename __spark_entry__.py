@@ -57,12 +57,8 @@ def _stored_pairs(spark: SparkSession, sf_dir: str, workspace: Workspace) -> Dat
     return workspace.store(op.count_pairs_per_decade(_clean(spark, sf_dir)), "pairs")
 
 
-def _scores(spark: SparkSession, sf_dir: str, workspace: Workspace | None = None) -> DataFrame:
-    workspace = workspace or Workspace(spark)
-    counts = plans.count_pairs(
-        ngram_lines(spark, sf_dir), STOP_WORDS, language="english", workspace=workspace
-    )
-    return plans.score_pairs(counts, workspace=workspace, validate=False)
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.score_ngrams(ngram_lines(spark, sf_dir), STOP_WORDS, language="english")
 
 
 def _selected(spark: SparkSession, sf_dir: str, ordered: bool = False, **choices) -> DataFrame:
@@ -183,7 +179,7 @@ def pmi(spark, sf_dir):
 
 
 def npmi(spark, sf_dir):
-    return _rounded(_scores(spark, sf_dir))
+    return _rounded(plans.score_pairs(pair_counts(spark, sf_dir)))
 
 
 def pair_scores_reload(spark, sf_dir):

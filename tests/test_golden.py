@@ -2,7 +2,9 @@
 
 import pytest
 
-from wordbond import collocations, count_pairs, score_pairs, select_collocations, top_collocations
+from wordbond import (
+    collocations, count_pairs, score_ngrams, score_pairs, select_collocations, top_collocations,
+)
 
 LINES = [
     "Strong Tea\t1987\t8\t1\t1",
@@ -48,6 +50,7 @@ def test_scores(lines):
     counts = count_pairs(lines(*LINES), STOP_WORDS, language="english")
     rows = score_pairs(counts).collect()
     assert {(r.decade, r.w1, r.w2): (r.c12, r.n, r.c1, r.c2, round(r.npmi, 6)) for r in rows} == SCORES
+    assert sorted(score_ngrams(lines(*LINES), STOP_WORDS, language="english").collect()) == sorted(rows)
 
 
 def test_counts_keep_the_pair_that_is_its_whole_decade(lines):

@@ -1,12 +1,13 @@
 """Association scores of word pairs in large n-gram corpora, on Spark."""
 
 from .plans import (
-    clean_ngrams, collocations, count_pairs, score_pairs, select_collocations, top_collocations,
+    clean_ngrams, collocations, count_pairs, score_ngrams, score_pairs, select_collocations,
+    top_collocations,
 )
 from .settings import spark_settings
 from .workspace import Workspace
 
 __all__ = [
-    "Workspace", "clean_ngrams", "collocations", "count_pairs", "score_pairs",
-    "select_collocations", "spark_settings", "top_collocations",
+    "Workspace", "clean_ngrams", "collocations", "count_pairs", "score_ngrams",
+    "score_pairs", "select_collocations", "spark_settings", "top_collocations",
 ]

@@ -1,8 +1,9 @@
 from .collocations import (
-    clean_ngrams, collocations, count_pairs, score_pairs, select_collocations, top_collocations,
+    clean_ngrams, collocations, count_pairs, score_ngrams, score_pairs, select_collocations,
+    top_collocations,
 )
 
 __all__ = [
-    "clean_ngrams", "collocations", "count_pairs", "score_pairs", "select_collocations",
-    "top_collocations",
+    "clean_ngrams", "collocations", "count_pairs", "score_ngrams", "score_pairs",
+    "select_collocations", "top_collocations",
 ]

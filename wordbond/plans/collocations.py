@@ -115,6 +115,21 @@ def score_pairs(
     return _scored(pair_counts, marginals(pair_counts, workspace, levels=(RIGHT_LEVEL,)))
 
 
+def score_ngrams(
+    ngrams: DataFrame,
+    stop_words: DataFrame | str | Iterable[str] | None = None,
+    *,
+    workspace: Workspace | None = None,
+    **cleaning,
+) -> DataFrame:
+    """:func:`count_pairs` and :func:`score_pairs` in one, sharing all marginals.
+
+    Takes the keyword arguments of :func:`clean_ngrams`.
+    """
+    cleaned = clean_ngrams(ngrams, stop_words, **cleaning)
+    return _scored(*_counted(cleaned, workspace or Workspace(ngrams.sparkSession)))
+
+
 def select_collocations(
     scores: DataFrame,
     *,
@@ -168,11 +183,10 @@ def collocations(
     _check_threshold("rel_min_npmi", rel_min_npmi)
     workspace = workspace or Workspace(spark)
     ngrams = source if isinstance(source, DataFrame) else read_lines(spark, source, format, split_size)
-    cleaned = clean_ngrams(
-        ngrams, stop_words, language=language, fraction=fraction, seed=seed,
+    scores = score_ngrams(
+        ngrams, stop_words, workspace=workspace, language=language, fraction=fraction, seed=seed,
         sample_by=sample_by, mode=mode,
     )
-    scores = _scored(*_counted(cleaned, workspace))
     return select_collocations(
         scores, min_npmi=min_npmi, rel_min_npmi=rel_min_npmi, total_scope=total_scope,
         buckets=buckets, ordered=ordered, workspace=workspace,
