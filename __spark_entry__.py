@@ -14,6 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wordbond import Workspace
 from wordbond import functions as fn, operators as op, plans, sinks, sources
 
+try:  # the training-data operators can be left out
+    import corpus_pipeline
+    from wordbond.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "wordbond.llm", "wordbond.llm.queries"):
+        raise
+    llm = None
+
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "for", "that", "with", "by", "are", "as", "it", "on"]
 MIN_NPMI, REL_MIN_NPMI = 0.9, 0.0002
 MAX_NPMI, TOP_K = 0.99, 10
@@ -26,10 +34,7 @@ LATIN, HEBREW = "abcdefghijklmnopqrstuv", "אבגדהוזחטיכלמנסעפצ
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    # A table of a few row groups would keep most cores idle while texts are split.
-    cores = spark.sparkContext.defaultParallelism
-    return documents.repartition(cores) if documents.rdd.getNumPartitions() < cores else documents
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
 def ngram_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +279,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """One entry per operator of the inventory."""
+    """One entry per operator of the inventory, then the training-data operators."""
+    found = association_queries()
+    if llm is not None:
+        found |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same queries for DuckDB over the same tables."""
+    found = association_sql()
+    if llm is not None:
+        found |= llm.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ngram_scan": ngram_scan,
         "sequence_scan": sequence_scan,
@@ -390,8 +412,7 @@ def _pairs(stop_list: str = _STOP_LIST) -> str:
 )"""
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same queries for DuckDB over the same tables."""
+def association_sql() -> dict[str, str]:
     records = _prefix()
     words = records + _ENGLISH_WORDS
     pairs = words + _pairs()

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as spark_entry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, SQL = spark_entry.association_queries(), spark_entry.association_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 

@@ -8,7 +8,6 @@ times with different columns, and Parquet lets each reader prune.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,22 +16,19 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir`` (or ``setCheckpointDir``).
 
-    Only a local session may go without: it gets a temporary folder, because
-    there every task runs on this machine.
+    Where neither is set, a folder in the session's own warehouse, which every
+    executor must reach anyway to read the session's tables.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="wordbond-")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 class Workspace:
-    """Stage tables of one run, kept until :meth:`drop`.
+    """Stage tables of one run, kept until :meth:`drop` or the end of the driver.
 
     Results read the stage tables lazily, so drop them only after the result
-    was written or collected::
+    was written or collected. What is not dropped by then goes when the driver's
+    Spark ends::
 
         with Workspace(spark) as workspace:
             found = collocations(spark, path, ..., workspace=workspace)
@@ -43,6 +39,12 @@ class Workspace:
         self.spark = spark
         self.path = f"{(folder or shared_folder(spark)).rstrip('/')}/wordbond-{uuid.uuid4().hex}"
         self._stored = 0
+        path, files = self._on_disk()
+        files.deleteOnExit(path)
+
+    def _on_disk(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def new_path(self, name: str) -> str:
         self._stored += 1
@@ -64,8 +66,8 @@ class Workspace:
 
     def drop(self) -> None:
         """Delete the folder of this run."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        path, files = self._on_disk()
+        files.delete(path, True)
 
     def __enter__(self) -> "Workspace":
         return self
