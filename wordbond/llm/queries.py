@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workspace import Workspace
-from . import exact_dedup, simhash
+from . import exact_dedup, packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    folder = Workspace(spark).new_path("token-files")
+    token_files.write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_token_files(spark, folder, docs.select("doc_id"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        _table(spark, sf_dir, "documents"), Workspace(spark), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_token_files": op5_token_files,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 SQL: dict[str, str] = {
