@@ -1,0 +1,83 @@
+"""Byte-level BPE by distinct words against the tokenizers library."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+
+from wordbond.llm import bpe, queries
+from wordbond.llm.words import load_tokenizer
+
+from .test_tokens import ODD
+
+SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+SPACES = [
+    "  a", "a  ", "a   b", "a \n b", "a\n \nb", "\n\n\nx", "x\n\n", "a \t b", "a  b", "a   b", "a　b",
+    " <|endoftext|>", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|>\n", "a\x00 b", "tab\tx", "a\r\nb", "end ",
+]
+
+
+def table(spark, rows, kind="bigint"):
+    schema = f"doc_id {kind}, text string, _id string, chunk string, bucket int"
+    return spark.createDataFrame([(i, t, "a", "b", 1) for i, t in rows], schema)
+
+
+def expected(rows):
+    tokenizer = load_tokenizer(PATH)
+    found = []
+    for i, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        found.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                      hashlib.sha256(decoded.encode()).hexdigest()))
+    return sorted(found, key=str)
+
+
+def test_split_words_encode_alone_as_in_their_text():
+    tokenizer = load_tokenizer(PATH)
+    spaced = [a + s + b for a in ("", "x", "é!") for b in ("", "y", "1") for s in
+              [p + q + r for p in " \n\t " for q in ("", " ", "\n", "\r") for r in ("", " ", "\n\n")]]
+    for text in [t or "" for t in ODD] + SPACES + spaced:
+        parts = bpe.split_words(text.encode(), tokenizer)
+        assert b"".join(parts) == text.encode()
+        ids = [x for part in parts for x in tokenizer.encode(part.decode(), add_special_tokens=False).ids]
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("chunk_bytes, buckets", [(40, 3), (1 << 25, 8)])
+def test_odd_documents(spark, workspace, chunk_bytes, buckets):
+    rows = [*enumerate(ODD + SPACES), (3, "again"), (3, "again"), (None, "no id")]
+    found = bpe.encode_decode(
+        table(spark, rows), PATH, workspace, chunk_bytes=chunk_bytes, buckets=buckets, with_ids=True
+    ).collect()
+    assert sorted((tuple(r)[:4] for r in found), key=str) == expected(rows)
+    tokenizer = load_tokenizer(PATH)
+    assert all(r.decoded == tokenizer.decode(r.ids, skip_special_tokens=False) for r in found)
+
+
+def test_words_are_encoded_again_when_a_task_knows_too_many(spark, workspace, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 2)
+    rows = [(str(i), f"some words {i} and more {i % 3}") for i in range(50)]
+    found = bpe.encode_decode(table(spark, rows, "string"), PATH, workspace, chunk_bytes=60)
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows)
+
+
+def test_empty_table(spark, workspace):
+    assert bpe.encode_decode(table(spark, []), PATH, workspace).collect() == []
+
+
+def test_other_chunks_on_a_second_read_fail(spark):
+    import pyarrow as pa
+
+    documents = pa.table({"_id": [1], "places": [bpe._squeeze(bpe.np.array([0], "<i4"))],
+                          "buckets": [bpe._squeeze(bpe.np.array([0], "<u4"))], "check": [5]})
+    words = pa.table({"bucket": [0], "check": [6], "counts": [b""], "ids": [b""]})
+    with pytest.raises(RuntimeError, match="other chunks"):
+        list(bpe._joined(documents, words))
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    found = queries.op4_byte_bpe(spark, SF).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workspace import Workspace
-from . import exact_dedup, packing, simhash, token_files
+from . import bpe, exact_dedup, packing, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), stored=True
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     folder = Workspace(spark).new_path("token-files")
@@ -40,6 +46,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
