@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..workspace import Workspace
-from . import bpe, exact_dedup, packing, simhash, token_files
+from . import bpe, exact_dedup, packing, sharding, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, docs.select("doc_id"))
 
 
+def op6_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"), Workspace(spark), public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
+    "op6_label_propagation_shards": op6_label_propagation_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
