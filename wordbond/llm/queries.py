@@ -9,10 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
-from . import bpe, chat, exact_dedup, packing, sharding, simhash, token_files
+from . import bpe, chat, exact_dedup, packing, sharding, simhash, token_files, toxicity
+from .shipping import share_import_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_import_path(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +43,13 @@ def op6_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), Workspace(spark))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark)
     conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_label_propagation_shards": op6_label_propagation_shards,
+    "op8_crf_toxicity": op8_crf_toxicity,
     "op9_chat_windows": op9_chat_windows,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
