@@ -1,0 +1,101 @@
+"""Cross-entropy difference against plain counting."""
+
+import math
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+from wordbond.llm import lm_scoring, queries
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, _id string, _target string, chunk int, score string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "a", "b", 1, "c") for i, t in rows], SCHEMA)
+
+
+def ids(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "doc_id bigint")
+
+
+def brute_scores(rows, target, alpha=lm_scoring.ALPHA, mu=lm_scoring.MU):
+    texts = []
+    for i, text in rows:
+        lowered = (text or "").encode().lower()
+        texts.append((i, ["<s>", *re.findall(rb"[a-z0-9\x80-\xff]+", lowered), "</s>"]))
+    models = []
+    for chosen in (lambda i: i is not None and i in target, lambda i: True):
+        pairs, contexts, words = Counter(), Counter(), Counter()
+        for i, line in texts:
+            if chosen(i):
+                pairs.update(zip(line, line[1:]))
+                contexts.update(line[:-1])
+                words.update(line[1:])
+        models.append((pairs, contexts, words, sum(words.values())))
+    size = len({w for _, line in texts for w in line[1:]})
+    found = []
+    for i, line in texts:
+        losses = []
+        for pairs, contexts, words, total in models:
+            loss = 0.0
+            for v, w in zip(line, line[1:]):
+                single = (words[w] + alpha) / (total + alpha * size)
+                loss -= math.log((pairs[v, w] + mu * single) / (contexts[v] + mu))
+            losses.append(loss / (len(line) - 1))
+        found.append((i, len(line) - 2, losses[0], losses[1], losses[0] - losses[1]))
+    return found
+
+
+def same(found, expected):
+    found, expected = sorted(map(str_key, found)), sorted(map(str_key, expected))
+    assert len(found) == len(expected)
+    for a, b in zip(found, expected):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9)
+
+
+def str_key(row):
+    return (str(row[0]), *row[1:])
+
+
+ROWS = [
+    (0, None), (1, ""), (2, " .. "), (3, "The cat sat. The cat ran."), (4, "the dog É sat"), (5, "A b a b a b"),
+    (5, "a b other"), (None, "the cat"), (6, "the cat sat. the cat ran."), (6, "the cat sat. the cat ran."),
+    (7, "long words " * 30_000), (8, "日本 x9 9x"), (9, "x" * 100_000),
+]
+
+
+@pytest.mark.parametrize("target", [[3, 6, 7, 99], [], [None], list(range(10))])
+def test_scores_equal_plain_counting(spark, workspace, target):
+    found = lm_scoring.score_documents(
+        table(spark, ROWS), ids(spark, target + target), workspace, chunk_bytes=60, buckets=3
+    )
+    same(map(tuple, found.collect()), brute_scores(ROWS, set(target)))
+
+
+def test_large_target_lists_are_joined_without_broadcast(spark, workspace, monkeypatch):
+    monkeypatch.setattr("wordbond.operators.joining.BROADCAST_BYTES", 1)
+    found = lm_scoring.score_documents(table(spark, ROWS), ids(spark, [3, 6]), workspace, stored=True)
+    same(map(tuple, found.collect()), brute_scores(ROWS, {3, 6}))
+
+
+def test_empty_table(spark, workspace):
+    assert lm_scoring.score_documents(table(spark, []), ids(spark, [1]), workspace).collect() == []
+
+
+def test_other_chunks_on_a_second_read_fail():
+    chunk = pa.table({"_id": [1], "places": [lm_scoring._pack(lm_scoring.np.array([2], "<i4"))],
+                      "hashes": [lm_scoring._pack(lm_scoring.np.array([1, 2, 3], "<u8"))]})
+    sums = pa.table({"bucket": [0], "check": [6], "target": [lm_scoring._pack(lm_scoring.np.array([1], "<u8"))],
+                     "background": [lm_scoring._pack(lm_scoring.np.array([1], "<u8"))]})
+    with pytest.raises(RuntimeError, match="other chunks"):
+        lm_scoring._score("doc_id", pa.int64(), {"target_size": 1, "background_size": 1, "words": 1}, 1, 1)(chunk, sums)
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    target = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1}
+    assert target
+    same(map(tuple, queries.op7_cross_entropy_difference(spark, SF).collect()), brute_scores(rows, target))

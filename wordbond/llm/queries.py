@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
-from . import bpe, chat, exact_dedup, packing, sharding, simhash, token_files, toxicity
+from . import bpe, chat, exact_dedup, lm_scoring, packing, sharding, simhash, token_files, toxicity
 from .shipping import share_import_path
 
 
@@ -43,6 +43,13 @@ def op6_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op7_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are the documents labelled as of good quality."""
+    good = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    docs = _table(spark, sf_dir, "documents")
+    return lm_scoring.score_documents(docs, good, Workspace(spark), stored=True)
+
+
 def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), Workspace(spark))
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_label_propagation_shards": op6_label_propagation_shards,
+    "op7_cross_entropy_difference": op7_cross_entropy_difference,
     "op8_crf_toxicity": op8_crf_toxicity,
     "op9_chat_windows": op9_chat_windows,
     "op10_best_fit_packing": op10_best_fit_packing,
