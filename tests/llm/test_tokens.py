@@ -36,6 +36,7 @@ def crc(ids):
 @pytest.mark.parametrize("block", [7, 1 << 22])
 def test_words_encode_as_whole_texts(monkeypatch, block):
     monkeypatch.setattr(words, "CACHE_WORDS", 50)
+    monkeypatch.setattr(words, "CACHE_PARTS", 30)
     monkeypatch.setattr(words.blocks, "__defaults__", (block,))
     encoder = words.WordEncoder(PATH)
     for text in ODD:
@@ -191,3 +192,14 @@ def test_token_files_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     found = queries.op5_token_files(spark, SF).collect()
     assert sorted(map(tuple, found)) == sorted(expected_files(rows))
+
+
+def test_words_of_letters_marks_and_symbols_encode_as_the_library_does():
+    encoder, draw = words.WordEncoder(PATH), random.Random(5)
+    assert encoder.letters is not None
+    alphabet = "abZéÉßŉİıŸſƀ9٣½.,'-…“Σςαक्한가́̈🙂_#ÀàÇⅷʰ"
+    many = ["".join(draw.choice(alphabet) for _ in range(draw.randrange(1, 9))) for _ in range(20_000)]
+    for start in range(0, len(many), 500):
+        text = " ".join(many[start:start + 500])
+        found = np.frombuffer(encoder.encode(text.encode()), encoder.dtype).tolist()
+        assert found == library_ids(text, ())

@@ -3,11 +3,19 @@
 A text is cut at ASCII white space (bytes ``09-0d`` and ``20``), where such a
 tokenizer starts anew, and each distinct word is encoded by the library once per
 worker for as long as the bounded cache holds it.
+
+If the tokenizer lower-cases and separates letters from everything else, texts are
+cut further, into runs of letters and of other characters, which recur more often
+than words with their punctuation; runs of Latin letters skip the normalising
+steps that cannot change them. Words with an apostrophe, or with marks and symbols
+beyond ASCII, are encoded whole.
 """
 
 from __future__ import annotations
 
+import array
 import functools
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -15,9 +23,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-# Words that a worker's cache holds before it starts anew; bytes of text that are
-# cut into words at a time.
-CACHE_WORDS, BLOCK_BYTES = 400_000, 1 << 22
+# Words, and parts of words, that a worker's caches hold before they start anew;
+# bytes of text that are cut into words at a time.
+CACHE_WORDS, CACHE_PARTS, BLOCK_BYTES = 100_000, 400_000, 1 << 21
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -49,6 +57,35 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+# The steps of the public word-end tokenizer.
+_LETTERS_APART = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+_PARTS = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff\x20\x09-\x0d]+")
+
+
+def _separates_letters(steps: dict) -> bool:
+    normalizer, splitter = steps.get("normalizer") or {}, steps.get("pre_tokenizer") or {}
+    kinds = [step["type"] for step in normalizer.get("normalizers", [])]
+    first = (splitter.get("pretokenizers") or [{}])[0]
+    return kinds == _LETTERS_APART["normalizer"] and (
+        first.get("pattern", {}).get("Regex") == _LETTERS_APART["pattern"]
+    )
+
+
+def _letters_only(path: str):
+    """The tokenizer without its normalizer and pattern, for runs of lower-case letters."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer
+
+
 class WordEncoder:
     """Ids of texts as little-endian bytes, two per id if the vocabulary allows, else four."""
 
@@ -58,31 +95,88 @@ class WordEncoder:
         if self.encode_whole("Probe \n Probe's\tx9 ") != sum(apart, []):
             raise ValueError(f"{path} does not drop white space, so texts can't be encoded by words")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        steps = json.loads(self.tokenizer.to_str())
+        self.letters = _letters_only(path) if _separates_letters(steps) else None
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes | None] = {}
 
     def encode_whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: bytes) -> bytes:
         """The ids of one text, worked through block by block."""
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
         return b"".join(map(self._encode_block, blocks(text)))
 
     def _encode_block(self, text: bytes) -> bytes:
+        if self.letters is not None and b"'" not in text and not self._has_special(text):
+            parts = _PARTS.findall(text.lower())
+            self._learn_parts(set(parts).difference(self.parts))
+            ids = list(map(self.parts.__getitem__, parts))
+            if None not in ids:
+                return b"".join(ids)
         words = text.split()
         new = set(words).difference(self.known)
         if new:
             if len(self.known) > CACHE_WORDS:
                 self.known.clear()
                 new = set(words)
-            self._learn(list(new))
+            if self.letters is None:
+                self._learn(self.known, self.tokenizer, list(new))
+            else:
+                self._put_together(new)
         return b"".join(map(self.known.__getitem__, words))
 
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
+    def _has_special(self, text: bytes) -> bool:
+        return any(special in text for special in self.special)
+
+    def _learn(self, table: dict, tokenizer, words: list[bytes]) -> None:
+        found = tokenizer.encode_batch_fast(
             [word.decode(errors="replace") for word in words], add_special_tokens=False
         )
+        kind = "H" if self.dtype.itemsize == 2 else "I"
         for word, encoded in zip(words, found):
-            self.known[word] = np.array(encoded.ids, self.dtype).tobytes()
+            table[word] = array.array(kind, encoded.ids).tobytes()
+
+    def _learn_parts(self, parts: set[bytes]) -> None:
+        """Ids of runs of letters or others; None where neighbours may matter."""
+        latin, other = {}, []
+        for part in parts:
+            text = part.decode(errors="replace")
+            if not part[:1].isalpha() and part[0] < 0x80:
+                other.append(part)  # ASCII without letters
+            elif not text.isalpha() or "\u0130" in text:
+                self.parts[part] = None  # U+0130 becomes a letter and a mark
+            elif text.isascii():
+                latin[part] = part
+            elif max(text) < "\u0250":
+                latin[part] = text.lower().encode()
+            else:
+                other.append(part)
+        self._learn(self.parts, self.tokenizer, other)
+        lowered = dict.fromkeys(latin.values())
+        self._learn(lowered, self.letters, list(lowered))
+        for part, text in latin.items():
+            self.parts[part] = lowered[text]
+
+    def _put_together(self, words: set[bytes]) -> None:
+        """Encode words from their parts, where that is sure to be the same."""
+        whole, cut = [], {}
+        for word in words:
+            if b"'" in word or self._has_special(word):
+                whole.append(word)
+            else:
+                cut[word] = _PARTS.findall(word.lower())
+        self._learn_parts({part for parts in cut.values() for part in parts}.difference(self.parts))
+        for word, parts in cut.items():
+            ids = [self.parts[part] for part in parts]
+            if None in ids:
+                whole.append(word)
+            else:
+                self.known[word] = b"".join(ids)
+        self._learn(self.known, self.tokenizer, whole)
 
 
 @functools.lru_cache(maxsize=4)
