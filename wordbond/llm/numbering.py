@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 # Rows that one sort of the numbering may hold.
-TARGET_ROWS = 100_000
+TARGET_ROWS = 2_000
 
 _PARTS, _PART, _BEFORE, _ROWS = "_parts", "_part", "_before", "_rows"
 
