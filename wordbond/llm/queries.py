@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
-from . import bpe, chat, exact_dedup, lm_scoring, packing, sharding, simhash, token_files, toxicity
+from . import bpe, chat, exact_dedup, lm_scoring, neighbours, packing, sharding, simhash, token_files, toxicity
 from .shipping import share_import_path
 
 
@@ -26,6 +26,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op3_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), stored=True
@@ -77,6 +81,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_projected_neighbours": op3_projected_neighbours,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_token_files": op5_token_files,
     "op6_label_propagation_shards": op6_label_propagation_shards,
