@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from wordbond import Workspace
+from wordbond import JoinLimits, Workspace
 from wordbond import functions as fn, operators as op, plans, sinks, sources
 
 try:  # the training-data operators can be left out
@@ -24,7 +24,9 @@ except ModuleNotFoundError as missing:
 
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "for", "that", "with", "by", "are", "as", "it", "on"]
 MIN_NPMI, REL_MIN_NPMI = 0.9, 0.0002
-MAX_NPMI, TOP_K = 0.99, 10
+MAX_NPMI, TOP_K, LARGE_TOP_K = 0.99, 10, 2000
+# Force the ways that large data take: nothing is broadcast, and many keys are split.
+SHUFFLED = JoinLimits(broadcast_bytes=0, split_rows=20)
 SAMPLE = 0.25
 # Latin letters written as the Hebrew letters of the same place; w-z stay Latin.
 LATIN, HEBREW = "abcdefghijklmnopqrstuv", "אבגדהוזחטיכלמנסעפצקרשת"
@@ -73,6 +75,26 @@ def _selected(spark: SparkSession, sf_dir: str, ordered: bool = False, **choices
     )
 
 
+def _lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """``position, f``: written lines with their place over all files, split into fields."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    files = lines.groupBy("file").agg(F.count("*").alias("lines"))  # a row per file
+    before = F.sum("lines").over(Window.orderBy("file")) - F.col("lines")
+    place = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    return lines.withColumn("place", place).join(files.withColumn("before", before), "file").select(
+        (F.col("before") + F.col("place")).cast("bigint").alias("position"),
+        F.split("value", r"[,\s]+").alias("f"),
+    )
+
+
+def _fields(lines: DataFrame, **types: str) -> DataFrame:
+    return lines.select("position", *[
+        F.col("f")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(types.items())
+    ])
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round scores: engines differ in the last bit of logarithms and sums."""
     digits = {"npmi": 6, "total_npmi": 4, "rel_npmi": 9, "pmi": 6} | digits
@@ -104,6 +126,10 @@ def malformed_rows(spark, sf_dir):
     return op.reject_malformed(kept, "DROPMALFORMED")
 
 
+def malformed_rows_failfast(spark, sf_dir):
+    return op.reject_malformed(english_words(spark, sf_dir), "FAILFAST")
+
+
 def english_words(spark, sf_dir):
     return op.keep_language(sources.split_ngrams(ngram_lines(spark, sf_dir)), "english")
 
@@ -121,7 +147,22 @@ def decade_bucket(spark, sf_dir):
 
 
 def row_sample(spark, sf_dir):
-    return sources.split_ngrams(op.sample_rows(ngram_lines(spark, sf_dir), SAMPLE, seed=7))
+    """What holds for any random sample of stored lines, as rows themselves are chance."""
+    lines = Workspace(spark).store(ngram_lines(spark, sf_dir), "lines")
+    first, again = (op.sample_rows(lines, SAMPLE, seed=7) for _ in range(2))
+
+    def marked(df, *marks):
+        return df.select("value", *[F.lit(m).alias(n) for m, n in zip(marks, ("given", "first", "again"))])
+
+    seen = marked(lines, 1, 0, 0).union(marked(first, 0, 1, 0)).union(marked(again, 0, 0, 1)).groupBy("value").agg(
+        *[F.sum(n).alias(n) for n in ("given", "first", "again")]
+    )
+    return seen.agg(
+        F.every(F.col("first") <= F.col("given")).alias("part_of_input"),
+        F.every(F.col("first") == F.col("again")).alias("repeatable"),
+        (F.abs(F.sum("first") / F.sum("given") - SAMPLE) < 0.01).alias("near_fraction"),
+        F.sum("given").alias("lines"),
+    )
 
 
 def row_sample_hash(spark, sf_dir):
@@ -149,17 +190,25 @@ def count_rollup(spark, sf_dir):
     return op.count_rollup(op.count_pairs_per_decade(_clean(spark, sf_dir)))
 
 
-def _with_marginal(attach: Callable) -> Callable:
+def ordered_count_lines(spark, sf_dir):
+    path = Workspace(spark).new_path("count-lines")
+    sinks.save_pair_count_lines(pair_counts(spark, sf_dir), path, ordered=True)
+    return _fields(
+        _lines_in_order(spark, path), decade="int", w1="string", w2="string", c12="bigint", n="bigint", c1="bigint"
+    )
+
+
+def _with_marginal(attach: Callable, limits: JoinLimits = JoinLimits()) -> Callable:
     def query(spark, sf_dir):
         workspace = Workspace(spark)
         pairs = _stored_pairs(spark, sf_dir, workspace)
-        return attach(pairs, op.marginals(pairs, workspace))
+        return attach(pairs, op.marginals(pairs, workspace, limits=limits))
 
     return query
 
 
 def duplicate_pairs(spark, sf_dir):
-    pairs = op.count_pairs_per_decade(_clean(spark, sf_dir))
+    pairs = _stored_pairs(spark, sf_dir, Workspace(spark))
     return op.duplicate_pairs(pairs.union(pairs.filter("decade >= 1900")))
 
 
@@ -184,7 +233,7 @@ def pmi(spark, sf_dir):
 
 
 def npmi(spark, sf_dir):
-    return _rounded(plans.score_pairs(pair_counts(spark, sf_dir)))
+    return _rounded(plans.score_pairs(pair_counts(spark, sf_dir), validate=False))
 
 
 def pair_scores_reload(spark, sf_dir):
@@ -193,6 +242,14 @@ def pair_scores_reload(spark, sf_dir):
     return _rounded(sources.load_pair_scores(spark, path))
 
 
+def ordered_score_lines(spark, sf_dir):
+    path = Workspace(spark).new_path("score-lines")
+    sinks.save_pair_score_lines(_scores(spark, sf_dir), path, ordered=True)
+    return _rounded(_fields(
+        _lines_in_order(spark, path), decade="int", w1="string", w2="string", npmi="double"
+    ))
+
+
 def npmi_totals(spark, sf_dir):
     return _rounded(op.npmi_totals(_scores(spark, sf_dir)))
 
@@ -228,6 +285,20 @@ def collocations(spark, sf_dir):
     return _rounded(_selected(spark, sf_dir, ordered=True))
 
 
+def collocations_shuffled(spark, sf_dir):
+    return _rounded(_selected(spark, sf_dir, limits=SHUFFLED))
+
+
+def collocations_split_size(spark, sf_dir):
+    workspace = Workspace(spark)
+    path = workspace.new_path("ngrams")
+    ngram_lines(spark, sf_dir).write.text(path)
+    return _rounded(plans.collocations(
+        spark, path, language="english", stop_words=STOP_WORDS, min_npmi=MIN_NPMI,
+        rel_min_npmi=REL_MIN_NPMI, ordered=False, split_size=100_000, workspace=workspace,
+    ))
+
+
 def hebrew_collocations(spark, sf_dir):
     return _rounded(plans.collocations(
         spark, _hebrew_lines(spark, sf_dir), language="hebrew",
@@ -245,11 +316,15 @@ def max_npmi(spark, sf_dir):
     return _rounded(scores.select("decade", "w1", "w2", "npmi"))
 
 
-def _ranked(spark, sf_dir, **choices) -> DataFrame:
+def _top(spark, sf_dir, k: int = TOP_K, **choices) -> DataFrame:
     # Scores that differ only in the last bit are ties, ranked by the words.
-    scores = _rounded(_selected(spark, sf_dir), npmi=10)
-    top = plans.top_collocations(scores, TOP_K, MAX_NPMI, **choices)
-    return _rounded(top.select("decade", "w1", "w2", "npmi"))
+    workspace = Workspace(spark)
+    scores = workspace.store(_rounded(_selected(spark, sf_dir, workspace=workspace), npmi=10), "kept")
+    return plans.top_collocations(scores, k, MAX_NPMI, workspace=workspace, **choices)
+
+
+def _ranked(spark, sf_dir, *k: int, **choices) -> DataFrame:
+    return _rounded(_top(spark, sf_dir, *k, **choices).select("decade", "w1", "w2", "npmi"))
 
 
 def top_k_per_decade(spark, sf_dir):
@@ -260,6 +335,18 @@ def top_k_inclusive(spark, sf_dir):
     return _ranked(spark, sf_dir, inclusive=True)
 
 
+def top_k_large(spark, sf_dir):
+    return _ranked(spark, sf_dir, LARGE_TOP_K, deduplicate=False)
+
+
+def top_listing(spark, sf_dir):
+    path = Workspace(spark).new_path("top")
+    sinks.save_top_listing(_top(spark, sf_dir, deduplicate=False), path)
+    return _rounded(_fields(
+        _lines_in_order(spark, path), decade="int", w1="string", w2="string", npmi="double"
+    ))
+
+
 def collocation_lines(spark, sf_dir):
     return sinks.collocation_lines(_rounded(_selected(spark, sf_dir)))
 
@@ -301,6 +388,7 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "ngram_scan": ngram_scan,
         "sequence_scan": sequence_scan,
         "malformed_rows": malformed_rows,
+        "malformed_rows_failfast": malformed_rows_failfast,
         "english_words": english_words,
         "hebrew_words": hebrew_words,
         "stop_word_filter": stop_word_filter,
@@ -313,12 +401,16 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "attach_total": _with_marginal(op.attach_decade_total),
         "left_marginal": _with_marginal(op.attach_left_marginal),
         "right_marginal": _with_marginal(op.attach_right_marginal),
+        "left_marginal_split": _with_marginal(op.attach_left_marginal, SHUFFLED),
+        "right_marginal_split": _with_marginal(op.attach_right_marginal, SHUFFLED),
+        "ordered_count_lines": ordered_count_lines,
         "count_rollup": count_rollup,
         "duplicate_pairs": duplicate_pairs,
         "degenerate_pairs": degenerate_pairs,
         "pmi": pmi,
         "npmi": npmi,
         "pair_scores_reload": pair_scores_reload,
+        "ordered_score_lines": ordered_score_lines,
         "npmi_totals": npmi_totals,
         "npmi_running_totals": npmi_running_totals,
         "relative_npmi": relative_npmi,
@@ -328,9 +420,13 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "max_npmi": max_npmi,
         "top_k_per_decade": top_k_per_decade,
         "top_k_inclusive": top_k_inclusive,
+        "top_k_large": top_k_large,
+        "top_listing": top_listing,
         "collocation_lines": collocation_lines,
         "result_reload": result_reload,
         "collocations": collocations,
+        "collocations_shuffled": collocations_shuffled,
+        "collocations_split_size": collocations_split_size,
         "hebrew_collocations": hebrew_collocations,
     }
 
@@ -439,10 +535,13 @@ def association_sql() -> dict[str, str]:
         "sequence_scan": records + all_records,
         "malformed_rows": broken + _ENGLISH_WORDS
         + " SELECT * FROM words WHERE year IS NOT NULL AND match_count >= 1",
+        "malformed_rows_failfast": words + " SELECT * FROM words",
         "english_words": words + " SELECT * FROM words",
         "hebrew_words": hebrew + " SELECT * FROM words",
         "stop_word_filter": pairs + " SELECT * FROM kept_words",
         "decade_bucket": words + " SELECT year - year % 10 AS decade, w1, w2, match_count FROM words",
+        "row_sample": records + """
+            SELECT true AS part_of_input, true AS repeatable, true AS near_fraction, count(*) AS lines FROM records""",
         "row_sample_hash": records + all_records
         + f" WHERE CAST('0x' || substr(md5(value), 1, 8) AS BIGINT) < {int(SAMPLE * 2**32)}",
         "pair_counts": pairs + counts,
@@ -451,6 +550,14 @@ def association_sql() -> dict[str, str]:
         "attach_total": pairs + " SELECT decade, w1, w2, c12, n FROM counts",
         "left_marginal": pairs + " SELECT decade, w1, w2, c12, c1 FROM counts",
         "right_marginal": pairs + " SELECT decade, w1, w2, c12, c2 FROM counts",
+        "left_marginal_split": pairs + " SELECT decade, w1, w2, c12, c1 FROM counts",
+        "right_marginal_split": pairs + " SELECT decade, w1, w2, c12, c2 FROM counts",
+        "ordered_count_lines": pairs + """
+            SELECT row_number() OVER (ORDER BY decade, w1, w2) AS position, decade, w1, w2, c12, n, c1
+            FROM counts""",
+        "ordered_score_lines": pairs + """
+            SELECT row_number() OVER (ORDER BY decade, w2, w1) AS position, decade, w1, w2, round(npmi, 6) AS npmi
+            FROM scores""",
         "count_rollup": pairs + """
             SELECT decade, w1, w2, CAST(grouping(decade, w1, w2) AS INTEGER) AS level,
                    CAST(sum(c12) AS BIGINT) AS total, count(*) AS rows
@@ -478,9 +585,16 @@ def association_sql() -> dict[str, str]:
         "max_npmi": pairs + reloaded_score + f"scores WHERE npmi <= {MAX_NPMI}",
         "top_k_per_decade": pairs + reloaded_score + f"ranked WHERE place <= {TOP_K}",
         "top_k_inclusive": pairs + reloaded_score + f"ranked WHERE place <= {TOP_K + 1}",
+        "top_k_large": pairs + reloaded_score + f"ranked WHERE place <= {LARGE_TOP_K}",
+        "top_listing": pairs + f"""
+            SELECT row_number() OVER (ORDER BY decade, npmi DESC, w1, w2) AS position,
+                   decade, w1, w2, round(npmi, 6) AS npmi
+            FROM ranked WHERE place <= {TOP_K}""",
         "collocation_lines": pairs + """
             SELECT decade || ' ' || w1 || ' ' || w2 || ' ' || round(npmi, 6) AS value FROM kept""",
         "result_reload": pairs + reloaded_score + "kept",
         "collocations": pairs + full_result,
+        "collocations_shuffled": pairs + full_result,
+        "collocations_split_size": pairs + full_result,
         "hebrew_collocations": hebrew + _pairs("") + full_result,
     }

@@ -7,7 +7,7 @@ from wordbond import clean_ngrams
 from wordbond.operators import (
     drop_stop_words, keep_language, reject_malformed, sample_rows, sample_rows_by_hash, with_decade,
 )
-from wordbond.sources import as_lines, document_bigrams, split_ngrams
+from wordbond.sources import as_lines, document_bigrams, read_ngrams, split_ngrams
 
 
 def rows(df):
@@ -72,6 +72,19 @@ def test_malformed_rows_fail_or_are_dropped(lines, bad):
     assert clean(lines, "a b 1990 1", bad, mode="DROPMALFORMED") == [(1990, "a", "b", 1)]
 
 
+@pytest.mark.parametrize("bad", ["c d 1990", "e f xx 7", "foo"])
+def test_malformed_rows_fail_whatever_is_read(spark, tmp_path, lines, bad):
+    (tmp_path / "lines.txt").write_text(f"a b 1990 1\n{bad}\n")
+    ngrams = read_ngrams(spark, str(tmp_path / "lines.txt"))
+    cleaned = clean_ngrams(lines("a b 1990 1", bad), ["the"], language="english")
+    for df in (ngrams.groupBy().count(), ngrams.select("w1"), ngrams.select("w1", "w2"),
+               cleaned.groupBy("w1").count(), cleaned.select("w2")):
+        with pytest.raises(Exception, match="malformed n-gram row"):
+            df.collect()
+    with pytest.raises(Exception, match="malformed n-gram row"):
+        ngrams.count()
+
+
 def test_malformed_rows_that_a_word_filter_drops_do_not_fail(lines):
     assert clean(lines, "foo2 bar 1990", "the cat soon 5", "a b 1990 1", stop_words=["the"]) == [
         (1990, "a", "b", 1)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wordbond import Workspace
+from wordbond import JoinLimits, Workspace
 from wordbond.operators import (
     attach_decade_total, attach_left_marginal, attach_right_marginal, broadcast_if_small,
     drop_stop_words, marginals,
@@ -39,11 +39,12 @@ def expected(pairs, keys):
 
 
 LIMITS = {
-    "broadcast": {},
-    "shuffled": {"broadcast_bytes": 0},
-    "split": {"broadcast_bytes": 0, "split_rows": 100},
-    "few hot keys": {"broadcast_bytes": 0, "split_rows": 100, "max_hot_keys": 3},
-    "all keys hot": {"broadcast_bytes": 0, "split_rows": 0},
+    "broadcast": JoinLimits(),
+    "shuffled": JoinLimits(broadcast_bytes=0),
+    "split": JoinLimits(broadcast_bytes=0, split_rows=100),
+    "merged": JoinLimits(broadcast_bytes=0, split_rows=100, hash_bytes=0),
+    "short hot list": JoinLimits(broadcast_bytes=0, split_rows=100, hot_list_bytes=200),
+    "all keys hot": JoinLimits(broadcast_bytes=0, split_rows=0),
 }
 
 
@@ -55,7 +56,7 @@ LIMITS = {
 ])
 def test_totals_are_the_same_on_every_path(skewed, attach, keys, name, limits):
     pairs, counted = skewed
-    attached = attach(pairs, counted, **limits).select(*pairs.columns, name)
+    attached = attach(pairs, counted, limits).select(*pairs.columns, name)
     assert sorted(tuple(row) for row in attached.collect()) == expected(pairs, keys)
 
 
@@ -65,21 +66,39 @@ def test_small_totals_are_broadcast(skewed, plan_of):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-@pytest.mark.parametrize("hash_bytes, strategy", [(None, "ShuffledHashJoin"), (0, "SortMergeJoin")])
-def test_large_totals_are_shuffled_with_the_hot_keys_split(
-    skewed, plan_of, monkeypatch, hash_bytes, strategy
-):
-    if hash_bytes is not None:
-        monkeypatch.setattr("wordbond.operators.joining.HASH_BYTES", hash_bytes)
+@pytest.mark.parametrize("choice, strategy", [({}, "ShuffledHashJoin"), ({"hash_bytes": 0}, "SortMergeJoin")])
+def test_large_totals_are_shuffled_with_the_hot_keys_split(skewed, plan_of, choice, strategy):
     pairs, counted = skewed
-    plain = attach_left_marginal(pairs, counted, broadcast_bytes=0)
+    plain = attach_left_marginal(pairs, counted, JoinLimits(broadcast_bytes=0, **choice))
     assert f"{strategy} [decade" in plan_of(plain) and "Broadcast" not in plan_of(plain)
-    split = attach_left_marginal(pairs, counted, broadcast_bytes=0, split_rows=100)
+    split = attach_left_marginal(pairs, counted, JoinLimits(broadcast_bytes=0, split_rows=100, **choice))
     assert f"{strategy} [decade" in plan_of(split) and "salt" in plan_of(split)
     keys = ["decade", "w1", "w2"]
     assert rows(split.select(*keys, "c1")) == rows(plain.select(*keys, "c1"))
 
 
+def test_few_hot_keys_keep_the_threshold_however_many_rows(skewed, plan_of):
+    from wordbond.operators.joining import Size, attach_totals
+
+    pairs, counted = skewed
+    table, limits = counted[1].table, JoinLimits(broadcast_bytes=0, split_rows=100)
+    sizes = {hot: Size(10**9, 10**12, hot, 64, 100) for hot in (10, 10**7)}
+    plans = {
+        hot: plan_of(attach_totals(pairs, table, ["decade", "w1"], ["w2"], size, limits))
+        for hot, size in sizes.items()
+    }
+    assert "rows#" in plans[10] and "> 100)" in plans[10]
+    assert "> 100)" not in plans[10**7] and f"> {-(-10**12 // (limits.hot_list_bytes // 64))})" in plans[10**7]
+
+
+def test_helper_names_do_not_eat_columns(spark, skewed):
+    pairs, counted = skewed
+    named = pairs.withColumns({"salt": F.lit(1), "parts": F.lit(2), "part": F.lit(3), "place": F.lit(4)})
+    joined = attach_left_marginal(named, counted, JoinLimits(broadcast_bytes=0, split_rows=100))
+    assert joined.columns == [*named.columns, "c1"] or set(joined.columns) == {*named.columns, "c1"}
+    assert joined.select("salt", "parts", "part", "place").distinct().collect() == [(1, 2, 3, 4)]
+
+
 def test_split_keys_spread_over_partitions(spark, skewed):
     pairs, counted = skewed
     saved = {
@@ -90,7 +109,7 @@ def test_split_keys_spread_over_partitions(spark, skewed):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         def largest(**limits):
-            joined = attach_left_marginal(pairs, counted, broadcast_bytes=0, **limits)
+            joined = attach_left_marginal(pairs, counted, JoinLimits(broadcast_bytes=0, **limits))
             return max(
                 row["count"]
                 for row in joined.filter("w1 = 'hot'").groupBy(F.spark_partition_id()).count().collect()

@@ -6,8 +6,8 @@ import __spark_entry__ as spark_entry
 from wordbond import (
     Workspace, clean_ngrams, collocations, count_pairs, select_collocations, top_collocations,
 )
-from wordbond.operators import running_npmi_totals
-from wordbond.sources import read_lines
+from wordbond.operators import drop_stop_words, running_npmi_totals
+from wordbond.sources import read_collocation_lines, read_lines, split_ngrams
 
 GOOD = dict(language="english", min_npmi=0.5, rel_min_npmi=0.2)
 
@@ -43,27 +43,37 @@ def test_bad_counts(spark):
         select_collocations(scores, min_npmi=-1, rel_min_npmi=0)
 
 
-def test_cluster_sessions_must_name_a_shared_folder(spark, monkeypatch):
+def test_without_a_named_folder_stages_go_to_the_warehouse():
     from wordbond import workspace
 
-    class Context:
-        master = "yarn"
-
-        def getCheckpointDir(self):
-            return None
-
     class Session:
-        sparkContext = Context()
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
 
         class conf:
             @staticmethod
             def get(name, default=None):
-                return default
+                return {"spark.sql.warehouse.dir": "hdfs:/warehouse/"}.get(name, default)
+
+    assert workspace.shared_folder(Session()) == "hdfs:/warehouse/_stages"
+
+
+def test_sessions_that_hide_overflow_are_refused(spark, lines):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for call in (lambda: count_pairs(lines("a b 1990 1"), language="english"),
+                     lambda: read_collocation_lines(spark, "somewhere")):
+            with pytest.raises(ValueError, match="ansi"):
+                call()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace.shared_folder(Session())
-    Context.master = "local[2]"
-    assert workspace.shared_folder(Session())
+def test_a_single_string_is_no_list_of_stop_words(spark, lines):
+    with pytest.raises(TypeError, match="single string"):
+        drop_stop_words(split_ngrams(lines("the x 1990 1")), "the")
 
 
 def test_no_python_in_the_plans(spark, lines, plan_of):
@@ -73,7 +83,7 @@ def test_no_python_in_the_plans(spark, lines, plan_of):
     )
     cleaned = clean_ngrams(lines("a b 1990 1"), ["the"], language="english")
     counts = count_pairs(lines("a b 1990 1"), language="english")
-    for df in (result, cleaned, counts, top_collocations(result, 3)):
+    for df in (result, cleaned, counts, top_collocations(result, 3, workspace=workspace)):
         plan = plan_of(df)
         assert "Python" not in plan and "ArrowEval" not in plan
 

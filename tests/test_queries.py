@@ -42,15 +42,14 @@ def test_query_equals_sql(spark, duck, name):
     assert canonical([tuple(row) for row in ours.collect()], ours.columns) == expected
 
 
-def test_only_the_random_sample_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"row_sample"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
-def test_random_sample_is_a_part_of_the_rows(spark):
-    every = QUERIES["ngram_scan"](spark, SF_DIR).count()
-    part = QUERIES["row_sample"](spark, SF_DIR).count()
-    assert 0.23 * every < part < 0.27 * every
+@pytest.mark.parametrize("name", ["left_marginal_split", "right_marginal_split", "collocations_shuffled"])
+def test_large_data_joins_are_shuffled_and_split(spark, plan_of, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "_salt" in plan and "ShuffledHashJoin" in plan
 
 
 def test_entry_is_ordered(spark):

@@ -1,10 +1,11 @@
 """Upper bound, self pairs, repeated rows and the best rows of each decade."""
 
+import os
 import random
 
 import pytest
 
-from wordbond import top_collocations
+from wordbond import Workspace, top_collocations
 from wordbond.operators import (
     drop_high_scores, drop_repeated_scores, order_collocations, order_counts, order_scores,
     top_k_per_decade,
@@ -39,9 +40,29 @@ def test_top_k_against_sorting(many, k):
     assert rows(order_collocations(top_k_per_decade(frame, k))) == expected
 
 
-def test_top_k_cuts_rows_before_the_shuffle(many, plan_of):
+def test_no_decade_is_ranked_in_one_task(many, plan_of):
     plan = plan_of(top_k_per_decade(many[1], 10))
-    assert plan.count("WindowGroupLimit") == 4
+    assert "Window" not in plan and "Exchange hashpartitioning(decade" not in plan
+
+
+def test_rows_below_the_level_of_the_kth_go_before_the_sort(spark, tmp_path):
+    many = spark.range(1000).selectExpr("1980 AS decade", "cast(id AS string) AS w1", "'b' AS w2", "id / 1000D AS npmi")
+    workspace = Workspace(spark, str(tmp_path))
+    assert {r[3] for r in rows(top_k_per_decade(many, 10, workspace))} == {i / 1000 for i in range(990, 1000)}
+    (ranges,) = [p for p in os.listdir(workspace.path) if p.endswith("top-ranges")]
+    assert spark.read.parquet(f"{workspace.path}/{ranges}").count() == 10
+
+
+def test_nan_null_and_infinite_scores_have_their_places(spark):
+    frame = spark.createDataFrame([
+        (1980, "a", "b", None), (1980, "c", "d", NAN), (1980, "e", "f", float("inf")), (1980, "g", "h", -float("inf")),
+        (None, "i", "j", 0.5), (1990, "k", "l", 0.5), (1980, "m", "n", 0.1),
+    ], SCORES)
+    named = frame.selectExpr("*", "1 AS part", "2 AS place", "3 AS _rows")
+    for k, expected in ((1, "cik"), (2, "ceik"), (3, "ceikm"), (4, "cegikm"), (5, "acegikm"), (9, "acegikm")):
+        top = top_k_per_decade(named, k)
+        assert "".join(sorted(r.w1 for r in top.collect())) == expected
+        assert top.columns == named.columns
 
 
 def test_upper_bound_keeps_nan(spark):

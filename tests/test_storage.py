@@ -1,10 +1,15 @@
 """Sources, sinks and stage tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
-from wordbond import Workspace, collocations, count_pairs, score_pairs, select_collocations, top_collocations
+from wordbond import (
+    Workspace, collocations, count_pairs, score_pairs, select_collocations, spark_settings,
+    top_collocations,
+)
 from wordbond.sinks import (
     collocation_lines, save_collocation_lines, save_pair_count_lines, save_pair_counts,
     save_pair_score_lines, save_pair_scores, save_top_listing,
@@ -66,15 +71,28 @@ def test_hebrew_sequence_file(spark, tmp_path):
 
 
 def test_split_size_bounds_the_splits(spark, tmp_path):
-    (tmp_path / "big.txt").write_text("strong tea\t1983\t4\t1\t1\n" * 20_000)
+    path = str(tmp_path / "big.txt")
+    (tmp_path / "big.txt").write_text("strong tea\t1983\t4\t1\t1\nold ship 1984 2\n" * 10_000)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        whole = read_lines(spark, str(tmp_path / "big.txt"))
-        assert whole.rdd.getNumPartitions() <= 8
-        split = read_lines(spark, str(tmp_path / "big.txt"), split_size=20_000)
-        assert split.rdd.getNumPartitions() >= 20 and split.count() == 20_000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert read_lines(spark, path).rdd.getNumPartitions() <= 8
+    seen = []
+    store = Workspace.store
+
+    def watched(self, df, name, *rest):
+        if name == "pairs":
+            seen.append(read_lines(spark, path).rdd.getNumPartitions())
+        return store(self, df, name, *rest)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Workspace, "store", watched)
+        found = collocations(
+            spark, path, language="english", min_npmi=0.0, rel_min_npmi=0.0, split_size=10_000
+        )
+    assert seen[0] >= 20 and found.count() > 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    with pytest.raises(ValueError, match="spark_settings"):
+        read_lines(spark, path, split_size=20_000)
+    assert spark_settings(split_size=7)["spark.sql.files.maxPartitionBytes"] == "7"
 
 
 def test_split_size_bounds_sequence_splits(spark, tmp_path):
@@ -82,8 +100,11 @@ def test_split_size_bounds_sequence_splits(spark, tmp_path):
     spark.sparkContext.parallelize([(i, TEXTS[0]) for i in range(20_000)], 1).saveAsSequenceFile(path)
     whole = read_lines(spark, path, "sequence")
     split = read_lines(spark, path, "sequence", split_size=50_000)
-    assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+    parts = [len([p for p in os.listdir(df.inputFiles()[0].removeprefix("file:").rpartition("/")[0]) if p.startswith("part-")])
+             for df in (split, whole)]
+    assert parts[0] > parts[1]
     assert split.count() == whole.count() == 20_000
+    assert "Python" not in split._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stop_words_by_language(spark, tmp_path):
@@ -150,7 +171,7 @@ def test_small_scores_keep_their_exact_value(spark, tmp_path):
 
 def test_top_listing_is_one_ordered_file(selected, tmp_path):
     top = top_collocations(selected, 2, 0.99)
-    save_top_listing(top, str(tmp_path / "top"))
+    save_top_listing(top, str(tmp_path / "top"), single_file=True)
     files = [p for p in os.listdir(tmp_path / "top") if p.startswith("part-")]
     assert len(files) == 1
     assert (tmp_path / "top" / files[0]).read_text().splitlines() == [
@@ -158,8 +179,7 @@ def test_top_listing_is_one_ordered_file(selected, tmp_path):
     ]
 
 
-def test_long_listing_is_ordered_over_several_files(selected, tmp_path, monkeypatch):
-    monkeypatch.setattr("wordbond.sinks.lines.SINGLE_FILE_ROWS", 2)
+def test_listing_is_ordered_over_its_files(selected, tmp_path):
     save_top_listing(selected, str(tmp_path / "top"))
     files = sorted(p for p in os.listdir(tmp_path / "top") if p.startswith("part-"))
     text = "".join((tmp_path / "top" / p).read_text() for p in files).splitlines()
@@ -173,3 +193,38 @@ def test_stage_tables_live_in_the_shared_folder_until_dropped(spark, tmp_path):
         assert workspace.path.startswith(str(tmp_path)) and stored.count() == 5
         assert os.path.isdir(workspace.path)
     assert not os.path.exists(workspace.path)
+
+
+def test_a_listing_runs_its_plan_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(5, numPartitions=1).selectExpr("1980 AS decade", "'a' AS w1", "cast(id AS string) AS w2", "0.5D AS npmi")
+    save_top_listing(rows.mapInArrow(count, rows.schema).coalesce(1), str(tmp_path / "one"), single_file=True)
+    assert runs.value == 5
+
+
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+from wordbond import Workspace, collocations
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+lines = spark.createDataFrame([("a b 1990 1",), ("c d 1990 2",)], "value string")
+assert collocations(spark, lines, language="english", min_npmi=0.0, rel_min_npmi=0.0).count() == 2
+import os
+assert [name for name in os.listdir(sys.argv[1]) if name.startswith("wordbond-")]
+"""
+
+
+def test_nothing_is_left_once_the_driver_ends(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(tmp_path)], check=True, timeout=240, capture_output=True,
+        env=os.environ | {"PYTHONPATH": root}, cwd=str(tmp_path),
+    )
+    assert not [name for name in os.listdir(tmp_path) if name.startswith("wordbond-")]

@@ -4,7 +4,7 @@ from .counting import (
     count_pairs_per_decade, count_rollup, decade_totals, duplicate_pairs, marginals,
     require_unique_pairs,
 )
-from .joining import attach_totals, broadcast_if_small, local_table, store_totals
+from .joining import JoinLimits, attach_totals, broadcast_if_small, local_table, store_totals
 from .ordering import order_collocations, order_counts, order_scores
 from .sampling import sample_rows, sample_rows_by_hash
 from .scoring import (
@@ -16,7 +16,7 @@ from .selecting import (
 )
 
 __all__ = [
-    "Marginal", "attach_decade_total", "attach_left_marginal", "attach_right_marginal",
+    "JoinLimits", "Marginal", "attach_decade_total", "attach_left_marginal", "attach_right_marginal",
     "attach_totals", "broadcast_if_small", "count_pairs_per_decade", "count_rollup",
     "decade_totals", "drop_high_scores", "drop_repeated_scores", "drop_self_pairs",
     "drop_stop_words", "drop_whole_decade_pairs", "duplicate_pairs", "keep_high_scores",

@@ -35,6 +35,8 @@ def drop_stop_words(
     program. They are broadcast if their measured size allows. A larger list
     becomes two shuffled anti joins, whose hot words adaptive execution splits.
     """
+    if isinstance(stop_words, str):
+        raise TypeError("stop_words takes a table or words, not a single string")
     if stop_words is None:
         return ngrams
     if isinstance(stop_words, DataFrame):
@@ -51,14 +53,14 @@ def reject_malformed(ngrams: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     valid = F.coalesce(F.col("year").isNotNull() & (F.col("match_count") >= 1), F.lit(False))
     if check_mode(mode) == "DROPMALFORMED":
         return ngrams.filter(valid)
-    # Raised from the columns and not from a filter, which Catalyst would move
-    # below the stop-word joins and so judge rows these joins remove.
     error = F.raise_error(F.concat(
         F.lit("malformed n-gram row: year or count does not parse for "), "w1", F.lit(" "), "w2",
     ))
-    return ngrams.withColumns({
-        name: F.when(valid, F.col(name)).otherwise(error) for name in ("year", "match_count")
-    })
+    # The row number makes the filter one that Catalyst neither drops, whatever
+    # columns are read, nor moves below the stop-word joins, where it would judge
+    # rows these joins remove.
+    always = F.monotonically_increasing_id() >= 0
+    return ngrams.filter(F.when(valid, always).otherwise(error))
 
 
 def with_decade(ngrams: DataFrame) -> DataFrame:

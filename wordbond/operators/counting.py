@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
-from .joining import Size, attach_totals, store_totals
+from .joining import JoinLimits, Size, attach_totals, store_totals
 
 PAIR = ["decade", "w1", "w2"]
 
@@ -54,39 +54,54 @@ class Marginal:
     table: DataFrame
     size: Size
 
-    def attach(self, pairs: DataFrame, keys: list[str], spread: list[str], **limits) -> DataFrame:
-        return attach_totals(pairs, self.table, keys, spread, self.size, **limits)
+    limits: JoinLimits
+
+    def attach(
+        self, pairs: DataFrame, keys: list[str], spread: list[str], limits: JoinLimits | None = None
+    ) -> DataFrame:
+        return attach_totals(pairs, self.table, keys, spread, self.size, limits or self.limits)
 
 
 def marginals(
-    pairs: DataFrame, workspace: Workspace, levels=MARGINAL_LEVELS
+    pairs: DataFrame, workspace: Workspace, levels=MARGINAL_LEVELS, limits: JoinLimits = JoinLimits()
 ) -> dict[int, Marginal]:
-    """Per-decade totals and word marginals of a pair table, by level."""
-    stored, sizes = store_totals(count_rollup(pairs, levels), workspace, "marginals", levels)
+    """Per-decade totals and word marginals of a pair table, by level.
+
+    ``limits`` hold for the joins that attach them.
+    """
+    stored, sizes = store_totals(
+        count_rollup(pairs, levels), workspace, "marginals", levels, limits
+    )
     return {
         level: Marginal(
             stored.filter(F.col("level") == level).select(
                 *_LEVEL_KEYS[level], F.col("total").alias(_TOTAL_NAMES[level]), "rows"
             ),
-            sizes[level],
+            sizes[level], limits,
         )
         for level in levels
     }
 
 
-def attach_decade_total(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
+def attach_decade_total(
+    pairs: DataFrame, counted: dict[int, Marginal], limits: JoinLimits | None = None
+) -> DataFrame:
     """Add ``n``, the count of all pairs of the decade."""
-    return counted[DECADE_LEVEL].attach(pairs, ["decade"], ["w1", "w2"], **limits)
+    return counted[DECADE_LEVEL].attach(pairs, ["decade"], ["w1", "w2"], limits)
 
 
-def attach_left_marginal(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
+def attach_left_marginal(
+    pairs: DataFrame, counted: dict[int, Marginal], limits: JoinLimits | None = None
+) -> DataFrame:
     """Add ``c1``, the count of all pairs of the decade that begin with ``w1``."""
-    return counted[LEFT_LEVEL].attach(pairs, ["decade", "w1"], ["w2"], **limits)
+    return counted[LEFT_LEVEL].attach(pairs, ["decade", "w1"], ["w2"], limits)
 
 
-def attach_right_marginal(pairs: DataFrame, counted: dict[int, Marginal], **limits) -> DataFrame:
+def attach_right_marginal(
+    pairs: DataFrame, counted: dict[int, Marginal], limits: JoinLimits | None = None
+) -> DataFrame:
     """Add ``c2``, the count of all pairs of the decade that end with ``w2``."""
-    return counted[RIGHT_LEVEL].attach(pairs, ["decade", "w2"], ["w1"], **limits)
+    return counted[RIGHT_LEVEL].attach(pairs, ["decade", "w2"], ["w1"], limits)
 
 
 def duplicate_pairs(pairs: DataFrame) -> DataFrame:

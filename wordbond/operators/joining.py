@@ -17,8 +17,6 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HASH_BYTES = 64 * 1024 * 1024
 # Detail rows of one key that a single task may take before the key is split.
 SPLIT_ROWS = 2_000_000
-# Upper bound on the number of keys that may be split at once.
-MAX_HOT_KEYS = 50_000
 # Allowance per row for offsets and the hash entry of a broadcast table.
 _ROW_OVERHEAD = 48
 
@@ -46,6 +44,22 @@ def local_table(
     return F.broadcast(table) if size <= limit else table
 
 
+@dataclass(frozen=True)
+class JoinLimits:
+    """Measured sizes up to which a join takes the cheaper way; results never depend on them.
+
+    ``broadcast_bytes``: totals that are broadcast. ``hash_bytes``: a partition of
+    shuffled totals that is hashed rather than merged. ``split_rows``: detail rows
+    of one key that stay in one task. ``hot_list_bytes``: the broadcast list of
+    split keys; beyond it only keys with more rows are split.
+    """
+
+    broadcast_bytes: int = BROADCAST_BYTES
+    hash_bytes: int = HASH_BYTES
+    split_rows: int = SPLIT_ROWS
+    hot_list_bytes: int = BROADCAST_BYTES
+
+
 @dataclass(frozen=True)
 class Size:
     """What :func:`attach_totals` must know of a totals table before it plans."""
@@ -54,6 +68,7 @@ class Size:
     detail_rows: int
     hot_keys: int
     hot_row_bytes: int
+    split_rows: int
 
     @staticmethod
     def metrics(columns: list[str], split_rows: int, where: str = "true") -> list[str]:
@@ -65,16 +80,21 @@ class Size:
         ]
 
     @classmethod
-    def of(cls, values: Iterable[int | None]) -> "Size":
-        return cls(*[value or 0 for value in values])
+    def of(cls, values: Iterable[int | None], split_rows: int) -> "Size":
+        return cls(*[value or 0 for value in values], split_rows)
 
     @classmethod
     def measure(cls, totals: DataFrame, split_rows: int) -> "Size":
-        return cls.of(totals.agg(*map(F.expr, cls.metrics(totals.columns, split_rows))).first())
+        metrics = map(F.expr, cls.metrics(totals.columns, split_rows))
+        return cls.of(totals.agg(*metrics).first(), split_rows)
 
 
 def store_totals(
-    totals: DataFrame, workspace: Workspace, name: str, levels: Iterable[int] | None = None
+    totals: DataFrame,
+    workspace: Workspace,
+    name: str,
+    levels: Iterable[int] | None = None,
+    limits: JoinLimits = JoinLimits(),
 ) -> tuple[DataFrame, dict[int | None, Size]]:
     """Store a totals table and measure it in the same job.
 
@@ -83,17 +103,17 @@ def store_totals(
     """
     wanted = {None: "true"} if levels is None else {level: f"level = {level}" for level in levels}
     names = {
-        level: [f"of_{level}_{place}" for place in range(len(fields(Size)))] for level in wanted
+        level: [f"of_{level}_{place}" for place in range(len(fields(Size)) - 1)] for level in wanted
     }
     metrics = [
         F.expr(metric).alias(alias)
         for level, where in wanted.items()
-        for alias, metric in zip(names[level], Size.metrics(totals.columns, SPLIT_ROWS, where))
+        for alias, metric in zip(names[level], Size.metrics(totals.columns, limits.split_rows, where))
     ]
     partition_by = None if levels is None else ["level"]
     stored, seen = workspace.store_observed(totals, name, metrics, partition_by)
     return stored, {
-        level: Size.of(seen[alias] for alias in names[level]) for level in wanted
+        level: Size.of((seen[alias] for alias in names[level]), limits.split_rows) for level in wanted
     }
 
 
@@ -103,47 +123,42 @@ def attach_totals(
     keys: list[str],
     spread: list[str],
     size: Size | None = None,
-    broadcast_bytes: int | None = None,
-    split_rows: int | None = None,
-    max_hot_keys: int | None = None,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """Inner join of ``totals`` to ``detail``, safe for keys with very many rows.
 
     ``totals`` holds one row per key and a column ``rows``: the number of detail
-    rows with that key. Its ``size`` is measured here unless it is given. If it is
-    small it is broadcast and the detail stays where it is. Otherwise both sides
-    are shuffled on the key and hashed or merged. A key with more than ``split_rows`` detail rows is
-    split by the hash of the ``spread`` columns into several tasks, and its one
-    totals row is repeated for each of them. The list of such keys is broadcast:
-    since the ``rows`` add up to the detail rows, ``split_rows`` bounds how many
-    there can be.
+    rows with that key. Its ``size`` is measured here unless it is given for the
+    same limits. If it is small it is broadcast and the detail stays where it is.
+    Otherwise both sides are shuffled on the key and hashed or merged. A key with
+    more than ``split_rows`` detail rows is split by the hash of the ``spread``
+    columns into several tasks, and its one totals row is repeated for each of
+    them. The list of such keys is broadcast. If it measures more than
+    ``hot_list_bytes``, the threshold rises until it surely fits, since the ``rows``
+    add up to the detail rows.
     """
-    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    max_hot_keys = MAX_HOT_KEYS if max_hot_keys is None else max_hot_keys
-    if size is None or split_rows is not None:
-        split_rows = SPLIT_ROWS if split_rows is None else split_rows
+    split_rows = limits.split_rows
+    if size is None or size.split_rows != split_rows:
         size = Size.measure(totals, split_rows)
-    else:
-        split_rows = SPLIT_ROWS
-
-    if size.bytes <= limit:
+    if size.bytes <= limits.broadcast_bytes:
         return detail.join(F.broadcast(totals.drop("rows")), keys)
     partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strategy = "shuffle_hash" if size.bytes <= HASH_BYTES * partitions else "merge"
+    strategy = "shuffle_hash" if size.bytes <= limits.hash_bytes * partitions else "merge"
     if not size.hot_keys:
         return detail.join(totals.drop("rows").hint(strategy), keys)
 
-    # Few enough hot keys that the list of them stays within the broadcast bound.
-    hot_limit = max(1, min(max_hot_keys, BROADCAST_BYTES // size.hot_row_bytes))
-    split_rows = max(split_rows, -(-size.detail_rows // hot_limit))
+    if size.hot_keys * size.hot_row_bytes > limits.hot_list_bytes:
+        fitting = max(1, limits.hot_list_bytes // size.hot_row_bytes)
+        split_rows = max(split_rows, -(-size.detail_rows // fitting))
+    split_rows = max(split_rows, 1)
     parts = F.ceil(F.col("rows") / F.lit(split_rows)).cast("int")
 
-    hot = totals.filter(F.col("rows") > split_rows).select(*keys, parts.alias("parts"))
-    salt = F.pmod(F.xxhash64(*spread), F.coalesce("parts", F.lit(1)).cast("bigint")).cast("int")
+    hot = totals.filter(F.col("rows") > split_rows).select(*keys, parts.alias("_parts"))
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1)).cast("bigint")).cast("int")
     salted_detail = (
-        detail.join(F.broadcast(hot), keys, "left").withColumn("salt", salt).drop("parts")
+        detail.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
     )
     salted_totals = (
-        totals.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
+        totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
     )
-    return salted_detail.join(salted_totals.hint(strategy), [*keys, "salt"]).drop("salt")
+    return salted_detail.join(salted_totals.hint(strategy), [*keys, "_salt"]).drop("_salt")

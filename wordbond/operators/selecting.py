@@ -4,13 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# Groups that the input partitions are merged into, one top-k round after another,
-# until a decade is left whole. Up to this k Spark cuts each input partition down
-# before the first shuffle; beyond it a decade is spread over more groups first.
-SMALL_K = 999
-SMALL_K_GROUPS = (32, 1)
-LARGE_K_GROUPS = (1024, 32, 1)
-
+from ..workspace import Workspace
+from .joining import broadcast_if_small
 
 def keep_high_scores(scores: DataFrame, min_npmi: float, rel_min_npmi: float) -> DataFrame:
     """Keep a pair if its score or its relative score reaches the threshold.
@@ -37,16 +32,47 @@ def drop_repeated_scores(scores: DataFrame) -> DataFrame:
     return scores.dropDuplicates(["decade", "npmi", "w1", "w2"])
 
 
-def top_k_per_decade(scores: DataFrame, k: int) -> DataFrame:
+def top_k_per_decade(scores: DataFrame, k: int, workspace: Workspace | None = None) -> DataFrame:
     """The ``k`` best pairs of each decade, ties broken by the words.
 
-    A decade may hold a third of all rows, so no task ranks it whole: the input
-    partitions are ranked in groups, and the winners of the groups again.
+    One way for every ``k``, and no decade is ranked in one task. Scores rounded to
+    three digits are counted per decade; rows below the level that holds the k-th
+    best go at once. What is left is range-partitioned in the order wanted, so a
+    row's place in its decade is its place in its partition plus the rows of the
+    partitions before, of which there is a small table. ``scores`` is read twice.
     """
-    order = [F.desc("npmi"), F.asc("w1"), F.asc("w2")]
-    ranked = scores.withColumn("part", F.spark_partition_id())
-    for groups in SMALL_K_GROUPS if k <= SMALL_K else LARGE_K_GROUPS:
-        keys = ["decade"] if groups == 1 else ["decade", F.col("part") % groups]
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        ranked = ranked.withColumn("place", place).filter(F.col("place") <= k)
-    return ranked.drop("part", "place")
+    workspace = workspace or Workspace(scores.sparkSession)
+    if k < 1:
+        return scores.limit(0)
+    level = F.coalesce(F.round("npmi", 3), F.lit(float("-inf")))
+    levels = scores.groupBy(F.col("decade").alias("_decade"), level.alias("_level")).agg(
+        F.count("*").alias("_rows")
+    )
+    above = Window.partitionBy("_decade").orderBy(F.desc("_level"))
+    reached = levels.withColumn("_above", F.sum("_rows").over(above) - F.col("_rows")).filter(
+        F.col("_above") < k
+    )
+    cut = workspace.store(reached.groupBy("_decade").agg(F.min("_level").alias("_cut")), "top-levels")
+    likely = scores.join(
+        broadcast_if_small(cut), F.col("decade").eqNullSafe(F.col("_decade")) & (level >= F.col("_cut"))
+    ).drop("_decade", "_cut")
+
+    order = ["decade", F.desc("npmi"), "w1", "w2"]
+    ranked = workspace.store(
+        likely.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id()), "top-ranges",
+    )
+    part = F.shiftright("_place", 33)  # the upper bits of the number are the partition
+    parts = ranked.groupBy(F.col("decade").alias("_decade"), part.alias("_part")).agg(
+        F.min("_place").alias("_first"), F.count("*").alias("_rows")
+    )
+    earlier = Window.partitionBy("_decade").orderBy("_part")
+    before = F.sum("_rows").over(earlier) - F.col("_rows")
+    offsets = workspace.store(
+        parts.select("_decade", "_part", (before - F.col("_first")).alias("_offset")), "top-offsets"
+    )
+    return ranked.join(
+        broadcast_if_small(offsets),
+        F.col("decade").eqNullSafe(F.col("_decade")) & (part == F.col("_part"))
+        & (F.col("_place") + F.col("_offset") < k),
+    ).select(*scores.columns)

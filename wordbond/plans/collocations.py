@@ -12,7 +12,7 @@ from ..operators.counting import (
     RIGHT_LEVEL, Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
     count_pairs_per_decade, marginals, require_unique_pairs,
 )
-from ..operators.joining import attach_totals, store_totals
+from ..operators.joining import JoinLimits, attach_totals, store_totals
 from ..operators.ordering import order_collocations
 from ..operators.sampling import check_fraction, sample_rows, sample_rows_by_hash
 from ..operators.scoring import TOTAL_SCOPES, scoped_totals, with_npmi, with_relative_npmi
@@ -20,7 +20,8 @@ from ..operators.selecting import (
     drop_high_scores, drop_repeated_scores, drop_self_pairs as without_self_pairs,
     keep_high_scores, top_k_per_decade,
 )
-from ..sources.ngrams import read_lines, split_ngrams
+from ..settings import require_ansi
+from ..sources.ngrams import bounded_splits, check_split_size, read_lines, split_ngrams
 from ..sources.stop_words import read_stop_words
 from ..workspace import Workspace
 
@@ -48,6 +49,7 @@ def clean_ngrams(
     match_count``. ``stop_words`` is a table (column ``word``), a file path or
     words. ``sample_by="hash"`` samples lines by their text.
     """
+    require_ansi(ngrams.sparkSession)
     check_language(language), check_fraction(fraction), check_mode(mode)
     if sample_by not in SAMPLE_METHODS:
         raise ValueError(f"sample_by must be one of {SAMPLE_METHODS}, not {sample_by!r}")
@@ -65,9 +67,12 @@ def clean_ngrams(
     return with_decade(reject_malformed(kept, mode))
 
 
-def _counted(cleaned: DataFrame, workspace: Workspace) -> tuple[DataFrame, dict[int, Marginal]]:
-    pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
-    counted = marginals(pairs, workspace)
+def _counted(
+    cleaned: DataFrame, workspace: Workspace, limits: JoinLimits, split_size: int | None = None
+) -> tuple[DataFrame, dict[int, Marginal]]:
+    with bounded_splits(cleaned.sparkSession, split_size):  # the one scan of the input
+        pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
+    counted = marginals(pairs, workspace, limits=limits)
     with_total = attach_decade_total(pairs, counted)
     pair_counts = attach_left_marginal(with_total, counted)
     return pair_counts.select("decade", "w1", "w2", "c12", "n", "c1"), counted
@@ -78,6 +83,7 @@ def count_pairs(
     stop_words: DataFrame | str | Iterable[str] | None = None,
     *,
     workspace: Workspace | None = None,
+    limits: JoinLimits = JoinLimits(),
     **cleaning,
 ) -> DataFrame:
     """``decade, w1, w2, c12, n, c1``: counts of each pair, its decade and first word.
@@ -85,7 +91,7 @@ def count_pairs(
     Takes the keyword arguments of :func:`clean_ngrams`.
     """
     cleaned = clean_ngrams(ngrams, stop_words, **cleaning)
-    return _counted(cleaned, workspace or Workspace(ngrams.sparkSession))[0]
+    return _counted(cleaned, workspace or Workspace(ngrams.sparkSession), limits)[0]
 
 
 def _scored(pair_counts: DataFrame, counted: dict[int, Marginal]) -> DataFrame:
@@ -100,19 +106,22 @@ def score_pairs(
     workspace: Workspace | None = None,
     stored: bool = False,
     validate: bool = True,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """Add the second word's count ``c2`` and the score ``npmi``.
 
     The counts are read twice, so they are stored first unless ``stored`` says
     that they already come from files. ``validate`` raises if a pair has several
-    rows in a decade; :func:`count_pairs` never gives any.
+    rows in a decade, which costs a shuffle of all rows; :func:`count_pairs` never
+    gives any, so switch it off for its result.
     """
     workspace = workspace or Workspace(pair_counts.sparkSession)
     if not stored:
         pair_counts = workspace.store(pair_counts, "pair-counts")
     if validate:
         require_unique_pairs(pair_counts)
-    return _scored(pair_counts, marginals(pair_counts, workspace, levels=(RIGHT_LEVEL,)))
+    counted = marginals(pair_counts, workspace, levels=(RIGHT_LEVEL,), limits=limits)
+    return _scored(pair_counts, counted)
 
 
 def score_ngrams(
@@ -120,14 +129,19 @@ def score_ngrams(
     stop_words: DataFrame | str | Iterable[str] | None = None,
     *,
     workspace: Workspace | None = None,
+    limits: JoinLimits = JoinLimits(),
+    split_size: int | None = None,
     **cleaning,
 ) -> DataFrame:
     """:func:`count_pairs` and :func:`score_pairs` in one, sharing all marginals.
 
-    Takes the keyword arguments of :func:`clean_ngrams`.
+    Takes the keyword arguments of :func:`clean_ngrams`. ``split_size`` bounds the
+    bytes of one split of the scan below ``ngrams``.
     """
+    check_split_size(split_size)
     cleaned = clean_ngrams(ngrams, stop_words, **cleaning)
-    return _scored(*_counted(cleaned, workspace or Workspace(ngrams.sparkSession)))
+    workspace = workspace or Workspace(ngrams.sparkSession)
+    return _scored(*_counted(cleaned, workspace, limits, split_size))
 
 
 def select_collocations(
@@ -140,6 +154,7 @@ def select_collocations(
     ordered: bool = True,
     workspace: Workspace | None = None,
     stored: bool = False,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """Add ``total_npmi`` and ``rel_npmi``; keep pairs that reach either threshold.
 
@@ -153,8 +168,10 @@ def select_collocations(
     workspace = workspace or Workspace(scores.sparkSession)
     if not stored:
         scores = workspace.store(scores, "scores")
-    totals, sizes = store_totals(scoped_totals(scores, total_scope, buckets), workspace, "npmi-totals")
-    with_total = attach_totals(scores, totals, ["decade"], ["w1", "w2"], sizes[None])
+    totals, sizes = store_totals(
+        scoped_totals(scores, total_scope, buckets), workspace, "npmi-totals", limits=limits
+    )
+    with_total = attach_totals(scores, totals, ["decade"], ["w1", "w2"], sizes[None], limits)
     kept = keep_high_scores(with_relative_npmi(with_total), min_npmi, rel_min_npmi)
     return order_collocations(kept) if ordered else kept
 
@@ -177,19 +194,27 @@ def collocations(
     buckets: int = 11,
     ordered: bool = True,
     workspace: Workspace | None = None,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    """Strongly associated word pairs of each decade, from files or a table."""
+    """Strongly associated word pairs of each decade, from files or a table.
+
+    ``split_size`` bounds the bytes of one input split, ``limits`` choose between
+    joins by measured size.
+    """
+    check_split_size(split_size)
     _check_threshold("min_npmi", min_npmi)
     _check_threshold("rel_min_npmi", rel_min_npmi)
     workspace = workspace or Workspace(spark)
-    ngrams = source if isinstance(source, DataFrame) else read_lines(spark, source, format, split_size)
+    ngrams = source if isinstance(source, DataFrame) else read_lines(
+        spark, source, format, split_size if format == "sequence" else None, workspace
+    )
     scores = score_ngrams(
-        ngrams, stop_words, workspace=workspace, language=language, fraction=fraction, seed=seed,
-        sample_by=sample_by, mode=mode,
+        ngrams, stop_words, workspace=workspace, limits=limits, split_size=split_size,
+        language=language, fraction=fraction, seed=seed, sample_by=sample_by, mode=mode,
     )
     return select_collocations(
         scores, min_npmi=min_npmi, rel_min_npmi=rel_min_npmi, total_scope=total_scope,
-        buckets=buckets, ordered=ordered, workspace=workspace,
+        buckets=buckets, ordered=ordered, workspace=workspace, limits=limits,
     )
 
 
@@ -202,6 +227,7 @@ def top_collocations(
     inclusive: bool = False,
     deduplicate: bool = True,
     ordered: bool = True,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """The ``k`` best pairs of each decade with a score of at most ``max_npmi``.
 
@@ -215,5 +241,5 @@ def top_collocations(
         scores = without_self_pairs(scores)
     if deduplicate:
         scores = drop_repeated_scores(scores)
-    top = top_k_per_decade(scores, k + 1 if inclusive else k)
+    top = top_k_per_decade(scores, k + 1 if inclusive else k, workspace)
     return order_collocations(top) if ordered else top

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 
-def spark_settings(shuffle_partitions: int | None = None) -> dict[str, str]:
+
+def require_ansi(spark: SparkSession) -> None:
+    """Refuse a session in which overflow and unreadable numbers go unnoticed."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled to true: counts that overflow must fail")
+
+
+def spark_settings(
+    shuffle_partitions: int | None = None, split_size: int | None = None
+) -> dict[str, str]:
     """Settings for ``SparkSession.builder.config(map=...)``.
 
     On a cluster also set ``spark.checkpoint.dir`` to a folder all executors
     share, and ``shuffle_partitions`` to two or three times the cores: adaptive
     execution merges partitions that turn out small, but cannot add any.
+    ``split_size`` bounds the bytes of one input split of text and Parquet files.
     """
     settings = {
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -21,4 +33,6 @@ def spark_settings(shuffle_partitions: int | None = None) -> dict[str, str]:
     }
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if split_size is not None:
+        settings["spark.sql.files.maxPartitionBytes"] = str(split_size)
     return settings

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.ordering import order_collocations
 
-# A listing of at most this many lines may be written as a single file.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def collocation_lines(collocations: DataFrame, trailing_tab: bool = False) -> DataFrame:
     """One ``value`` line per row; ``trailing_tab`` ends it like an empty value would."""
@@ -32,9 +29,14 @@ def save_collocation_lines(
     collocation_lines(rows, trailing_tab).write.mode(mode).text(path)
 
 
-def save_top_listing(top_rows: DataFrame, path: str, mode: str = "error") -> None:
-    """Write top rows as one ordered listing, in a single file if it is short."""
-    if top_rows.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+def save_top_listing(
+    top_rows: DataFrame, path: str, mode: str = "error", single_file: bool = False
+) -> None:
+    """Write top rows as one ordered listing, in range-sorted part files.
+
+    ``single_file`` has one task write all of it, for listings known to be short.
+    """
+    if not single_file:
         return save_collocation_lines(top_rows, path, mode=mode)
     rows = top_rows.repartition(1).sortWithinPartitions("decade", F.desc("npmi"), "w1", "w2")
     collocation_lines(rows).write.mode(mode).text(path)

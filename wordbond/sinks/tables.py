@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.ordering import order_counts, order_scores
+
 
 def _save_by_decade(df: DataFrame, path: str, mode: str) -> None:
     # The hint groups rows by decade so that each task writes to few folders,
@@ -28,11 +30,17 @@ def _keyed_line(*values: str):
     ).alias("value")
 
 
-def save_pair_count_lines(pair_counts: DataFrame, path: str, mode: str = "error") -> None:
-    """Text lines ``decade,w1,w2 TAB c12,n,c1``, in the order of the rows."""
-    pair_counts.select(_keyed_line("c12", "n", "c1")).write.mode(mode).text(path)
+def save_pair_count_lines(
+    pair_counts: DataFrame, path: str, mode: str = "error", ordered: bool = False
+) -> None:
+    """Text lines ``decade,w1,w2 TAB c12,n,c1``; ``ordered`` sorts them over all files."""
+    rows = order_counts(pair_counts) if ordered else pair_counts
+    rows.select(_keyed_line("c12", "n", "c1")).write.mode(mode).text(path)
 
 
-def save_pair_score_lines(scores: DataFrame, path: str, mode: str = "error") -> None:
-    """Text lines ``decade,w1,w2 TAB npmi``, in the order of the rows."""
-    scores.select(_keyed_line("npmi")).write.mode(mode).text(path)
+def save_pair_score_lines(
+    scores: DataFrame, path: str, mode: str = "error", ordered: bool = False
+) -> None:
+    """Text lines ``decade,w1,w2 TAB npmi``; ``ordered`` sorts them over all files."""
+    rows = order_scores(scores) if ordered else scores
+    rows.select(_keyed_line("npmi")).write.mode(mode).text(path)

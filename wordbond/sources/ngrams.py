@@ -2,46 +2,89 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.cleaning import check_mode, reject_malformed
+from ..workspace import Workspace
 
 # Four columns are used; the fifth element takes the rest of the line unsplit.
 _SPLIT_LIMIT = 5
 
 
+@contextmanager
+def bounded_splits(spark: SparkSession, split_size: int | None) -> Iterator[None]:
+    """Bound the bytes of one input split of file scans that run inside.
+
+    Spark has this as a setting of the session only, read when a scan runs, so it
+    is set for as long as that takes and then put back.
+    """
+    if split_size is None:
+        yield
+        return
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(split_size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def check_split_size(split_size: int | None) -> None:
+    if split_size is not None and split_size <= 0:
+        raise ValueError("split_size must be positive")
+
+
+def _sequence_lines(
+    spark: SparkSession, path: str | list[str], split_size: int | None, workspace: Workspace
+) -> DataFrame:
+    """The values of SequenceFiles, written as text and read again, all inside the JVM.
+
+    There is no DataFrame reader for SequenceFiles. Rows that pass through Python
+    one by one took several times as long as this copy.
+    """
+    jvm, java = spark._jvm, spark._jvm.java.lang.Class
+    conf = jvm.org.apache.hadoop.conf.Configuration(spark._jsc.hadoopConfiguration())
+    if split_size is not None:
+        conf.set("mapreduce.input.fileinputformat.split.maxsize", str(split_size))
+    records = spark._jsc.newAPIHadoopFile(
+        path if isinstance(path, str) else ",".join(path),
+        java.forName("org.apache.hadoop.mapreduce.lib.input.SequenceFileInputFormat"),
+        java.forName("org.apache.hadoop.io.LongWritable"),
+        java.forName("org.apache.hadoop.io.Text"),
+        conf,
+    )
+    copied = workspace.new_path("sequence-lines")
+    records.values().saveAsTextFile(copied)
+    return spark.read.text(copied)
+
+
 def read_lines(
-    spark: SparkSession, path: str | list[str], format: str = "text", split_size: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    format: str = "text",
+    split_size: int | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Scan n-gram records into one ``value`` column.
 
     ``format`` is ``"text"`` or ``"sequence"`` (SequenceFile whose value holds the
-    line; the codec comes from the file header). ``split_size`` bounds the bytes
-    of one input split. For text it sets ``spark.sql.files.maxPartitionBytes`` on
-    the session, because Spark has no such option per read.
+    line; the codec comes from the file header). SequenceFiles are copied to the
+    workspace as text at once; ``split_size`` bounds the bytes of one task's share.
+    A text scan is lazy and splits as the session says when it runs: set
+    ``spark_settings(split_size=...)``, or let :func:`wordbond.collocations` bound
+    its own scan.
     """
-    if split_size is not None and split_size <= 0:
-        raise ValueError("split_size must be positive")
+    check_split_size(split_size)
     if format == "text":
         if split_size is not None:
-            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_size))
+            raise ValueError("for text set the split size in spark_settings")
         return spark.read.text(path)
     if format == "sequence":
-        # There is no DataFrame reader for SequenceFiles, so this scan passes
-        # through Python once; everything after it is DataFrame work again.
-        conf = {}
-        if split_size is not None:
-            conf["mapreduce.input.fileinputformat.split.maxsize"] = str(split_size)
-        records = spark.sparkContext.newAPIHadoopFile(
-            path if isinstance(path, str) else ",".join(path),
-            "org.apache.hadoop.mapreduce.lib.input.SequenceFileInputFormat",
-            "org.apache.hadoop.io.LongWritable",
-            "org.apache.hadoop.io.Text",
-            conf=conf,
-        )
-        return spark.createDataFrame(
-            records.map(lambda record: (record[1],)), "value string", verifySchema=False
-        )
+        return _sequence_lines(spark, path, split_size, workspace or Workspace(spark))
     raise ValueError(f"format must be 'text' or 'sequence', not {format!r}")
 
 
@@ -77,7 +120,8 @@ def read_ngrams(
     format: str = "text",
     mode: str = "FAILFAST",
     split_size: int | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Scan n-gram rows and judge every one of them, without any word filter."""
-    lines = read_lines(spark, path, format, split_size)
+    lines = read_lines(spark, path, format, split_size, workspace)
     return reject_malformed(split_ngrams(lines, mode), mode)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..settings import require_ansi
+
 PAIR_COUNTS_SCHEMA = "decade INT, w1 STRING, w2 STRING, c12 BIGINT, n BIGINT, c1 BIGINT"
 PAIR_SCORES_SCHEMA = f"{PAIR_COUNTS_SCHEMA}, c2 BIGINT, npmi DOUBLE"
 
@@ -20,6 +22,7 @@ def load_pair_scores(spark: SparkSession, path: str) -> DataFrame:
 
 def _keyed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines ``decade,w1,w2 TAB values`` as arrays of all their fields."""
+    require_ansi(spark)
     fields = F.split("value", r"[,\s]+")
     return spark.read.text(path).select(F.explode(F.array(fields)).alias("f"))
 
@@ -45,8 +48,10 @@ def read_pair_score_lines(spark: SparkSession, path: str | list[str]) -> DataFra
 def read_collocation_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Result lines ``decade w1 w2 npmi`` of any number of files as one table.
 
-    Fields are split on single blanks; the cast ignores a tab after the score.
+    Fields are split on single blanks; the cast ignores a tab after the score. A
+    broken line fails.
     """
+    require_ansi(spark)
     fields = F.split("value", " ")
     lines = spark.read.text(path).select(F.explode(F.array(fields)).alias("f"))
     return lines.select(

@@ -40,7 +40,8 @@ class Workspace:
         self.path = f"{(folder or shared_folder(spark)).rstrip('/')}/wordbond-{uuid.uuid4().hex}"
         self._stored = 0
         path, files = self._on_disk()
-        files.deleteOnExit(path)
+        files.mkdirs(path)
+        files.deleteOnExit(path)  # of a folder that exists
 
     def _on_disk(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
