@@ -45,7 +45,7 @@ from ..operators.joining import broadcast_if_small
 from ..workspace import Workspace
 from .words import binary_values
 
-CHUNK_BYTES = 1 << 24
+CHUNK_BYTES = 1 << 23
 ALPHA, MU = 0.5, 5.0
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _BEGIN, _END = 0, 1  # places of the marks in every chunk's word list
