@@ -10,8 +10,8 @@ The field is then fitted on a bounded sample of sentences from at most
 and ending, and its neighbours' beginnings, so it also tags forms it has not seen.
 
 Every document is scored over its whole text: forward-backward gives each token's
-marginal, a document's largest marginal and expected number of toxic tokens give
-its score by a logistic curve fitted on the sample. Tokens above one half are the
+marginal; a document's largest marginal, expected number of toxic tokens and
+length give its score by a logistic curve fitted on the sample. Tokens above one half are the
 offending spans. Sentences are the chains; one of more than ``CHAIN`` tokens is
 several chains.
 
@@ -24,8 +24,9 @@ whatever their names, are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,41 +39,39 @@ from .words import binary_values
 
 SAMPLE_DOCUMENTS, SENTENCES_PER_DOCUMENT, LEXICON = 2000, 12, 20_000
 CHAIN, STEPS = 1024, 150
-BEGINNINGS = (4, 6)
+BEGINNINGS = (3, 4, 5, 7)
 # Entries that a task's counts and its word table hold before they are handed on or made anew.
-COUNTED, KNOWN = 300_000, 400_000
+COUNTED, KNOWN = 100_000, 400_000
 
-_TOKEN = re.compile(rb"[a-z\x80-\xff]+|[.!?\n]+")
-_ENDS = b".!?\n"
+_WORD = re.compile(rb"[a-z\x80-\xff]+")
+_END = re.compile(rb"[.!?\n]+")
 
 
 def sentences(text: bytes) -> Iterator[list[bytes]]:
     """The words (runs of letters, A-Z lower-cased) of each sentence, cut into chains."""
-    words: list[bytes] = []
-    for token in _TOKEN.findall(text.lower()):
-        if token[0] in _ENDS or len(words) == CHAIN:
-            if words:
-                yield words
-            words = []
-        if token[0] not in _ENDS:
-            words.append(token)
-    if words:
-        yield words
-
-
-def _beginnings(word: bytes) -> set[str]:
+    for sentence in _END.split(text.lower()):
+        words = _WORD.findall(sentence)
+        if len(words) > CHAIN:
+            for start in range(0, len(words), CHAIN):
+                yield words[start:start + CHAIN]
+        elif words:
+            yield words
+
+
+def _beginnings(word: bytes) -> list[str]:
+    """The word itself, marked as whole, and its proper beginnings."""
     text = word.decode(errors="replace").lower()
-    return {text[:n] for n in BEGINNINGS if len(text) >= min(BEGINNINGS)}
+    size = len(text)
+    return [text + "$", *[text[:n] for n in BEGINNINGS if n < size]]
 
 
 def _features(word: bytes) -> list[str]:
-    text = word.decode(errors="replace").lower()
-    own = ["w" + text, "e" + text[-3:]]
-    return own + [f"{n}{text[:n]}" for n in BEGINNINGS if len(text) >= min(BEGINNINGS)]
+    """A word's own features; :class:`_Tagger` sums their weights the same way."""
+    return [*_beginnings(word), "-" + word.decode(errors="replace").lower()[-3:]]
 
 
 def _context(word: bytes) -> str:
-    return word.decode(errors="replace").lower()[:min(BEGINNINGS)]
+    return word.decode(errors="replace").lower()[:4]
 
 
 # --- labels ------------------------------------------------------------------
@@ -108,8 +107,8 @@ def _lexicon(labelled: DataFrame, toxic: int, clean: int, workspace: Workspace)
         for batch in batches:
             for text, label in zip(binary_values(batch.column("_text")), batch.column("_toxic").to_pylist()):
                 seen: set[str] = set()
-                for word in {word for sentence in sentences(text) for word in sentence}:
-                    seen |= _beginnings(word)
+                for word in set(_WORD.findall(text.lower())):
+                    seen.update(_beginnings(word))
                 for beginning in seen:
                     counts.setdefault(beginning, [0, 0])[0 if label else 1] += 1
                 if len(counts) > COUNTED:
@@ -127,7 +126,7 @@ def _lexicon(labelled: DataFrame, toxic: int, clean: int, workspace: Workspace)
     ).otherwise(0.0)
     judged = counted.filter(F.col("toxic") >= 2).filter(share > base).withColumn("gain", gain)
     bar = 2 * float(np.log(max(counted.count(), 2)))
-    found = judged.filter((F.col("gain") >= bar) & (share >= 0.8)).orderBy(F.desc("gain"), "beginning")
+    found = judged.filter((F.col("gain") >= bar) & (share >= 0.5)).orderBy(F.desc("gain"), "beginning")
     return {row.beginning for row in found.select("beginning").limit(LEXICON).collect()}
 
 
@@ -266,11 +265,15 @@ class ToxicityModel:
 
     weights: dict[str, float] | None
     moves: np.ndarray | None
-    curve: tuple[float, float, float]
+    curve: tuple[float, float, float, float]
+
+    def score(self, largest: np.ndarray, expected: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return _sigmoid(_evidence(largest, expected, words) @ np.array(self.curve))
 
-    def score(self, largest: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        bias, by_largest, by_expected = self.curve
-        return _sigmoid(bias + by_largest * largest + by_expected * np.log1p(expected))
+
+def _evidence(largest: np.ndarray, expected: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """What a document's marginals come to; long texts meet more words by chance."""
+    return np.stack([np.ones(len(largest)), largest, np.log1p(expected), np.log1p(words)], axis=1)
 
 
 class _Tagger:
@@ -282,15 +285,22 @@ class _Tagger:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.rows: list[tuple[float, float, float]] = []
-
-    def _learn(self, words: Iterable[bytes]) -> None:
-        get = self.model.weights.get
-        for word in words:
-            self.known[word] = len(self.rows)
-            context = _context(word)
-            own = sum(get(name, 0.0) for name in _features(word))
-            self.rows.append((own, get("<" + context, 0.0), get(">" + context, 0.0)))
+        self.table = np.zeros((1024, 3))
+
+    def _learn(self, words: list[bytes]) -> None:
+        get, first = self.model.weights.get, len(self.known)
+        if first + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((len(self.table) + len(words), 3))])
+        known, rows = self.known, []
+        for place, word in enumerate(words, first):
+            known[word] = place
+            text = word.decode(errors="replace").lower()
+            own, size, context = get(text + "$", 0.0) + get("-" + text[-3:], 0.0), len(text), text[:4]
+            for n in BEGINNINGS:
+                if n < size:
+                    own += get(text[:n], 0.0)
+            rows.append((own, get("<" + context, 0.0), get(">" + context, 0.0)))
+        self.table[first:len(known)] = np.array(rows).reshape(-1, 3)
 
     def tag(self, texts: list[bytes]):
         """Lengths of all chains, chains per text, and each word's marginal log-odds."""
@@ -304,9 +314,9 @@ class _Tagger:
             return lengths, np.array(per_text, np.int64), np.empty(0)
         if len(self.known) > KNOWN:
             self._forget()
-        words = [word for chain in chains for word in chain]
-        self._learn(set(words).difference(self.known))
-        table = np.array(self.rows)
+        words = list(itertools.chain.from_iterable(chains))
+        self._learn(list(set(words).difference(self.known)))
+        table = self.table
         ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         emission = table[ids, 0] + self.model.weights[""]
         starts = np.cumsum(lengths) - lengths
@@ -318,8 +328,8 @@ class _Tagger:
         forward, backward = log_odds(emission, lengths, self.model.moves)
         return lengths, np.array(per_text, np.int64), np.clip(forward + backward, -30, 30)
 
-    def measure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Largest marginal log-odds and expected toxic words of each text."""
+    def measure(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Largest marginal log-odds, expected toxic words, and words of each text."""
         lengths, per_text, odds = self.tag(texts)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         edges = ends[np.concatenate([[0], np.cumsum(per_text)])]
@@ -328,10 +338,14 @@ class _Tagger:
         if len(filled):
             largest[filled] = np.maximum.reduceat(odds, edges[filled])
             expected[filled] = np.add.reduceat(_sigmoid(odds), edges[filled])
-        return largest, expected
+        return largest, expected, np.diff(edges).astype(float)
+
+
+def _scores(model: ToxicityModel, tagger: _Tagger | None, texts: list[bytes]) -> np.ndarray:
+    return model.score(*(tagger.measure(texts) if tagger else np.zeros((3, len(texts)))))
 
 
-def _groups(batch: pa.RecordBatch, column: str, size: int = 1 << 22) -> Iterator[tuple[list[int], list[bytes]]]:
+def _groups(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
     """The rows of a batch in runs of about ``size`` bytes of text."""
     rows, texts, held = [], [], 0
     for row, text in enumerate(binary_values(batch.column(column))):
@@ -345,9 +359,9 @@ def _groups(batch: pa.RecordBatch, column: str, size: int = 1 << 22) -> Iterator
         yield rows, texts
 
 
-def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, float, float]:
+def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, float, float, float]:
     """A logistic curve over the sample's documents, weighted back to the share of toxic labels."""
-    model = ToxicityModel(weights, moves, (0.0, 0.0, 0.0))
+    model = ToxicityModel(weights, moves, (0.0, 0.0, 0.0, 0.0))
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,28 +369,29 @@ def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, f
         for batch in batches:
             labels = batch.column("_toxic").to_pylist()
             for rows, texts in _groups(batch, "_text"):
-                largest, expected = tagger.measure(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(largest), pa.array(expected), pa.array([labels[r] for r in rows])],
-                    ["largest", "expected", "toxic"],
+                    [*map(pa.array, tagger.measure(texts)), pa.array([labels[r] for r in rows])],
+                    ["largest", "expected", "words", "toxic"],
                 )
 
     rows = sample.select("_text", "_toxic").mapInArrow(
-        run, "largest double, expected double, toxic boolean"
+        run, "largest double, expected double, words double, toxic boolean"
     ).collect()
-    x = np.array([(1.0, r.largest, np.log1p(r.expected)) for r in rows])
+    x = _evidence(*(np.array([r[i] for r in rows]) for i in range(3)))
     y = np.array([float(r.toxic) for r in rows])
     share = y.mean()
     weight = np.where(y > 0, base / share, (1 - base) / (1 - share))
-    curve = np.zeros(3)
-    ridge = np.diag([1e-3, 1e-2, 1e-1]) * len(y) / 100
+    # Held near the largest marginal itself, which it falls back to if labels tell little;
+    # length, which alone says nothing of what a text holds, is held most.
+    prior = np.array([0.0, 1.0, 0.0, 0.0])
+    curve, ridge = prior.copy(), np.diag([1.0, 1.0, 1.0, 12.0]) * len(y) / 2000
     for _ in range(50):
         p = _sigmoid(x @ curve)
-        grad = x.T @ (weight * (y - p)) - ridge @ curve
+        grad = x.T @ (weight * (y - p)) - ridge @ (curve - prior)
         hess = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
         curve = curve + np.linalg.solve(hess, grad)
     # More toxic words never make a text less toxic.
-    return float(curve[0]), max(float(curve[1]), 0.0), max(float(curve[2]), 0.0)
+    return float(curve[0]), max(float(curve[1]), 0.0), max(float(curve[2]), 0.0), float(curve[3])
 
 
 def fit_toxicity(
@@ -393,7 +408,7 @@ def fit_toxicity(
     toxic, clean = counts.get(True, 0), counts.get(False, 0)
     base = toxic / max(toxic + clean, 1)
     if not toxic or not clean:
-        return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0))
+        return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0, 0.0))
     sample = workspace.store(_sample(labelled, ids), "sample")
     first = workspace.store(
         labelled.groupBy(F.md5("_text").alias("_md5")).agg(F.min("_id").alias("_id")).select("_id"), "first-ids"
@@ -401,14 +416,14 @@ def fit_toxicity(
     once = labelled.join(broadcast_if_small(first), "_id", "left_semi")
     chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
     if not chains:
-        return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0))
+        return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
     return ToxicityModel(weights, moves, _fit_curve(sample, weights, moves, base))
 
 
 def _spans(text: bytes, odds: np.ndarray) -> list[dict]:
     """Code-point offsets of the words whose marginal is above one half."""
-    places = [m.span() for m in _TOKEN.finditer(text.lower()) if m[0][0] not in _ENDS]
+    places = [m.span() for m in _WORD.finditer(text.lower())]
     found = []
     for place in np.flatnonzero(odds > 0).tolist():
         start, end = places[place]
@@ -433,11 +448,7 @@ def score_toxicity(
         tagger = _Tagger(model) if model.weights is not None else None
         for batch in batches:
             for rows, texts in _groups(batch, "_text"):
-                if tagger is None:
-                    largest = expected = np.zeros(len(rows))
-                else:
-                    largest, expected = tagger.measure(texts)
-                score = model.score(largest, expected)
+                score = _scores(model, tagger, texts)
                 out = [batch.column("_id").take(pa.array(rows)), pa.array(score),
                        pa.array((score >= 0.5).astype(np.int32))]
                 if with_spans:
@@ -469,11 +480,7 @@ def keep_clean(
         tagger = _Tagger(model) if model.weights is not None else None
         for batch in batches:
             for rows, texts in _groups(batch, text_column):
-                if tagger is None:
-                    largest = expected = np.zeros(len(rows))
-                else:
-                    largest, expected = tagger.measure(texts)
-                stays = [row for row, score in zip(rows, model.score(largest, expected)) if score < 0.5]
+                stays = [row for row, score in zip(rows, _scores(model, tagger, texts)) if score < 0.5]
                 yield batch.take(pa.array(stays, pa.int64()))
 
     return docs.mapInArrow(run, docs.schema)
