@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from wordbond import JoinLimits
 from wordbond.llm import components, exact_dedup, queries, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -137,9 +138,14 @@ def weak_hash(body):
     return F.unhex(F.substring(F.md5(body), 1, 1))
 
 
+SPLIT = JoinLimits(broadcast_bytes=0, split_rows=2)
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), SPLIT], ids=["broadcast", "split"])
 @pytest.mark.parametrize("hash_of", [exact_dedup.content_hash, weak_hash, lambda body: F.unhex(F.lit("00"))])
-def test_exact_groups_equal_brute_force(spark, workspace, hash_of):
-    found = exact_dedup.exact_groups(table(spark, ROWS), workspace, hash_of=hash_of).collect()
+def test_exact_groups_equal_brute_force(spark, workspace, hash_of, limits):
+    how = {"hash_of": hash_of, "limits": limits}
+    found = exact_dedup.exact_groups(table(spark, ROWS), workspace, **how).collect()
     groups = {}
     for i, text in ROWS:
         groups.setdefault(lower(text), []).append(-1 if i is None else i)
@@ -149,7 +155,7 @@ def test_exact_groups_equal_brute_force(spark, workspace, hash_of):
     )
     assert sum(r.kept for r in found) == len(groups)
     assert all(r.doc_id == r.keep_id for r in found if r.kept)
-    stay = exact_dedup.drop_exact_copies(table(spark, ROWS), workspace, hash_of=hash_of).collect()
+    stay = exact_dedup.drop_exact_copies(table(spark, ROWS), workspace, **how).collect()
     assert sorted((r.doc_id, lower(r.text)) for r in stay) == sorted((max(ids), t) for t, ids in groups.items())
 
 

@@ -18,7 +18,7 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joining import attach_totals, store_totals
+from ..operators.joining import JoinLimits, attach_totals, store_totals
 from ..workspace import Workspace
 
 # Reserved column names, so that columns of the input never clash with them.
@@ -36,27 +36,31 @@ def content_hash(body: Column) -> Column:
     return F.unhex(F.md5(body))
 
 
-def _repeated(hashed: DataFrame, workspace: Workspace):
+def _repeated(hashed: DataFrame, workspace: Workspace, limits: JoinLimits):
     groups = hashed.groupBy(_HASH).agg(F.count("*").alias("rows")).filter("rows > 1")
-    stored, sizes = store_totals(groups, workspace, "repeated-hashes")
+    stored, sizes = store_totals(groups, workspace, "repeated-hashes", limits=limits)
     return stored, sizes[None]
 
 
-def _collided(bodies: DataFrame, repeated: DataFrame, size, workspace: Workspace) -> DataFrame:
+def _collided(
+    bodies: DataFrame, repeated: DataFrame, size, workspace: Workspace, limits: JoinLimits
+) -> DataFrame:
     """Hashes that different texts share, found by comparing whole texts."""
-    members = attach_totals(bodies, repeated, [_HASH], ["_id"], size)
+    members = attach_totals(bodies, repeated, [_HASH], ["_id"], size, limits)
     texts = members.groupBy(_HASH, _BODY).agg(F.count("*").alias("_n"))
     several = texts.groupBy(_HASH).agg(F.count("*").alias("_n")).filter("_n > 1")
     return workspace.store(several.select(_HASH), "collided-hashes")
 
 
-def _decide(rows: DataFrame, keys: list[str], workspace: Workspace) -> DataFrame:
+def _decide(
+    rows: DataFrame, keys: list[str], workspace: Workspace, limits: JoinLimits
+) -> DataFrame:
     """Attach to each row its group's ``keep`` (id and row) and number of ``copies``."""
     groups = rows.groupBy(*keys).agg(
         F.max(F.struct("_id", _ROW)).alias(_KEEP), F.count("*").alias("rows")
     ).withColumn("copies", F.col("rows"))
-    stored, sizes = store_totals(groups, workspace, "content-groups")
-    return attach_totals(rows, stored, keys, ["_id", _ROW], sizes[None]).select(
+    stored, sizes = store_totals(groups, workspace, "content-groups", limits=limits)
+    return attach_totals(rows, stored, keys, ["_id", _ROW], sizes[None], limits).select(
         F.col("_id"), F.col(f"{_KEEP}._id").alias("keep_id"), F.col("copies").alias("group_size"),
         (F.col(_ROW) == F.col(f"{_KEEP}.{_ROW}")).alias("kept"), "_sha256",
     )
@@ -68,6 +72,7 @@ def exact_groups(
     id_column: str = "doc_id",
     text_column: str = "text",
     hash_of: Callable[[Column], Column] = content_hash,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """One row per document: id, ``keep_id, group_size, kept, text_sha256``.
 
@@ -81,9 +86,9 @@ def exact_groups(
         "_id", F.monotonically_increasing_id().alias(_ROW), _HASH,
         F.unhex(F.sha2(_BODY, 256)).alias("_sha256"),
     ), "content-hashes")
-    collided = _collided(bodies, *_repeated(hashed, workspace), workspace)
+    collided = _collided(bodies, *_repeated(hashed, workspace, limits), workspace, limits)
     if collided.isEmpty():
-        found = _decide(hashed, [_HASH], workspace)
+        found = _decide(hashed, [_HASH], workspace, limits)
     else:
         apart = workspace.store(
             bodies.join(collided, _HASH, "left_semi").select(
@@ -91,8 +96,8 @@ def exact_groups(
                 F.unhex(F.sha2(_BODY, 256)).alias("_sha256"),
             ), "collided-texts",
         )
-        found = _decide(hashed.join(collided, _HASH, "left_anti"), [_HASH], workspace).union(
-            _decide(apart, [_HASH, _BODY], workspace)
+        found = _decide(hashed.join(collided, _HASH, "left_anti"), [_HASH], workspace, limits).union(
+            _decide(apart, [_HASH, _BODY], workspace, limits)
         )
     return found.select(
         F.col("_id").alias(id_column), "keep_id", "group_size", "kept",
@@ -106,6 +111,7 @@ def drop_exact_copies(
     id_column: str = "doc_id",
     text_column: str = "text",
     hash_of: Callable[[Column], Column] = content_hash,
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """The rows that stay, with all their columns.
 
@@ -117,33 +123,27 @@ def drop_exact_copies(
         _HASH, hash_of(F.col(_BODY))
     )
     hashed = workspace.store(bodies.select("_id", _HASH), "content-hashes")
-    repeated, size = _repeated(hashed, workspace)
-    collided = _collided(bodies, repeated, size, workspace)
+    repeated, size = _repeated(hashed, workspace, limits)
+    collided = _collided(bodies, repeated, size, workspace, limits)
     keys = [_HASH] if collided.isEmpty() else [_HASH, _BODY]
     source = hashed if collided.isEmpty() else bodies
     # How often the kept id occurs tells whether equal ids must be told apart too.
     groups = source.groupBy(*keys, "_id").agg(F.count("*").alias(_TOP)).groupBy(*keys).agg(
         F.max(F.struct("_id", _TOP)).alias(_KEEP), F.sum(_TOP).alias("rows")
     ).filter("rows > 1")
-    stored, sizes = store_totals(groups, workspace, "content-groups")
+    stored, sizes = store_totals(groups, workspace, "content-groups", limits=limits)
     again = stored.filter(F.col(f"{_KEEP}.{_TOP}") > 1).select(*keys)
 
     marked = docs.withColumn(_BODY, body).withColumn(_HASH, hash_of(F.col(_BODY)))
-    single = marked.join(_keys_only(stored, keys, sizes[None]), keys, "left_anti")
-    best = attach_totals(marked, stored, keys, [id_column], sizes[None]).filter(
-        F.col(id_column).eqNullSafe(F.col(f"{_KEEP}._id"))
-    )
-    kept = single.select(*docs.columns).union(
-        best.filter(F.col(f"{_KEEP}.{_TOP}") == 1).select(*docs.columns)
-    )
+    top, own = F.col(f"{_KEEP}.{_TOP}"), F.col(id_column).eqNullSafe(F.col(f"{_KEEP}._id"))
+    if sizes[None].bytes <= limits.broadcast_bytes:
+        grouped = marked.join(F.broadcast(stored.drop("rows")), keys, "left")
+        kept = grouped.filter(F.col(_KEEP).isNull() | (own & (top == 1))).select(*docs.columns)
+    else:  # both sides are shuffled, rows of a large group to several tasks
+        grouped = attach_totals(marked, stored, keys, [id_column], sizes[None], limits)
+        alone = marked.join(stored.select(*keys), keys, "left_anti")
+        kept = alone.select(*docs.columns).union(grouped.filter(own & (top == 1)).select(*docs.columns))
     if again.isEmpty():
         return kept
-    equal_ids = best.filter(F.col(f"{_KEEP}.{_TOP}") > 1).dropDuplicates(keys)
+    equal_ids = grouped.filter(own & (top > 1)).dropDuplicates(keys)
     return kept.union(equal_ids.select(*docs.columns))
-
-
-def _keys_only(groups: DataFrame, keys: list[str], size) -> DataFrame:
-    from ..operators.joining import BROADCAST_BYTES
-
-    names = groups.select(*keys)
-    return F.broadcast(names) if size.bytes <= BROADCAST_BYTES else names
