@@ -71,13 +71,15 @@ def test_fingerprints_of_blocks_equal_whole_texts(monkeypatch):
     expected = brute_fingerprint(text)
     monkeypatch.setattr(simhash, "_BLOCK", 64)
     monkeypatch.setattr(simhash, "_HASHES", 7)
-    assert int(simhash.simhash([text.encode(), None])[0]) % 2**64 == expected
+    assert int(simhash.simhash([text.encode(), b""], 2)[0]) % 2**64 == expected
 
 
 def test_simhash_groups_equal_brute_force(spark, workspace):
-    rows = near_texts()
+    rows, name = near_texts(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
     found = simhash.simhash_groups(table(spark, rows), workspace)
     assert {tuple(r) for r in found.collect()} == brute_components(rows)
+    assert spark.conf.get(name) == before
 
 
 def test_simhash_query_equals_brute_force(spark):

@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joining import broadcast_if_small
 from ..workspace import Workspace
+from .batches import small_batches
 from .words import binary_values
 
 CHUNK_BYTES = 1 << 23
@@ -274,12 +275,14 @@ def score_documents(
         _count_rows(buckets, chunk_bytes),
         "bucket int, chunk bigint, keys binary, target binary, background binary",
     )
-    sums, sizes = workspace.store_observed(
-        counted.groupBy("bucket").applyInArrow(
-            _sum_bucket, "chunk bigint, bucket int, check bigint, target binary, background binary,"
-            " words bigint, target_size bigint, background_size bigint",
-        ), "sums", [F.sum(name).alias(name) for name in ("words", "target_size", "background_size")],
+    summed = counted.groupBy("bucket").applyInArrow(
+        _sum_bucket, "chunk bigint, bucket int, check bigint, target binary, background binary,"
+        " words bigint, target_size bigint, background_size bigint",
     )
+    with small_batches(spark):
+        sums, sizes = workspace.store_observed(
+            summed, "sums", [F.sum(n).alias(n) for n in ("words", "target_size", "background_size")]
+        )
     documents = rows.mapInArrow(
         _document_rows(chunk_bytes, arrow_kind), f"chunk bigint, _id {kind}, places binary, hashes binary"
     )

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
+from .batches import small_batches
 from .numbering import number_rows
 from .words import binary_values, token_ids
 
@@ -188,7 +189,8 @@ def pack_documents(
     """Every piece of every document with its place: id, ``piece, start, length,
     ids_crc32, [ids,] sequence_id, offset``."""
     cut = cut_documents(docs, tokenizer_path, capacity, end, id_column, text_column, with_ids)
-    pieces = workspace.store(cut, "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = workspace.store(cut, "pieces")
     packed = pack(pieces, ["_id", "piece", "ids_crc32"], capacity)
     return packed.withColumnRenamed("_id", id_column)
 

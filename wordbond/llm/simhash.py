@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joining import attach_totals, store_totals
 from ..workspace import Workspace
+from .batches import small_batches
 from .components import components
+from .words import binary_values
 
 SHINGLE, DISTANCE, SEGMENTS = 4, 4, 3
 _SEED = 42
 # Bytes of one text that are cut into words at a time, and hashes counted at a time.
-_BLOCK, _HASHES = 1 << 22, 1 << 18
+_BLOCK, _HASHES = 1 << 20, 1 << 17
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -98,12 +100,12 @@ class _Counter:
         return np.packbits(majority, axis=1, bitorder="little").view("<i8").ravel()
 
 
-def simhash(texts: list[bytes | None], shingle: int = SHINGLE) -> np.ndarray:
-    """Fingerprints of UTF-8 texts as signed 64-bit numbers."""
-    counter = _Counter(len(texts))
+def simhash(texts: Iterable[bytes], count: int, shingle: int = SHINGLE) -> np.ndarray:
+    """Fingerprints of ``count`` UTF-8 texts as signed 64-bit numbers."""
+    counter = _Counter(count)
     for place, text in enumerate(texts):
         first = True
-        for words in _word_blocks((text or b"").lower(), shingle):
+        for words in _word_blocks(text.lower(), shingle):
             if len(words) >= shingle:
                 counter.add(place, _hashes(words, shingle))
             elif words and first:
@@ -118,8 +120,7 @@ def fingerprints(
     """``_id, fp``: each document's fingerprint as a signed number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = simhash([text.as_buffer().to_pybytes() if text.is_valid else None
-                           for text in batch.column(1)], shingle)
+            fps = simhash(binary_values(batch.column(1)), batch.num_rows, shingle)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["_id", "fp"])
 
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("t"))
@@ -203,7 +204,8 @@ def simhash_groups(
     ``component_id`` is the smallest id reachable over links of at most
     ``distance`` bits.
     """
-    prints = workspace.store(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
+    with small_batches(docs.sparkSession):
+        prints = workspace.store(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
     classes = workspace.store(
         prints.groupBy("fp").agg(F.min("_id").alias("least"), F.count("*").alias("rows")), "classes"
     )

@@ -31,6 +31,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .batches import small_batches
 from .words import binary_values, token_ids
 
 END = 1
@@ -209,7 +210,8 @@ def write_token_files(
             })
 
     manifest = ordered.mapInArrow(run, _FIELDS.format(kind))
-    manifest.write.parquet(f"{folder}/manifest")
+    with small_batches(spark):
+        manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(manifest.schema).parquet(f"{folder}/manifest")
 
 

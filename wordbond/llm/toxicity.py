@@ -31,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joining import broadcast_if_small
 from ..workspace import Workspace
+from .batches import small_batches
 from .words import binary_values
 
 SAMPLE_DOCUMENTS, SENTENCES_PER_DOCUMENT, LEXICON = 2000, 12, 20_000
@@ -345,10 +346,10 @@ def _scores(model: ToxicityModel, tagger: _Tagger | None, texts: list[bytes]) ->
     return model.score(*(tagger.measure(texts) if tagger else np.zeros((3, len(texts)))))
 
 
-def _groups(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
-    """The rows of a batch in runs of about ``size`` bytes of text."""
+def _groups(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+    """The texts of a column, and their places in it, in runs of about ``size`` bytes."""
     rows, texts, held = [], [], 0
-    for row, text in enumerate(binary_values(batch.column(column))):
+    for row, text in enumerate(binary_values(column)):
         rows.append(row)
         texts.append(text)
         held += len(text)
@@ -368,7 +369,7 @@ def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, f
         tagger = _Tagger(shared.value)
         for batch in batches:
             labels = batch.column("_toxic").to_pylist()
-            for rows, texts in _groups(batch, "_text"):
+            for rows, texts in _groups(batch.column("_text")):
                 yield pa.RecordBatch.from_arrays(
                     [*map(pa.array, tagger.measure(texts)), pa.array([labels[r] for r in rows])],
                     ["largest", "expected", "words", "toxic"],
@@ -414,11 +415,13 @@ def fit_toxicity(
         labelled.groupBy(F.md5("_text").alias("_md5")).agg(F.min("_id").alias("_id")).select("_id"), "first-ids"
     )
     once = labelled.join(broadcast_if_small(first), "_id", "left_semi")
-    chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
+    with small_batches(docs.sparkSession):
+        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
     if not chains:
         return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
-    return ToxicityModel(weights, moves, _fit_curve(sample, weights, moves, base))
+    with small_batches(docs.sparkSession):
+        return ToxicityModel(weights, moves, _fit_curve(sample, weights, moves, base))
 
 
 def _spans(text: bytes, odds: np.ndarray) -> list[dict]:
@@ -433,6 +436,21 @@ def _spans(text: bytes, odds: np.ndarray) -> list[dict]:
     return found
 
 
+def score_column(text: Column, model: ToxicityModel, spark: SparkSession) -> Column:
+    """The score of each text; only texts go to Python, and only scores come back."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        tagger = _Tagger(model) if model.weights is not None else None
+        for column in columns:
+            found = [_scores(model, tagger, texts) for _, texts in _groups(column)]
+            yield pa.array(np.concatenate([np.empty(0), *found]))
+
+    return score(text.cast("binary"))
+
+
 def score_toxicity(
     docs: DataFrame,
     model: ToxicityModel,
@@ -441,46 +459,30 @@ def score_toxicity(
     with_spans: bool = False,
 ) -> DataFrame:
     """Per document: id, ``score``, ``predicted``, and on request the offending ``spans``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    spark, text = docs.sparkSession, F.col(text_column)
+    spans = [find_spans(text, model, spark).alias("spans")] * with_spans
+    scored = docs.select(F.col(id_column), score_column(text, model, spark).alias("score"), *spans)
+    return scored.select(
+        id_column, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *["spans"] * with_spans
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        tagger = _Tagger(model) if model.weights is not None else None
-        for batch in batches:
-            for rows, texts in _groups(batch, "_text"):
-                score = _scores(model, tagger, texts)
-                out = [batch.column("_id").take(pa.array(rows)), pa.array(score),
-                       pa.array((score >= 0.5).astype(np.int32))]
-                if with_spans:
-                    spans = [
-                        _spans(text, tagger.tag([text])[2]) if tagger is not None else [] for text in texts
-                    ]
-                    out.append(pa.array(spans, pa.list_(pa.struct([
-                        ("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())
-                    ]))))
-                yield pa.RecordBatch.from_arrays(out, ["_id", "score", "predicted", "spans"][:len(out)])
 
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text"))
-    kind = rows.schema["_id"].dataType.simpleString()
-    found = rows.mapInArrow(
-        run, f"_id {kind}, score double, predicted int"
-        + ", spans array<struct<start: bigint, end: bigint, probability: double>>" * with_spans,
-    )
-    return found.withColumnRenamed("_id", id_column)
+def find_spans(text: Column, model: ToxicityModel, spark: SparkSession) -> Column:
+    """The offending words of each text: code-point offsets and probability."""
+    shared = spark.sparkContext.broadcast(model)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
+    @F.arrow_udf("array<struct<start: bigint, end: bigint, probability: double>>")
+    def spans(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tagger = _Tagger(shared.value) if shared.value.weights is not None else None
+        for column in columns:
+            yield pa.array([
+                _spans(text, tagger.tag([text])[2]) if tagger else [] for text in binary_values(column)
+            ], kind)
 
-def keep_clean(
-    docs: DataFrame, model: ToxicityModel, text_column: str = "text"
-) -> DataFrame:
-    """The documents not predicted toxic, with all their columns; no join is needed."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return spans(text.cast("binary"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        tagger = _Tagger(model) if model.weights is not None else None
-        for batch in batches:
-            for rows, texts in _groups(batch, text_column):
-                stays = [row for row, score in zip(rows, _scores(model, tagger, texts)) if score < 0.5]
-                yield batch.take(pa.array(stays, pa.int64()))
 
-    return docs.mapInArrow(run, docs.schema)
+def keep_clean(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
+    """The documents not predicted toxic, with all their columns; no join is needed."""
+    return docs.filter(score_column(F.col(text_column), model, docs.sparkSession) < 0.5)
