@@ -233,6 +233,10 @@ def pmi(spark, sf_dir):
 
 
 def npmi(spark, sf_dir):
+    return _rounded(_scores(spark, sf_dir))
+
+
+def npmi_in_two_steps(spark, sf_dir):
     return _rounded(plans.score_pairs(pair_counts(spark, sf_dir), validate=False))
 
 
@@ -409,6 +413,7 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "degenerate_pairs": degenerate_pairs,
         "pmi": pmi,
         "npmi": npmi,
+        "npmi_in_two_steps": npmi_in_two_steps,
         "pair_scores_reload": pair_scores_reload,
         "ordered_score_lines": ordered_score_lines,
         "npmi_totals": npmi_totals,
@@ -570,6 +575,7 @@ def association_sql() -> dict[str, str]:
         + " SELECT decade, w1, w2, c12, n FROM counts WHERE c12 = n",
         "pmi": pairs + " SELECT decade, w1, w2, round(pmi, 6) AS pmi FROM pointwise",
         "npmi": pairs + scores,
+        "npmi_in_two_steps": pairs + scores,
         "pair_scores_reload": pairs + scores,
         "npmi_totals": pairs + " SELECT decade, round(total_npmi, 4) AS total_npmi, rows FROM totals",
         "npmi_running_totals": pairs + " SELECT decade, round(total_npmi, 4) AS total_npmi, rows FROM running",

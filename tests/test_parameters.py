@@ -94,7 +94,7 @@ def test_each_record_is_split_once(lines, plan_of):
 
 
 def test_pair_tables_are_never_windowed(spark, plan_of):
-    for name in ("collocations", "threshold_filter_running", "left_marginal", "npmi"):
+    for name in ("collocations", "threshold_filter_running", "left_marginal", "npmi", "npmi_in_two_steps"):
         result = spark_entry.queries()[name](spark, "/root/testdata/sf0.001")
         assert "Window" not in plan_of(result)
 
