@@ -106,3 +106,32 @@ def test_query_on_held_out_documents(spark):
     judged = [(truth[i], r.predicted) for i, r in found.items() if r.held_out and i in truth]
     assert sum(t == p for t, p in judged) / len(judged) > 0.95
     assert sum(t and p for t, p in judged) / max(1, sum(t for t, _ in judged)) > 0.6
+
+
+def rare_corpus():
+    """As above, with one toxic document in twenty."""
+    rows, marks = corpus()
+    calm = {i: rows[i + 1][1] for i in range(0, 400, 4) if i % 20}
+    return [(i, calm.get(i, text)) for i, text in rows], [(i, int(t and i not in calm)) for i, t in marks]
+
+
+def test_copies_of_a_toxic_text_leave_the_marked_beginnings(spark, workspace, monkeypatch):
+    rows, marks = rare_corpus()
+    copies = range(1000, 1200)  # a third of all rows; an id that stands twice with one text is a copy too
+    more, more_marks = rows + [(i, rows[20][1]) for i in copies] + [rows[20]], marks + [(i, 1) for i in copies]
+    learnt, seen = toxicity._training_sentences, []
+    monkeypatch.setattr(toxicity, "_training_sentences", lambda sample, lexicon, *more: (
+        seen.append(lexicon), learnt(sample, lexicon, *more))[1])
+    for docs, known in ((rows, marks), (more, more_marks)):
+        toxicity.fit_toxicity(table(spark, docs), labels(spark, known), workspace)
+    assert "grump" in seen[0] and seen[0] == seen[1]
+
+
+def test_an_id_with_several_texts_counts_each_text_once(spark, workspace):
+    rows = [(1, "same"), (1, "other"), (1, "other"), (2, "same"), (2, None), (3, ""), (3, "same")]
+    known = labels(spark, [(1, 1), (2, 0), (3, 0)])
+    labelled = toxicity._labelled(table(spark, rows), known, "doc_id", "text")
+    texts, once = toxicity._distinct(labelled, workspace)
+    found = sorted((r._id, bytes(r._text), r._toxic) for r in once.collect())
+    assert found == [(1, b"other", True), (1, b"same", True), (2, b"", False)]
+    assert toxicity._count_labels(texts) == (2, 1)

@@ -85,16 +85,43 @@ def held_out(id_column: str) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``_id, _text, _toxic`` of the training documents; of several labels the largest holds."""
+    """``_id, _text, _toxic, _md5`` of the training documents; of several labels the largest holds."""
     known = labels.filter(F.col("toxic").isNotNull() & ~held_out(id_column)).groupBy(
         F.col(id_column).alias("_id")
     ).agg((F.max("toxic") > 0).alias("_toxic"))
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text"))
-    return rows.join(broadcast_if_small(known), "_id")
+    text = F.coalesce(F.col(text_column).cast("binary"), F.lit(b""))
+    rows = docs.select(F.col(id_column).alias("_id"), text.alias("_text"))
+    return rows.join(broadcast_if_small(known), "_id").withColumn("_md5", F.unhex(F.md5("_text")))
 
 
-def _lexicon(labelled: DataFrame, toxic: int, clean: int, workspace: Workspace) -> set[str]:
-    """Word beginnings that mark toxic documents."""
+def _distinct(labelled: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The distinct texts as ``_md5, _id, _toxic, _n``, and one row of ``labelled`` for each.
+
+    Of equal texts the one with the smallest id stands, with its label; ``_n`` says
+    how often that id has the text.
+    """
+    texts = workspace.store(
+        labelled.groupBy("_md5", "_id", "_toxic").agg(F.count("*").alias("_n"))
+        .groupBy("_md5").agg(F.min(F.struct("_id", "_toxic", "_n")).alias("_first"))
+        .select("_md5", "_first.*"), "distinct-texts",
+    )
+    keys = ["_md5", "_id"]
+    once = labelled.join(broadcast_if_small(texts.filter("_n = 1").select(*keys)), keys, "left_semi")
+    again = texts.filter("_n > 1").select(*keys)
+    if not again.isEmpty():
+        repeated = labelled.join(broadcast_if_small(again), keys, "left_semi")
+        once = once.unionByName(repeated.dropDuplicates(["_md5"]))
+    return texts, once
+
+
+def _count_labels(rows: DataFrame) -> tuple[int, int]:
+    """Rows labelled toxic and clean."""
+    counts = dict(rows.groupBy("_toxic").count().collect())
+    return counts.get(True, 0), counts.get(False, 0)
+
+
+def _lexicon(once: DataFrame, texts: DataFrame, workspace: Workspace) -> set[str]:
+    """Word beginnings that mark toxic documents; they and the base rate are counted over distinct texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
 
@@ -117,7 +144,10 @@ def _lexicon(labelled: DataFrame, toxic: int, clean: int, workspace: Workspace)
                     counts.clear()
         yield out()
 
-    counted = workspace.store(labelled.select("_text", "_toxic").mapInArrow(
+    toxic, clean = _count_labels(texts)
+    if not toxic or not clean:
+        return set()
+    counted = workspace.store(once.select("_text", "_toxic").mapInArrow(
         run, "beginning string, toxic bigint, clean bigint"
     ).groupBy("beginning").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "beginnings")
     base = toxic / (toxic + clean)
@@ -169,7 +199,7 @@ def _training_sentences(sample: DataFrame, lexicon: set[str]) -> list[tuple[list
             )
 
     rows = sample.select("_text", "_toxic").mapInArrow(run, "words array<binary>, tags array<int>").collect()
-    return [([bytes(word) for word in row.words], row.tags) for row in rows]
+    return sorted(([bytes(word) for word in row.words], row.tags) for row in rows)  # whatever the order of files
 
 
 # --- the field ---------------------------------------------------------------
@@ -378,6 +408,7 @@ def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, f
     rows = sample.select("_text", "_toxic").mapInArrow(
         run, "largest double, expected double, words double, toxic boolean"
     ).collect()
+    rows.sort()
     x = _evidence(*(np.array([r[i] for r in rows]) for i in range(3)))
     y = np.array([float(r.toxic) for r in rows])
     share = y.mean()
@@ -405,18 +436,14 @@ def fit_toxicity(
     """Learn from the labelled documents that are not held out."""
     labelled = _labelled(docs, labels, id_column, text_column)
     ids = labelled.select("_id", "_toxic")
-    counts = dict(ids.groupBy("_toxic").count().collect())
-    toxic, clean = counts.get(True, 0), counts.get(False, 0)
+    toxic, clean = _count_labels(ids)
     base = toxic / max(toxic + clean, 1)
     if not toxic or not clean:
         return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0, 0.0))
     sample = workspace.store(_sample(labelled, ids), "sample")
-    first = workspace.store(
-        labelled.groupBy(F.md5("_text").alias("_md5")).agg(F.min("_id").alias("_id")).select("_id"), "first-ids"
-    )
-    once = labelled.join(broadcast_if_small(first), "_id", "left_semi")
+    texts, once = _distinct(labelled, workspace)
     with small_batches(docs.sparkSession):
-        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
+        chains = _training_sentences(sample, _lexicon(once, texts, workspace))
     if not chains:
         return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
