@@ -135,3 +135,26 @@ def test_an_id_with_several_texts_counts_each_text_once(spark, workspace):
     found = sorted((r._id, bytes(r._text), r._toxic) for r in once.collect())
     assert found == [(1, b"other", True), (1, b"same", True), (2, b"", False)]
     assert toxicity._count_labels(texts) == (2, 1)
+
+
+def test_the_sample_holds_distinct_texts(spark, workspace, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCUMENTS", 20)
+    rows, marks = corpus()
+    hot = [(4, f"{rows[4][1]} {i}") for i in range(300)]  # one toxic id with many texts
+    docs, known = rows + [(i, rows[8][1]) for i in range(1000, 1500)] + hot, marks + [(i, 1) for i in range(1000, 1500)]
+    labelled = toxicity._labelled(table(spark, docs), labels(spark, known), "doc_id", "text")
+    texts, once = toxicity._distinct(labelled, workspace)
+    found = toxicity._sample(once, texts).collect()
+    assert sum(r._toxic for r in found) == 10 and len({bytes(r._text) for r in found}) == len(found) == 20
+
+
+def test_copies_leave_the_fit(spark, workspace, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCUMENTS", 120)
+    rows, marks = corpus()
+    copies = range(1000, 1200)
+    odd = table(spark, [(2000, "a grumphew here"), (2001, "calm werer words")])
+    scores = []
+    for docs, known in ((rows, marks), (rows + [(i, rows[20][1]) for i in copies], marks + [(i, 1) for i in copies])):
+        model = toxicity.fit_toxicity(table(spark, docs), labels(spark, known), workspace)
+        scores.append({r.doc_id: r.score for r in toxicity.score_toxicity(odd, model).collect()})
+    assert scores[0] == pytest.approx(scores[1]) and scores[0][2000] > 0.5 > scores[0][2001]

@@ -6,7 +6,7 @@ that occur in toxic documents far more often than their share of documents
 explains (a likelihood ratio test against all beginnings) mark the tokens of toxic
 documents as toxic.
 The field is then fitted on a bounded sample of sentences from at most
-``SAMPLE_DOCUMENTS`` labelled documents; its features are the word, its beginnings
+``SAMPLE_DOCUMENTS`` distinct labelled texts; its features are the word, its beginnings
 and ending, and its neighbours' beginnings, so it also tags forms it has not seen.
 
 Every document is scored over its whole text: forward-backward gives each token's
@@ -17,7 +17,8 @@ several chains.
 
 Labels, language, source and id are no inputs of a score. Null and empty texts
 score like any text without toxic tokens. Repeated rows and equal ids are scored
-one by one. Without labels of both kinds every score is the share of toxic labels
+one by one, but learnt from once for each distinct text, under the label of its
+smallest id. Without labels of both kinds every score is the share of toxic texts
 (0 if there are none). An empty table gives an empty result; other columns,
 whatever their names, are not read.
 """
@@ -120,7 +121,7 @@ def _count_labels(rows: DataFrame) -> tuple[int, int]:
     return counts.get(True, 0), counts.get(False, 0)
 
 
-def _lexicon(once: DataFrame, texts: DataFrame, workspace: Workspace) -> set[str]:
+def _lexicon(once: DataFrame, toxic: int, clean: int, workspace: Workspace) -> set[str]:
     """Word beginnings that mark toxic documents; they and the base rate are counted over distinct texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
@@ -144,9 +145,6 @@ def _lexicon(once: DataFrame, texts: DataFrame, workspace: Workspace) -> set[str
                     counts.clear()
         yield out()
 
-    toxic, clean = _count_labels(texts)
-    if not toxic or not clean:
-        return set()
     counted = workspace.store(once.select("_text", "_toxic").mapInArrow(
         run, "beginning string, toxic bigint, clean bigint"
     ).groupBy("beginning").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "beginnings")
@@ -161,15 +159,14 @@ def _lexicon(once: DataFrame, texts: DataFrame, workspace: Workspace) -> set[str
     return {row.beginning for row in found.select("beginning").limit(LEXICON).collect()}
 
 
-def _sample(labelled: DataFrame, ids: DataFrame) -> DataFrame:
-    """At most ``SAMPLE_DOCUMENTS`` training documents, half of them toxic if there are so many."""
+def _sample(once: DataFrame, texts: DataFrame) -> DataFrame:
+    """At most ``SAMPLE_DOCUMENTS`` distinct texts, half of them toxic if there are so many."""
     half = SAMPLE_DOCUMENTS // 2
     chosen = [
-        ids.filter(F.col("_toxic") == kind).orderBy(F.xxhash64("_id"), "_id").limit(half).select("_id")
-        for kind in (True, False)
+        texts.filter(F.col("_toxic") == kind).orderBy("_md5").limit(half).select("_md5") for kind in (True, False)
     ]
-    picked = F.broadcast(chosen[0].union(chosen[1]).distinct())  # at most SAMPLE_DOCUMENTS ids
-    return labelled.join(picked, "_id", "left_semi")
+    picked = F.broadcast(chosen[0].union(chosen[1]))  # at most SAMPLE_DOCUMENTS hashes
+    return once.join(picked, "_md5", "left_semi")
 
 
 def _training_sentences(sample: DataFrame, lexicon: set[str]) -> list[tuple[list[bytes], list[int]]]:
@@ -391,7 +388,7 @@ def _groups(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[list[int],
 
 
 def _fit_curve(sample: DataFrame, weights, moves, base: float) -> tuple[float, float, float, float]:
-    """A logistic curve over the sample's documents, weighted back to the share of toxic labels."""
+    """A logistic curve over the sample's texts, weighted back to the share of toxic ones among distinct texts."""
     model = ToxicityModel(weights, moves, (0.0, 0.0, 0.0, 0.0))
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -435,15 +432,14 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from the labelled documents that are not held out."""
     labelled = _labelled(docs, labels, id_column, text_column)
-    ids = labelled.select("_id", "_toxic")
-    toxic, clean = _count_labels(ids)
+    texts, once = _distinct(labelled, workspace)
+    toxic, clean = _count_labels(texts)
     base = toxic / max(toxic + clean, 1)
     if not toxic or not clean:
         return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0, 0.0))
-    sample = workspace.store(_sample(labelled, ids), "sample")
-    texts, once = _distinct(labelled, workspace)
+    sample = workspace.store(_sample(once, texts), "sample")
     with small_batches(docs.sparkSession):
-        chains = _training_sentences(sample, _lexicon(once, texts, workspace))
+        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
     if not chains:
         return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
