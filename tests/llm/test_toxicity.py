@@ -158,3 +158,27 @@ def test_copies_leave_the_fit(spark, workspace, monkeypatch):
         model = toxicity.fit_toxicity(table(spark, docs), labels(spark, known), workspace)
         scores.append({r.doc_id: r.score for r in toxicity.score_toxicity(odd, model).collect()})
     assert scores[0] == pytest.approx(scores[1]) and scores[0][2000] > 0.5 > scores[0][2001]
+
+
+def test_pieces_hold_every_word_once_and_hits_in_the_middle():
+    draw = np.random.default_rng(1)
+    for size, window in itertools.product((1, 4, 5, 23, 200), (4, 5)):
+        for share in (0, 0.02, 0.3, 1):
+            hit = (draw.random(size) < share).astype(int).tolist()
+            pieces = [list(range(size))[piece] for piece in toxicity._pieces(hit, window)]
+            assert sum(pieces, []) == list(range(size)) and all(0 < len(piece) <= window for piece in pieces)
+    assert list(toxicity._pieces([0] * 20 + [1] + [0] * 9, 8)) == [
+        slice(0, 8), slice(8, 16), slice(16, 24), slice(24, 30)]
+
+
+def test_marked_words_deep_in_long_sentences_are_learnt_from(spark):
+    words = [b"calm"] * 900
+    for place in range(100, 900, 100):
+        words[place] = b"grumph%c" % (97 + place // 100)
+    rows = [(b" ".join(words), True), (b" ".join([b"calm"] * 200), False)]
+    sample = spark.createDataFrame(rows, "_text binary, _toxic boolean")
+    chains = toxicity._training_sentences(sample, {"grump"})
+    marked = [sentence for sentence, tags in chains if any(tags)]
+    assert all(len(sentence) <= toxicity.WINDOW for sentence, _ in chains) and len(marked) == 6
+    assert sorted({w for sentence in marked for w in sentence} - {b"calm"}) == [b"grumph%c" % c for c in b"bcdfgh"]
+    assert all(bool(tag) == word.startswith(b"grump") for s, t in chains for word, tag in zip(s, t))

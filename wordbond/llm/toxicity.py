@@ -6,7 +6,8 @@ that occur in toxic documents far more often than their share of documents
 explains (a likelihood ratio test against all beginnings) mark the tokens of toxic
 documents as toxic.
 The field is then fitted on a bounded sample of sentences from at most
-``SAMPLE_DOCUMENTS`` distinct labelled texts; its features are the word, its beginnings
+``SAMPLE_DOCUMENTS`` distinct labelled texts, a sentence of more than ``WINDOW``
+words cut into pieces with the marked words in their middle; its features are the word, its beginnings
 and ending, and its neighbours' beginnings, so it also tags forms it has not seen.
 
 Every document is scored over its whole text: forward-backward gives each token's
@@ -40,7 +41,7 @@ from .batches import small_batches
 from .words import binary_values
 
 SAMPLE_DOCUMENTS, SENTENCES_PER_DOCUMENT, LEXICON = 2000, 12, 20_000
-CHAIN, STEPS = 1024, 150
+CHAIN, STEPS, WINDOW = 1024, 150, 64
 BEGINNINGS = (3, 4, 5, 7)
 # Entries that a task's counts and its word table hold before they are handed on or made anew.
 COUNTED, KNOWN = 100_000, 400_000
@@ -169,10 +170,33 @@ def _sample(once: DataFrame, texts: DataFrame) -> DataFrame:
     return once.join(picked, "_md5", "left_semi")
 
 
-def _training_sentences(sample: DataFrame, lexicon: set[str]) -> list[tuple[list[bytes], list[int]]]:
+def _pieces(hit: list[int], window: int) -> Iterator[slice]:
+    """A chain cut into pieces of at most ``window`` words, with marked words in the middle where there is room."""
+    at, size = 0, len(hit)
+    while size - at > window:
+        first = hit.index(1, at) if 1 in hit[at:] else size
+        start = max(at, min(first - window // 2, size - window))
+        for left in range(at, start, window):
+            yield slice(left, min(left + window, start))
+        yield slice(start, start + window)
+        at = start + window
+    if at < size:
+        yield slice(at, size)
+
+
+def _spread(items: list, count: int) -> list:
+    """At most ``count`` items, evenly spread."""
+    count = min(count, len(items))
+    return [items[place * len(items) // count] for place in range(count)]
+
+
+def _training_sentences(
+    sample: DataFrame, lexicon: set[str], window: int = WINDOW
+) -> list[tuple[list[bytes], list[int]]]:
     """Some sentences of each sampled document with a label for each word.
 
-    Marked sentences come first, then others spread over the text.
+    Half are marked ones and half are others, both spread over the text. Sentences
+    of more than ``window`` words are cut, and each piece is a sentence of its own.
     """
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -185,10 +209,10 @@ def _training_sentences(sample: DataFrame, lexicon: set[str]) -> list[tuple[list
                 for sentence in sentences(text):
                     hit = [int(not marks.isdisjoint(_beginnings(word))) for word in sentence]
                     tag = hit if label else [0] * len(sentence)
-                    (marked if any(hit) else other).append((sentence[:64], tag[:64]))
+                    for piece in _pieces(hit, window):
+                        (marked if any(hit[piece]) else other).append((sentence[piece], tag[piece]))
                 half = SENTENCES_PER_DOCUMENT // 2
-                step = max(1, len(other) // half)
-                for sentence, tag in marked[:half] + other[::step][:half]:
+                for sentence, tag in _spread(marked, half) + _spread(other, half):
                     words.append(sentence)
                     tags.append(tag)
             yield pa.RecordBatch.from_arrays(
@@ -429,8 +453,13 @@ def fit_toxicity(
     workspace: Workspace,
     id_column: str = "doc_id",
     text_column: str = "text",
+    window: int = WINDOW,
 ) -> ToxicityModel:
-    """Learn from the labelled documents that are not held out."""
+    """Learn from the labelled documents that are not held out.
+
+    ``window`` is the length of the pieces that long sentences are cut into for
+    the fit; scoring never cuts them.
+    """
     labelled = _labelled(docs, labels, id_column, text_column)
     texts, once = _distinct(labelled, workspace)
     toxic, clean = _count_labels(texts)
@@ -439,7 +468,7 @@ def fit_toxicity(
         return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0, 0.0))
     sample = workspace.store(_sample(once, texts), "sample")
     with small_batches(docs.sparkSession):
-        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace))
+        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace), window)
     if not chains:
         return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
