@@ -182,3 +182,15 @@ def test_marked_words_deep_in_long_sentences_are_learnt_from(spark):
     assert all(len(sentence) <= toxicity.WINDOW for sentence, _ in chains) and len(marked) == 6
     assert sorted({w for sentence in marked for w in sentence} - {b"calm"}) == [b"grumph%c" % c for c in b"bcdfgh"]
     assert all(bool(tag) == word.startswith(b"grump") for s, t in chains for word, tag in zip(s, t))
+
+
+def test_no_beginning_that_passes_is_dropped(spark, workspace):
+    # 6,000 toxic words of their own kind: each has five beginnings, and all of them pass.
+    words = [f"z{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}qqqqq" for i in range(6000)]
+    rows = [(" ".join(words).encode(), True)] * 30 + [(b"calm", False)] * 570
+    once = spark.createDataFrame(rows, "_text binary, _toxic boolean")
+    lexicon = toxicity._lexicon(once, 30, 570, workspace)
+    expected = {mark for word in words for mark in toxicity._beginnings(word.encode())}
+    assert len(expected) > 20_000 and {row.beginning for row in lexicon.collect()} == expected
+    sample = spark.createDataFrame([(f"calm {words[0]}".encode(), True)], "_text binary, _toxic boolean")
+    assert toxicity._marks(sample, lexicon) == set(toxicity._beginnings(words[0].encode()))

@@ -4,7 +4,7 @@ Labels are given for documents, the field is trained on tokens. In between stand
 a count over all labelled training documents, equal texts once: word beginnings
 that occur in toxic documents far more often than their share of documents
 explains (a likelihood ratio test against all beginnings) mark the tokens of toxic
-documents as toxic.
+documents as toxic. All that pass are kept, in a stored table.
 The field is then fitted on a bounded sample of sentences from at most
 ``SAMPLE_DOCUMENTS`` distinct labelled texts, a sentence of more than ``WINDOW``
 words cut into pieces with the marked words in their middle; its features are the word, its beginnings
@@ -40,7 +40,7 @@ from ..workspace import Workspace
 from .batches import small_batches
 from .words import binary_values
 
-SAMPLE_DOCUMENTS, SENTENCES_PER_DOCUMENT, LEXICON = 2000, 12, 20_000
+SAMPLE_DOCUMENTS, SENTENCES_PER_DOCUMENT = 2000, 12
 CHAIN, STEPS, WINDOW = 1024, 150, 64
 BEGINNINGS = (3, 4, 5, 7)
 # Entries that a task's counts and its word table hold before they are handed on or made anew.
@@ -122,8 +122,8 @@ def _count_labels(rows: DataFrame) -> tuple[int, int]:
     return counts.get(True, 0), counts.get(False, 0)
 
 
-def _lexicon(once: DataFrame, toxic: int, clean: int, workspace: Workspace) -> set[str]:
-    """Word beginnings that mark toxic documents; they and the base rate are counted over distinct texts."""
+def _beginning_counts(once: DataFrame) -> DataFrame:
+    """``beginning, toxic, clean``: in how many toxic and clean texts each word beginning occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, list[int]] = {}
 
@@ -146,9 +146,13 @@ def _lexicon(once: DataFrame, toxic: int, clean: int, workspace: Workspace) -> s
                     counts.clear()
         yield out()
 
-    counted = workspace.store(once.select("_text", "_toxic").mapInArrow(
-        run, "beginning string, toxic bigint, clean bigint"
-    ).groupBy("beginning").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "beginnings")
+    counts = once.select("_text", "_toxic").mapInArrow(run, "beginning string, toxic bigint, clean bigint")
+    return counts.groupBy("beginning").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _lexicon(once: DataFrame, toxic: int, clean: int, workspace: Workspace) -> DataFrame:
+    """Word beginnings that mark toxic documents; they and the base rate are counted over distinct texts."""
+    counted = workspace.store(_beginning_counts(once), "beginnings")
     base = toxic / (toxic + clean)
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
     gain = F.col("toxic") * F.log(share / base) + F.when(
@@ -156,8 +160,14 @@ def _lexicon(once: DataFrame, toxic: int, clean: int, workspace: Workspace) -> s
     ).otherwise(0.0)
     judged = counted.filter(F.col("toxic") >= 2).filter(share > base).withColumn("gain", gain)
     bar = 2 * float(np.log(max(counted.count(), 2)))
-    found = judged.filter((F.col("gain") >= bar) & (share >= 0.5)).orderBy(F.desc("gain"), "beginning")
-    return {row.beginning for row in found.select("beginning").limit(LEXICON).collect()}
+    found = judged.filter((F.col("gain") >= bar) & (share >= 0.5))
+    return workspace.store(found.select("beginning"), "lexicon")
+
+
+def _marks(sample: DataFrame, lexicon: DataFrame) -> set[str]:
+    """The beginnings of the lexicon that the sample holds; those of other texts mark nothing in it."""
+    found = lexicon.join(_beginning_counts(sample), "beginning", "left_semi")
+    return {row.beginning for row in found.collect()}
 
 
 def _sample(once: DataFrame, texts: DataFrame) -> DataFrame:
@@ -191,14 +201,14 @@ def _spread(items: list, count: int) -> list:
 
 
 def _training_sentences(
-    sample: DataFrame, lexicon: set[str], window: int = WINDOW
+    sample: DataFrame, marks: set[str], window: int = WINDOW
 ) -> list[tuple[list[bytes], list[int]]]:
     """Some sentences of each sampled document with a label for each word.
 
     Half are marked ones and half are others, both spread over the text. Sentences
     of more than ``window`` words are cut, and each piece is a sentence of its own.
     """
-    shared = sample.sparkSession.sparkContext.broadcast(lexicon)
+    shared = sample.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
@@ -468,7 +478,8 @@ def fit_toxicity(
         return ToxicityModel(None, None, (40.0 if base == 1 else -40.0, 0.0, 0.0, 0.0))
     sample = workspace.store(_sample(once, texts), "sample")
     with small_batches(docs.sparkSession):
-        chains = _training_sentences(sample, _lexicon(once, toxic, clean, workspace), window)
+        marks = _marks(sample, _lexicon(once, toxic, clean, workspace))
+        chains = _training_sentences(sample, marks, window)
     if not chains:
         return ToxicityModel(None, None, (float(np.log(base / (1 - base))), 0.0, 0.0, 0.0))
     weights, moves = _fit_field(chains)
