@@ -172,3 +172,26 @@ def test_exact_query_equals_sql(spark):
 def test_exact_dedup_is_native(spark, plan_of):
     plan = plan_of(queries.op2_exact_dedup(spark, SF))
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_near_copies_with_repeated_and_null_ids_are_decided_row_by_row(spark, workspace):
+    draw = random.Random(5)
+    a, b, c, d, e = (" ".join(f"{kind}{draw.randrange(900)}" for _ in range(60)) for kind in "abcde")
+    assert len({root for _, _, root in brute_components(list(enumerate([a, b, c, d, e])))}) == 5
+    rows = [(3, a.upper()), (5, a), (5, b),  # 5 goes with a, and stays with b
+            (7, c), (7, c.upper()), (8, c), (7, c),  # the smallest id repeats
+            (None, d), (None, d), (None, e), (9, e),  # groups with null ids
+            (5, d + " x"), (11, "alone")]
+    kept = simhash.drop_near_copies(table(spark, rows), workspace)
+    assert kept.columns == table(spark, []).columns
+    prints = [brute_fingerprint(text) for _, text in rows]
+    near = (prints[7] ^ prints[11]).bit_count() <= 4
+    expected = [(3, a), (5, b), (7, c), (5, d + " x"), (9, e), (11, "alone")] + [(None, d)] * (not near)
+    found = [(r.doc_id, r.text.lower()) for r in kept.collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_rows_without_any_id_keep_one_of_each_group(spark, workspace):
+    rows = [(None, "one two three four"), (None, "One Two Three Four"), (None, "five six seven eight nine")]
+    kept = simhash.drop_near_copies(table(spark, rows), workspace)
+    assert sorted(r.text.lower() for r in kept.collect()) == ["five six seven eight nine", "one two three four"]

@@ -24,9 +24,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.joining import attach_totals, store_totals
+from ..operators.joining import attach_totals, broadcast_if_small, store_totals
 from ..workspace import Workspace
 from .batches import small_batches
 from .components import components
@@ -128,6 +128,16 @@ def fingerprints(
     return rows.mapInArrow(run, f"_id {kind}, fp bigint")
 
 
+def _fingerprint_column(text: Column, shingle: int) -> Column:
+    """The fingerprint of each text, for rows that keep their other columns."""
+    @F.arrow_udf("bigint")
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array(simhash(binary_values(column), len(column), shingle), pa.int64())
+
+    return run(text.cast("binary"))
+
+
 def _segments(distance: int, segments: int) -> list[tuple[int, int, int]]:
     """Shift, width and radius of each segment.
 
@@ -190,20 +200,16 @@ def near_fingerprints(fps: DataFrame, distance: int = DISTANCE, segments: int =
     return found.select("fp", "other")
 
 
-def simhash_groups(
+def _rooted(
     docs: DataFrame,
     workspace: Workspace,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    shingle: int = SHINGLE,
-    distance: int = DISTANCE,
-    segments: int = SEGMENTS,
-) -> DataFrame:
-    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``.
-
-    ``component_id`` is the smallest id reachable over links of at most
-    ``distance`` bits.
-    """
+    id_column: str,
+    text_column: str,
+    shingle: int,
+    distance: int,
+    segments: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Stored ``_id, fp`` of each document, and ``fp, least, rows, root`` of each fingerprint."""
     with small_batches(docs.sparkSession):
         prints = workspace.store(fingerprints(docs, id_column, text_column, shingle), "fingerprints")
     classes = workspace.store(
@@ -211,18 +217,40 @@ def simhash_groups(
     )
     links = near_fingerprints(classes.select("fp"), distance, segments)
     roots = components(links, workspace)
-    rooted = workspace.store(
+    return prints, workspace.store(
         classes.join(roots, classes["fp"] == roots["u"], "left").select(
             "fp", "least", "rows", F.coalesce("v", "fp").alias("root")
         ), "roots",
     )
+
+
+def _name_groups(prints: DataFrame, rooted: DataFrame, workspace: Workspace) -> DataFrame:
+    """``_id, fp, component_id`` of each document."""
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("rows"))
     stored, sizes = store_totals(smallest, workspace, "components")
     named = attach_totals(rooted.withColumnRenamed("rows", "_n"), stored, ["root"], ["fp"], sizes[None])
     per_print, print_sizes = store_totals(
         named.select("fp", "component_id", F.col("_n").alias("rows")), workspace, "members"
     )
-    return attach_totals(prints, per_print, ["fp"], ["_id"], print_sizes[None]).select(
+    return attach_totals(prints, per_print, ["fp"], ["_id"], print_sizes[None])
+
+
+def simhash_groups(
+    docs: DataFrame,
+    workspace: Workspace,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    segments: int = SEGMENTS,
+) -> DataFrame:
+    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``.
+
+    ``component_id`` is the smallest id reachable over links of at most
+    ``distance`` bits.
+    """
+    prints, rooted = _rooted(docs, workspace, id_column, text_column, shingle, distance, segments)
+    return _name_groups(prints, rooted, workspace).select(
         F.col("_id").alias(id_column),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
@@ -233,14 +261,44 @@ def drop_near_copies(
     workspace: Workspace,
     id_column: str = "doc_id",
     text_column: str = "text",
-    **settings,
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    segments: int = SEGMENTS,
 ) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns."""
-    from ..operators.joining import broadcast_if_small
+    """One document of each group, the one with the smallest id, with all its columns.
 
-    groups = simhash_groups(docs, workspace, id_column, text_column, **settings)
+    A null id is the largest. If an id repeats, its rows are decided one by one, each
+    in its own group. If the smallest id repeats within a group, one of its rows with
+    the smallest fingerprint (as a signed number) stays.
+    """
+    prints, rooted = _rooted(docs, workspace, id_column, text_column, shingle, distance, segments)
     gone = workspace.store(
-        groups.filter(F.col(id_column) != F.col("component_id"))
-        .select(F.col(id_column).alias("_gone")).distinct(), "near-copies",
+        _name_groups(prints, rooted, workspace).filter("_id <> component_id")
+        .select(F.col("_id").alias("_gone")).distinct(), "near-copies",
+    )
+    own = F.col(id_column)
+    # Ids that don't tell their rows apart.
+    unclear = workspace.store(
+        prints.groupBy(F.col("_id").alias("_unclear")).agg(F.count("*").alias("_n"))
+        .filter("_n > 1 OR _unclear IS NULL").select("_unclear"), "repeated-ids",
+    )
+    if unclear.isEmpty():
+        return docs.join(broadcast_if_small(gone), own == F.col("_gone"), "left_anti")
+    unclear = broadcast_if_small(unclear)
+    clear = docs.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_anti").join(
+        broadcast_if_small(gone), own == F.col("_gone"), "left_anti"
+    )
+    # A fingerprint is in one group only, so id and fingerprint name the row that stays.
+    first = F.min(F.struct(F.col("least").isNull(), "least", "fp")).alias("_first")
+    stays = workspace.store(
+        rooted.groupBy("root").agg(first).select(F.col("_first.least").alias("_stays"), F.col("_first.fp").alias("_print"))
+        .join(unclear, F.col("_stays").eqNullSafe(F.col("_unclear")), "left_semi"), "rows-that-stay",
+    )
+    judged = docs.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_semi").withColumn(
+        "_own", _fingerprint_column(F.col(text_column), shingle)
+    )
+    kept = judged.join(
+        broadcast_if_small(stays),
+        own.eqNullSafe(F.col("_stays")) & F.col("_own").eqNullSafe(F.col("_print")), "left_semi",
     )
-    return docs.join(broadcast_if_small(gone), F.col(id_column) == F.col("_gone"), "left_anti")
+    return clear.union(kept.dropDuplicates([id_column, "_own"]).select(*docs.columns))
