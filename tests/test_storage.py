@@ -18,7 +18,7 @@ from wordbond.sources import (
     load_pair_counts, load_pair_scores, read_collocation_lines, read_lines, read_ngrams,
     read_pair_count_lines, read_pair_score_lines, read_stop_words,
 )
-from wordbond.workspace import shared_folder
+from wordbond.workspace import check_shared, shared_folder
 
 TEXTS = [
     "strong tea\t1983\t4\t1\t1", "strong coffee\t1981\t2\t1\t1", "green tea\t1989\t6\t1\t1",
@@ -228,3 +228,30 @@ def test_nothing_is_left_once_the_driver_ends(tmp_path):
         env=os.environ | {"PYTHONPATH": root}, cwd=str(tmp_path),
     )
     assert not [name for name in os.listdir(tmp_path) if name.startswith("wordbond-")]
+
+
+@pytest.mark.parametrize("master", ["yarn", "k8s://host", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_warehouse_of_one_machine_is_refused_on_a_cluster(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        check_shared("file", master)
+    check_shared("hdfs", master)
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
+def test_a_warehouse_of_one_machine_serves_one_machine(master):
+    check_shared("file", master)
+
+
+def test_bucketed_tables_join_in_place(spark, tmp_path, plan_of):
+    with Workspace(spark, str(tmp_path)) as workspace:
+        detail = spark.range(5000).selectExpr("id % 70 AS k", "id AS n")
+        stored = workspace.store_bucketed(detail, "detail", ["k"], buckets=4, sort=["k", "n"])
+        totals = stored.groupBy("k").count()
+        joined = stored.join(totals.hint("merge"), "k")
+        assert "Exchange" not in plan_of(joined)
+        assert joined.count() == 5000 and joined.agg({"count": "sum"}).first()[0] == sum(
+            (5000 // 70 + (k < 5000 % 70)) ** 2 for k in range(70)
+        )
+        names = [t.name for t in spark.catalog.listTables() if t.name.startswith("wordbond_")]
+        assert names
+    assert not [t.name for t in spark.catalog.listTables() if t.name in names]

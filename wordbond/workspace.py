@@ -16,11 +16,30 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir`` (or ``setCheckpointDir``).
 
-    Where neither is set, a folder in the session's own warehouse, which every
-    executor must reach anyway to read the session's tables.
+    Where neither is set, a folder in the session's own warehouse. On a cluster that
+    must lie in a shared store: in a machine's own folder each executor would keep
+    the part it wrote and read back only that.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    check_shared(_store_of(spark, warehouse), spark.sparkContext.master)
+    return f"{warehouse}/_stages"
+
+
+def _store_of(spark: SparkSession, path: str) -> str:
+    """The scheme of the file system that holds ``path``."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
+def check_shared(scheme: str, master: str) -> None:
+    """Raise if executors of ``master`` do not share the files of a store of this ``scheme``."""
+    if scheme == "file" and not (master == "local" or master.startswith("local[")):
+        raise ValueError(
+            "the warehouse is a folder of one machine; set spark.checkpoint.dir to one that all executors share"
+        )
 
 
 class Workspace:
@@ -39,6 +58,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{(folder or shared_folder(spark)).rstrip('/')}/wordbond-{uuid.uuid4().hex}"
         self._stored = 0
+        self._tables: list[str] = []
         path, files = self._on_disk()
         files.mkdirs(path)
         files.deleteOnExit(path)  # of a folder that exists
@@ -65,8 +85,33 @@ class Workspace:
         stored = self.store(df.observe(observation, *metrics), name, partition_by)
         return stored, observation.get
 
+    def store_bucketed(
+        self, df: DataFrame, name: str, keys: list[str], buckets: int | None = None, sort: list[str] | None = None
+    ) -> DataFrame:
+        """Like :meth:`store`, dealt by the hash of ``keys`` into as many files as ``buckets``.
+
+        Joins on ``keys``, or on more columns, and sums by them then find the rows in
+        place and do not shuffle them again. ``df`` is shuffled once, so that a task
+        writes a single file, and sorted by ``sort`` (``keys`` unless given). The number
+        of buckets is that of the session's shuffle partitions unless given. Only the
+        session's catalogue can tell Spark of buckets, so the table has a name there
+        until :meth:`drop`, or until the driver ends where the catalogue is in memory.
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = self.new_path(name)
+        table = f"wordbond_{uuid.uuid4().hex}"
+        self._tables.append(table)
+        (
+            df.repartition(buckets, *keys).write.format("parquet").option("path", path)
+            .bucketBy(buckets, *keys).sortBy(*(sort or keys)).saveAsTable(table)
+        )
+        return self.spark.table(table)
+
     def drop(self) -> None:
         """Delete the folder of this run."""
+        for table in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
         path, files = self._on_disk()
         files.delete(path, True)
 
