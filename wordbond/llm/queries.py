@@ -9,7 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
-from . import bpe, chat, exact_dedup, lm_scoring, neighbours, packing, sharding, simhash, token_files, toxicity
+from . import (
+    bpe, chat, codes, exact_dedup, lm_scoring, neighbours, packing, sharding, simhash, token_files, toxicity,
+    va_clustering, vector_sql,
+)
 from .shipping import share_import_path
 
 
@@ -78,6 +81,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_limb_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress_vectors(_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
+def op13_va_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clustering.cluster_vectors(_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf_toxicity": op8_crf_toxicity,
     "op9_chat_windows": op9_chat_windows,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_limb_codes": op12_limb_codes,
+    "op13_va_centroids": op13_va_centroids,
 }
 
 SQL: dict[str, str] = {
@@ -144,4 +157,6 @@ SQL: dict[str, str] = {
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learnt) AS loss_chars,
                sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
         FROM said JOIN chars USING (conv_id)""",
+    "op12_limb_codes": vector_sql.compressed(),
+    "op13_va_centroids": vector_sql.clustered(),
 }
