@@ -111,8 +111,13 @@ def ngram_scan(spark, sf_dir):
 
 
 def sequence_scan(spark, sf_dir):
+    """Some records hold line ends, which are white space like any other."""
     path = Workspace(spark).new_path("ngrams-sequence")
-    ngram_lines(spark, sf_dir).rdd.map(lambda row: (0, row.value)).saveAsSequenceFile(path)
+    lines = ngram_lines(spark, sf_dir)
+    broken = lines.withColumn("value", F.translate("value", "\t", "\n")).filter(F.col("value").startswith("t"))
+    returned = broken.withColumn("value", F.translate("value", " \n", "\r\r"))
+    records = lines.union(broken).union(returned)
+    records.rdd.map(lambda row: (0, row.value)).saveAsSequenceFile(path)
     return sources.read_ngrams(spark, path, format="sequence")
 
 
@@ -537,7 +542,10 @@ def association_sql() -> dict[str, str]:
     counts = " SELECT decade, w1, w2, c12, n, c1 FROM counts"
     return {
         "ngram_scan": records + all_records,
-        "sequence_scan": records + all_records,
+        "sequence_scan": records + """
+            SELECT w1, w2, year, match_count FROM records
+            UNION ALL SELECT w1, w2, year, match_count FROM records WHERE starts_with(w1, 't')
+            UNION ALL SELECT w1, w2, year, match_count FROM records WHERE starts_with(w1, 't')""",
         "malformed_rows": broken + _ENGLISH_WORDS
         + " SELECT * FROM words WHERE year IS NOT NULL AND match_count >= 1",
         "malformed_rows_failfast": words + " SELECT * FROM words",

@@ -100,13 +100,32 @@ def test_split_size_bounds_sequence_splits(spark, tmp_path):
     spark.sparkContext.parallelize([(i, TEXTS[0]) for i in range(20_000)], 1).saveAsSequenceFile(path)
     whole = read_lines(spark, path, "sequence")
     split = read_lines(spark, path, "sequence", split_size=50_000)
-    parts = [len([p for p in os.listdir(df.inputFiles()[0].removeprefix("file:").rpartition("/")[0]) if p.startswith("part-")])
-             for df in (split, whole)]
-    assert parts[0] > parts[1]
+    assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
     assert split.count() == whole.count() == 20_000
     assert "Python" not in split._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_sequence_record_stays_one_row(spark, tmp_path, plan_of):
+    texts = ["a b 1990 1", "a\nb 1991\n2", "c\rd\r\n1992 3", "", " ", "\n", "e f 1993 4 " + "x" * 3_000_000, "ש ע 1994 5"]
+    path = str(tmp_path / "sequence")
+    spark.sparkContext.parallelize(list(enumerate(texts)), 3).saveAsSequenceFile(path)
+    scan = read_lines(spark, path, "sequence")
+    assert sorted(row.value for row in scan.collect()) == sorted(texts)
+    assert "Python" not in plan_of(scan) and scan.schema.simpleString() == "struct<value:string>"
+    kept = read_ngrams(spark, path, format="sequence", mode="DROPMALFORMED")
+    assert rows(kept) == [("a", "b", 1990, 1), ("a", "b", 1991, 2), ("c", "d", 1992, 3), ("e", "f", 1993, 4), ("ש", "ע", 1994, 5)]
+
+
+def test_a_sequence_scan_writes_nothing(spark, tmp_path):
+    path = str(tmp_path / "sequence")
+    spark.sparkContext.parallelize([(0, TEXTS[0])]).saveAsSequenceFile(path)
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Workspace, "__init__", lambda self, *args: made.append(args))
+        assert read_ngrams(spark, path, format="sequence").count() == 1
+    assert not made
+
+
 def test_stop_words_by_language(spark, tmp_path):
     (tmp_path / "eng_stop_words.txt").write_text("the\nof\r\nand")
     (tmp_path / "heb_stop_words.txt").write_text("של\nעל\n", encoding="utf-8")

@@ -206,7 +206,7 @@ def collocations(
     _check_threshold("rel_min_npmi", rel_min_npmi)
     workspace = workspace or Workspace(spark)
     ngrams = source if isinstance(source, DataFrame) else read_lines(
-        spark, source, format, split_size if format == "sequence" else None, workspace
+        spark, source, format, split_size if format == "sequence" else None
     )
     scores = score_ngrams(
         ngrams, stop_words, workspace=workspace, limits=limits, split_size=split_size,
