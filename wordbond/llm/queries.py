@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
 from . import (
-    bpe, chat, codes, exact_dedup, lm_scoring, neighbours, packing, sharding, simhash, token_files, toxicity,
-    va_clustering, vector_sql,
+    bpe, chat, codes, exact_dedup, lm_scoring, neighbours, packing, quality, sharding, simhash, token_files,
+    toxicity, va_clustering, vector_sql,
 )
+from .batches import small_batches
 from .shipping import share_import_path
 
 
@@ -81,6 +82,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, workspace = _table(spark, sf_dir, "documents"), Workspace(spark)
+    forest = quality.fit_quality(docs, _table(spark, sf_dir, "labels"), workspace)
+    with small_batches(spark):
+        return workspace.store(quality.judge_quality(docs, forest), "judged")
+
+
 def op12_limb_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress_vectors(_table(spark, sf_dir, "embeddings"), Workspace(spark))
 
@@ -100,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_crf_toxicity": op8_crf_toxicity,
     "op9_chat_windows": op9_chat_windows,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_boosted_quality": op11_boosted_quality,
     "op12_limb_codes": op12_limb_codes,
     "op13_va_centroids": op13_va_centroids,
 }
