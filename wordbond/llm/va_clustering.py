@@ -220,14 +220,15 @@ class _Sums:
     sums: list[list[int]]
 
     def add(self, tallies: DataFrame) -> None:
-        places = tallies.select("_label", "_rows", F.posexplode("_sums").alias("place", "total"))
-        exact = places.groupBy("_label", "place").agg(
-            F.sum("_rows").alias("rows"), F.sum(F.col("total").cast("decimal(38,0)")).alias("total")
-        )
-        for row in exact.collect():  # a row for each number of the centroids
-            if row.place == 0:
-                self.rows[row._label] += int(row.rows)
-            self.sums[row._label][row.place] += int(row.total)
+        """Add the tasks' rows: a column for each place, so they are never spread out into a row for each."""
+        places = range(len(self.sums[0]) if self.sums else 0)
+        exact = tallies.groupBy("_label").agg(F.sum("_rows").alias("rows"), *[
+            F.sum(F.get("_sums", F.lit(place)).cast("decimal(38,0)")).alias(f"total{place}") for place in places
+        ])
+        for row in exact.collect():  # a row per centroid
+            self.rows[row._label] += int(row.rows)
+            for place in places:
+                self.sums[row._label][place] += int(row[f"total{place}"])
 
 
 def _fit(file: DataFrame, workspace: Workspace, grid: Grid, centroids: np.ndarray, rounds: int) -> np.ndarray:
