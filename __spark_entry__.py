@@ -212,6 +212,14 @@ def _with_marginal(attach: Callable, limits: JoinLimits = JoinLimits()) -> Calla
     return query
 
 
+def left_marginal_split(spark, sf_dir):
+    """The pairs lie in buckets of decade and first word, and do not move."""
+    workspace = Workspace(spark)
+    pairs = _stored_pairs(spark, sf_dir, workspace)
+    counted = op.marginals(pairs, workspace, limits=SHUFFLED)
+    return op.locate_by_left(pairs, counted, workspace).attach()
+
+
 def duplicate_pairs(spark, sf_dir):
     pairs = _stored_pairs(spark, sf_dir, Workspace(spark))
     return op.duplicate_pairs(pairs.union(pairs.filter("decade >= 1900")))
@@ -329,7 +337,7 @@ def _top(spark, sf_dir, k: int = TOP_K, **choices) -> DataFrame:
     # Scores that differ only in the last bit are ties, ranked by the words.
     workspace = Workspace(spark)
     scores = workspace.store(_rounded(_selected(spark, sf_dir, workspace=workspace), npmi=10), "kept")
-    return plans.top_collocations(scores, k, MAX_NPMI, workspace=workspace, **choices)
+    return plans.top_collocations(scores, k, MAX_NPMI, workspace=workspace, stored=True, **choices)
 
 
 def _ranked(spark, sf_dir, *k: int, **choices) -> DataFrame:
@@ -410,7 +418,7 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "attach_total": _with_marginal(op.attach_decade_total),
         "left_marginal": _with_marginal(op.attach_left_marginal),
         "right_marginal": _with_marginal(op.attach_right_marginal),
-        "left_marginal_split": _with_marginal(op.attach_left_marginal, SHUFFLED),
+        "left_marginal_split": left_marginal_split,
         "right_marginal_split": _with_marginal(op.attach_right_marginal, SHUFFLED),
         "ordered_count_lines": ordered_count_lines,
         "count_rollup": count_rollup,

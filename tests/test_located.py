@@ -1,0 +1,178 @@
+"""Pairs stored where their totals join, order-free sums, and totals from totals."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordbond import JoinLimits, Workspace, count_pairs
+from wordbond.functions import exact_sum
+from wordbond.operators import (
+    attach_left_marginal, count_rollup, locate_by_left, marginals, npmi_totals, with_relative_npmi,
+)
+from wordbond.operators.counting import DECADE_LEVEL, LEFT_LEVEL, RIGHT_LEVEL
+
+SHUFFLED = JoinLimits(broadcast_bytes=0, split_rows=300)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One word begins a third of the pairs."""
+    number = F.col("id")
+    table = spark.range(6000).select(
+        F.when(number % 7 == 0, 1900).otherwise(1980).alias("decade"),
+        F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), number % 900)).alias("w1"),
+        F.concat(F.lit("v"), number).alias("w2"), (number % 9 + 1).alias("c12"),
+    )
+    return Workspace(spark).store(table, "skewed")
+
+
+def located(pairs, workspace, limits=SHUFFLED):
+    counted = marginals(pairs, workspace, limits=limits)
+    return locate_by_left(pairs, counted, workspace), counted
+
+
+def rows(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
+@pytest.mark.parametrize("limits", [
+    SHUFFLED, JoinLimits(broadcast_bytes=0), JoinLimits(broadcast_bytes=0, hash_bytes=0, split_rows=50),
+])
+def test_located_pairs_get_the_same_totals(skewed, workspace, limits):
+    stored, counted = located(skewed, workspace, limits)
+    columns = [*skewed.columns, "c1"]
+    assert rows(stored.attach().select(columns)) == rows(attach_left_marginal(skewed, counted).select(columns))
+    assert rows(stored.detail().select(skewed.columns)) == rows(skewed)
+
+
+def test_pairs_do_not_move_once_they_are_stored(skewed, workspace, plan_of):
+    stored, _ = located(skewed, workspace)
+    plan = plan_of(stored.attach()).splitlines()
+    (scan,) = [i for i, line in enumerate(plan) if "c12" in line and "FileScan" in line]
+    depth = plan[scan].index("FileScan")
+    above = []  # the nodes that the pairs pass on their way up
+    for line in reversed(plan[:scan]):
+        start = min(line.find(sign) for sign in ("+-", ":-") if sign in line) if "+-" in line or ":-" in line else -1
+        if start < depth:
+            above.append(line)
+            depth = max(start, 0)
+    assert any("ShuffledHashJoin" in line for line in above)
+    assert not any("Exchange" in line for line in above)
+    assert sum("Exchange hashpartitioning" in line for line in plan) == 1  # that of the totals
+
+
+def test_sums_by_the_stored_key_do_not_move_rows(skewed, workspace, plan_of):
+    stored, _ = located(skewed, workspace, JoinLimits(broadcast_bytes=0))
+    sums = stored.table.groupBy("decade", "w1").agg(F.sum("c12"))
+    assert "Exchange" not in plan_of(sums)
+
+
+def test_a_hot_word_lies_in_several_buckets(skewed, workspace):
+    stored, _ = located(skewed, workspace)
+    hot = stored.table.filter("w1 = 'hot' AND decade = 1980").groupBy(F.input_file_name()).count().collect()
+    assert len(hot) >= 3 and max(row["count"] for row in hot) <= 1200 < sum(row["count"] for row in hot)
+
+
+def test_counts_beyond_the_broadcast_bound_are_located(spark, workspace, lines, plan_of):
+    given = lines(*[f"{a} {b} 1990 2" for a in ("a", "b", "c") for b in ("x", "y", "z")])
+    expected = rows(count_pairs(given, language="english"))
+    found = count_pairs(given, language="english", workspace=workspace, limits=SHUFFLED)
+    assert rows(found) == expected and "SelectedBucketsCount" in plan_of(found)
+
+
+# --- sums --------------------------------------------------------------------
+
+
+def bits(value):
+    return struct.pack("<d", value)
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    chance = random.Random(11)
+    table = [
+        (1980 + 10 * (i % 3), f"w{i}", "v", chance.choice([chance.uniform(-1, 1), chance.uniform(-1e-9, 1e-9), 1 / 3, 1.0]))
+        for i in range(20_000)
+    ]
+    chance.shuffle(table)
+    return table
+
+
+def test_totals_have_equal_bits_on_every_partitioning(spark, scores):
+    frame = spark.createDataFrame(scores, "decade int, w1 string, w2 string, npmi double")
+    found = []
+    for partitions in (1, 7, 64):
+        dealt = frame.repartition(partitions, F.xxhash64("w1", F.lit(partitions)))
+        totals = npmi_totals(dealt).orderBy("decade").collect()
+        found.append([(row.decade, bits(row.total_npmi), row.rows) for row in totals])
+    plain = [
+        [bits(row.s) for row in frame.repartition(n).groupBy("decade").agg(F.sum("npmi").alias("s")).orderBy("decade").collect()]
+        for n in (1, 7, 64)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert not plain[0] == plain[1] == plain[2]  # what is avoided
+
+
+def test_sums_are_exact_to_the_last_limb(spark, scores):
+    frame = spark.createDataFrame([(s[3],) for s in scores], "x double")
+    total = frame.agg(exact_sum("x").alias("s")).first().s
+    true = sum(Fraction(s[3]) for s in scores)
+    assert abs(Fraction(total) - true) <= Fraction(len(scores), 2**60) + Fraction(math.ulp(total))
+
+
+@pytest.mark.parametrize("values, expected", [
+    ([], None), ([None, None], None), ([0.0, -0.0], 0.0), ([0.1] * 10, 1.0), ([-0.75, 0.5, None], -0.25),
+    ([math.nan, 1.0], math.nan), ([math.inf, 1.0], math.inf), ([math.inf, -math.inf], math.nan),
+    ([-math.inf, 5.0], -math.inf), ([1e300, 1.0], 1e300), ([2.0**-60, 2.0**-59], 3 * 2.0**-60), ([1.0, 2.0**-60], 1.0),
+    ([1048575.75, 0.25], 1048576.0), ([2.0**21, 0.5], 2.0**21 + 0.5),
+])
+def test_special_sums(spark, values, expected):
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    found = frame.agg(exact_sum("x").alias("s")).first().s
+    assert found == expected or (expected is not None and math.isnan(expected) and math.isnan(found))
+
+
+def test_relative_scores_and_thresholds_do_not_depend_on_order(spark, scores):
+    frame = spark.createDataFrame(scores, "decade int, w1 string, w2 string, npmi double")
+    kept = []
+    for partitions in (1, 13):
+        dealt = frame.repartition(partitions, F.xxhash64("w1", F.lit(partitions)))
+        totals = npmi_totals(dealt).drop("rows")
+        relative = with_relative_npmi(dealt.join(totals, "decade"))
+        kept.append({(row.w1, bits(row.rel_npmi)) for row in relative.select("w1", "rel_npmi").collect()})
+    assert kept[0] == kept[1]
+
+
+# --- totals from totals ------------------------------------------------------
+
+
+def test_no_row_is_copied_for_a_level(skewed, plan_of):
+    plan = plan_of(count_rollup(skewed))
+    assert "Expand" not in plan
+    decades = count_rollup(skewed, levels=(LEFT_LEVEL, DECADE_LEVEL))
+    assert "Expand" not in plan_of(decades)
+
+
+@pytest.mark.parametrize("levels", [(DECADE_LEVEL,), (RIGHT_LEVEL, DECADE_LEVEL), (LEFT_LEVEL, RIGHT_LEVEL, DECADE_LEVEL)])
+def test_decades_come_from_words(skewed, levels):
+    found = count_rollup(skewed, levels).filter(F.col("level") == DECADE_LEVEL)
+    plain = skewed.groupBy("decade").agg(F.sum("c12"), F.count("*"))
+    assert rows(found.select("decade", "total", "rows")) == rows(plain)
+    assert {(row.w1, row.w2) for row in found.collect()} == {(None, None)}
+
+
+def test_words_are_summed_once_for_both_levels(spark, skewed, workspace):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    watched = skewed.mapInArrow(count, skewed.schema)
+    workspace.store(count_rollup(watched, (LEFT_LEVEL, DECADE_LEVEL)), "levels")
+    assert runs.value == 6000

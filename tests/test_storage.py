@@ -256,6 +256,26 @@ def test_a_warehouse_of_one_machine_is_refused_on_a_cluster(master):
     check_shared("hdfs", master)
 
 
+def test_a_session_without_a_shared_folder_is_refused():
+    class Session:
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}.get(name, default)
+
+    with pytest.raises(ValueError, match="one machine"):
+        shared_folder(Session())
+    Session.sparkContext.master = "local[2]"
+    assert shared_folder(Session()) == "file:/home/me/spark-warehouse/_stages"
+
+
 @pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
 def test_a_warehouse_of_one_machine_serves_one_machine(master):
     check_shared("file", master)

@@ -1,7 +1,8 @@
 from .association import npmi, pmi, relative, share
+from .sums import exact_sum
 from .words import WORD_PATTERNS, check_language, decade_of, fold_case, in_alphabet
 
 __all__ = [
-    "WORD_PATTERNS", "check_language", "decade_of", "fold_case", "in_alphabet",
+    "WORD_PATTERNS", "check_language", "decade_of", "exact_sum", "fold_case", "in_alphabet",
     "npmi", "pmi", "relative", "share",
 ]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import Workspace
-from .joining import JoinLimits, Size, attach_totals, store_totals
+from .joining import JoinLimits, Located, Size, attach_totals, locate, store_totals
 
 PAIR = ["decade", "w1", "w2"]
 
@@ -34,17 +35,30 @@ def decade_totals(pairs: DataFrame) -> DataFrame:
 
 
 def count_rollup(pairs: DataFrame, levels=(PAIR_LEVEL, *MARGINAL_LEVELS)) -> DataFrame:
-    """Sums of ``c12`` at several levels from one pass over the pairs.
+    """Sums of ``c12`` at several levels, each from the smallest table that holds it.
 
-    ``rows`` says how many pairs a sum covers, which later tells how many detail
-    rows a key will meet in a join.
+    The words' sums come from the pairs, each from a scan of its own two keys and the
+    count, with no copy of a row for each level. The decade's come from the words' sums,
+    which Spark computes once for both. ``rows`` says how many pairs a sum covers,
+    which later tells how many detail rows a key will meet in a join.
     """
-    sets = [[F.col(name) for name in _LEVEL_KEYS[level]] for level in levels]
-    return pairs.groupingSets(sets, *[F.col(name) for name in PAIR]).agg(
-        F.grouping_id(*PAIR).cast("int").alias("level"),
-        F.sum("c12").alias("total"),
-        F.count("*").alias("rows"),
-    )
+    kinds = dict(pairs.dtypes)
+    words = RIGHT_LEVEL if RIGHT_LEVEL in levels and LEFT_LEVEL not in levels else LEFT_LEVEL
+
+    def of_pairs(level: int) -> DataFrame:
+        return pairs.groupBy(*_LEVEL_KEYS[level]).agg(F.sum("c12").alias("total"), F.count("*").alias("rows"))
+
+    def totals(level: int) -> DataFrame:
+        if level != DECADE_LEVEL:
+            return of_pairs(level)
+        return of_pairs(words).groupBy("decade").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
+
+    return reduce(DataFrame.union, [
+        totals(level).select(*[
+            (F.col(name) if name in _LEVEL_KEYS[level] else F.lit(None).cast(kinds[name])).alias(name) for name in PAIR
+        ], F.lit(level).alias("level"), "total", "rows")
+        for level in levels
+    ])
 
 
 @dataclass(frozen=True)
@@ -104,6 +118,14 @@ def attach_right_marginal(
     return counted[RIGHT_LEVEL].attach(pairs, ["decade", "w2"], ["w1"], limits)
 
 
+def locate_by_left(
+    pairs: DataFrame, counted: dict[int, Marginal], workspace: Workspace, limits: JoinLimits | None = None
+) -> Located:
+    """The pairs stored by decade and first word; ``attach`` adds ``c1`` where they lie."""
+    left = counted[LEFT_LEVEL]
+    return locate(pairs, left.table, ["decade", "w1"], ["w2"], workspace, left.size, limits or left.limits)
+
+
 def duplicate_pairs(pairs: DataFrame) -> DataFrame:
     """Keys that occur in more than one row, with the number of rows."""
     return pairs.groupBy(*PAIR).agg(F.count("*").alias("copies")).filter("copies > 1")

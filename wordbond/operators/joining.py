@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..workspace import Workspace
+from .naming import unused_names
 
 # A table is broadcast only if its measured size is at most this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -137,28 +138,90 @@ def attach_totals(
     ``hot_list_bytes``, the threshold rises until it surely fits, since the ``rows``
     add up to the detail rows.
     """
-    split_rows = limits.split_rows
-    if size is None or size.split_rows != split_rows:
-        size = Size.measure(totals, split_rows)
+    size = _sized(totals, size, limits)
     if size.bytes <= limits.broadcast_bytes:
         return detail.join(F.broadcast(totals.drop("rows")), keys)
+    detail, totals, place = _split_hot(detail, totals, keys, spread, size, limits)
+    return _joined(detail, totals.hint(_strategy(detail, size, limits)), keys, place)
+
+
+def _sized(totals: DataFrame, size: Size | None, limits: JoinLimits) -> Size:
+    return size if size is not None and size.split_rows == limits.split_rows else Size.measure(totals, limits.split_rows)
+
+
+def _strategy(detail: DataFrame, size: Size, limits: JoinLimits) -> str:
     partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strategy = "shuffle_hash" if size.bytes <= limits.hash_bytes * partitions else "merge"
-    if not size.hot_keys:
-        return detail.join(totals.drop("rows").hint(strategy), keys)
+    return "shuffle_hash" if size.bytes <= limits.hash_bytes * partitions else "merge"
+
+
+def _joined(detail: DataFrame, totals: DataFrame, keys: list[str], place: str | None) -> DataFrame:
+    return detail.join(totals, keys) if place is None else detail.join(totals, [*keys, place]).drop(place)
 
+
+def _split_hot(
+    detail: DataFrame, totals: DataFrame, keys: list[str], spread: list[str], size: Size, limits: JoinLimits
+) -> tuple[DataFrame, DataFrame, str | None]:
+    """Both sides with one more key (its name comes third), which deals hot keys into parts; None if no key is hot."""
+    if not size.hot_keys:
+        return detail, totals.drop("rows"), None
+    split_rows = limits.split_rows
     if size.hot_keys * size.hot_row_bytes > limits.hot_list_bytes:
         fitting = max(1, limits.hot_list_bytes // size.hot_row_bytes)
         split_rows = max(split_rows, -(-size.detail_rows // fitting))
     split_rows = max(split_rows, 1)
     parts = F.ceil(F.col("rows") / F.lit(split_rows)).cast("int")
 
-    hot = totals.filter(F.col("rows") > split_rows).select(*keys, parts.alias("_parts"))
-    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1)).cast("bigint")).cast("int")
+    in_parts, place = unused_names([*detail.columns, *totals.columns], "_parts", "_salt")
+    hot = totals.filter(F.col("rows") > split_rows).select(*keys, parts.alias(in_parts))
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce(in_parts, F.lit(1)).cast("bigint")).cast("int")
     salted_detail = (
-        detail.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
+        detail.join(F.broadcast(hot), keys, "left").withColumn(place, salt).drop(in_parts)
     )
     salted_totals = (
-        totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
+        totals.withColumn(place, F.explode(F.sequence(F.lit(0), parts - 1))).drop("rows")
     )
-    return salted_detail.join(salted_totals.hint(strategy), [*keys, "_salt"]).drop("_salt")
+    return salted_detail, salted_totals, place
+
+
+@dataclass(frozen=True)
+class Located:
+    """A detail table stored in buckets of its key, so that totals come to it and it never moves again.
+
+    The rows of a hot key lie in several buckets, dealt as :func:`attach_totals`
+    would; ``totals`` repeats its one row for each.
+    """
+
+    table: DataFrame
+    totals: DataFrame
+    keys: list[str]
+    place: str | None
+
+    def detail(self) -> DataFrame:
+        """The rows, without the part of their key."""
+        return self.table if self.place is None else self.table.drop(self.place)
+
+    def attach(self) -> DataFrame:
+        """The rows with the totals of their key: only totals are shuffled, to the rows' buckets."""
+        return _joined(self.table, self.totals, self.keys, self.place)
+
+
+def locate(
+    detail: DataFrame,
+    totals: DataFrame,
+    keys: list[str],
+    spread: list[str],
+    workspace: Workspace,
+    size: Size | None = None,
+    limits: JoinLimits = JoinLimits(),
+    buckets: int | None = None,
+) -> Located:
+    """Store ``detail`` by ``keys`` in buckets, each sorted, with hot keys split.
+
+    Takes ``totals``, ``spread`` and ``size`` as :func:`attach_totals` does. It shuffles the
+    detail as that join would, but once for all later joins and sums by the key.
+    """
+    size = _sized(totals, size, limits)
+    detail, totals, place = _split_hot(detail, totals, keys, spread, size, limits)
+    dealt = keys if place is None else [*keys, place]
+    table = workspace.store_bucketed(detail, "located", dealt, buckets)
+    return Located(table, totals.hint(_strategy(detail, size, limits)), keys, place)

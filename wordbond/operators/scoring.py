@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.association import npmi, relative, share
+from ..functions.sums import exact_sum
 
 TOTAL_SCOPES = ("decade", "running")
 
@@ -29,9 +30,13 @@ def with_npmi(counts: DataFrame) -> DataFrame:
 
 
 def npmi_totals(scores: DataFrame) -> DataFrame:
-    """``total_npmi`` per decade, with the number of pairs it covers."""
+    """``total_npmi`` per decade, with the number of pairs it covers.
+
+    The sum is the same to the last bit however the rows are dealt and ordered, and
+    so are relative scores and what a threshold on them keeps.
+    """
     return scores.groupBy("decade").agg(
-        F.sum("npmi").alias("total_npmi"), F.count("*").alias("rows")
+        exact_sum("npmi").alias("total_npmi"), F.count("*").alias("rows")
     )
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..workspace import Workspace
 from .joining import broadcast_if_small
+from .naming import unused_names
+from .ranging import by_score, count_ranges
+
 
 def keep_high_scores(scores: DataFrame, min_npmi: float, rel_min_npmi: float) -> DataFrame:
     """Keep a pair if its score or its relative score reaches the threshold.
@@ -32,47 +35,35 @@ def drop_repeated_scores(scores: DataFrame) -> DataFrame:
     return scores.dropDuplicates(["decade", "npmi", "w1", "w2"])
 
 
-def top_k_per_decade(scores: DataFrame, k: int, workspace: Workspace | None = None) -> DataFrame:
+def top_k_per_decade(
+    scores: DataFrame, k: int, workspace: Workspace | None = None, stored: bool = False
+) -> DataFrame:
     """The ``k`` best pairs of each decade, ties broken by the words.
 
-    One way for every ``k``, and no decade is ranked in one task. Scores rounded to
-    three digits are counted per decade; rows below the level that holds the k-th
-    best go at once. What is left is range-partitioned in the order wanted, so a
-    row's place in its decade is its place in its partition plus the rows of the
-    partitions before, of which there is a small table. ``scores`` is read twice.
+    One way for every ``k``, and no decade is ranked in one task. ``scores`` is
+    computed once: it is stored, unless ``stored`` says that it comes from files.
+    Scores rounded to three digits are counted per decade; rows below the level that
+    holds the k-th best go at once, and what is left is sorted in ranges that these
+    counts give. A row's place in its decade is its place in its partition plus the
+    rows of the partitions before, of which there is a small table.
     """
     workspace = workspace or Workspace(scores.sparkSession)
     if k < 1:
         return scores.limit(0)
-    level = F.coalesce(F.round("npmi", 3), F.lit(float("-inf")))
-    levels = scores.groupBy(F.col("decade").alias("_decade"), level.alias("_level")).agg(
-        F.count("*").alias("_rows")
-    )
-    above = Window.partitionBy("_decade").orderBy(F.desc("_level"))
-    reached = levels.withColumn("_above", F.sum("_rows").over(above) - F.col("_rows")).filter(
-        F.col("_above") < k
-    )
-    cut = workspace.store(reached.groupBy("_decade").agg(F.min("_level").alias("_cut")), "top-levels")
-    likely = scores.join(
-        broadcast_if_small(cut), F.col("decade").eqNullSafe(F.col("_decade")) & (level >= F.col("_cut"))
-    ).drop("_decade", "_cut")
-
-    order = ["decade", F.desc("npmi"), "w1", "w2"]
+    if not stored:
+        scores = workspace.store(scores, "scores")
+    ranges = count_ranges(scores, by_score(), workspace, first=k)
+    place, decade, at, offset = unused_names(scores.columns, "_place", "_decade", "_part", "_offset")
     ranked = workspace.store(
-        likely.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id()), "top-ranges",
-    )
-    part = F.shiftright("_place", 33)  # the upper bits of the number are the partition
-    parts = ranked.groupBy(F.col("decade").alias("_decade"), part.alias("_part")).agg(
-        F.min("_place").alias("_first"), F.count("*").alias("_rows")
+        ranges.sort(scores).withColumn(place, F.monotonically_increasing_id()), "top-ranges"
     )
-    earlier = Window.partitionBy("_decade").orderBy("_part")
-    before = F.sum("_rows").over(earlier) - F.col("_rows")
-    offsets = workspace.store(
-        parts.select("_decade", "_part", (before - F.col("_first")).alias("_offset")), "top-offsets"
+    part = F.shiftright(place, 33)  # the upper bits of the number are the partition
+    parts = ranked.groupBy(F.col("decade").alias(decade), part.alias(at)).agg(
+        F.min(place).alias("first"), F.count("*").alias("rows")
     )
+    before = F.sum("rows").over(Window.partitionBy(decade).orderBy(at)) - F.col("rows")
+    offsets = workspace.store(parts.select(decade, at, (before - F.col("first")).alias(offset)), "top-offsets")
     return ranked.join(
         broadcast_if_small(offsets),
-        F.col("decade").eqNullSafe(F.col("_decade")) & (part == F.col("_part"))
-        & (F.col("_place") + F.col("_offset") < k),
-    ).select(*scores.columns)
+        F.col("decade").eqNullSafe(F.col(decade)) & (part == F.col(at)) & (F.col(place) + F.col(offset) < k),
+    ).drop(place, decade, at, offset)

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.words import check_language
 from ..operators.cleaning import check_mode, drop_stop_words, keep_language, reject_malformed, with_decade
 from ..operators.counting import (
-    RIGHT_LEVEL, Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
-    count_pairs_per_decade, marginals, require_unique_pairs,
+    LEFT_LEVEL, RIGHT_LEVEL, Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
+    count_pairs_per_decade, locate_by_left, marginals, require_unique_pairs,
 )
 from ..operators.joining import JoinLimits, attach_totals, store_totals
-from ..operators.ordering import order_collocations
+from ..operators.ordering import order_collocations, order_top_rows
 from ..operators.sampling import check_fraction, sample_rows, sample_rows_by_hash
 from ..operators.scoring import TOTAL_SCOPES, scoped_totals, with_npmi, with_relative_npmi
 from ..operators.selecting import (
@@ -73,8 +73,11 @@ def _counted(
     with bounded_splits(cleaned.sparkSession, split_size):  # the one scan of the input
         pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
     counted = marginals(pairs, workspace, limits=limits)
-    with_total = attach_decade_total(pairs, counted)
-    pair_counts = attach_left_marginal(with_total, counted)
+    if counted[LEFT_LEVEL].size.bytes <= limits.broadcast_bytes:
+        with_left = attach_left_marginal(pairs, counted)
+    else:  # stored by first word, so that whoever reads the counts joins in place
+        with_left = locate_by_left(pairs, counted, workspace).attach()
+    pair_counts = attach_decade_total(with_left, counted)
     return pair_counts.select("decade", "w1", "w2", "c12", "n", "c1"), counted
 
 
@@ -173,7 +176,7 @@ def select_collocations(
     )
     with_total = attach_totals(scores, totals, ["decade"], ["w1", "w2"], sizes[None], limits)
     kept = keep_high_scores(with_relative_npmi(with_total), min_npmi, rel_min_npmi)
-    return order_collocations(kept) if ordered else kept
+    return order_collocations(kept, workspace) if ordered else kept
 
 
 def collocations(
@@ -228,11 +231,14 @@ def top_collocations(
     deduplicate: bool = True,
     ordered: bool = True,
     workspace: Workspace | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """The ``k`` best pairs of each decade with a score of at most ``max_npmi``.
 
     ``inclusive`` keeps one more. ``deduplicate`` costs a shuffle; switch it off
     for rows that cannot repeat, such as those of :func:`select_collocations`.
+    ``scores`` is computed once, and what may be listed is stored; ``stored`` says
+    that ``scores`` comes from files, so that without a shuffle it is read again.
     """
     if k < 0:
         raise ValueError("k must be at least 0")
@@ -241,5 +247,5 @@ def top_collocations(
         scores = without_self_pairs(scores)
     if deduplicate:
         scores = drop_repeated_scores(scores)
-    top = top_k_per_decade(scores, k + 1 if inclusive else k, workspace)
-    return order_collocations(top) if ordered else top
+    top = top_k_per_decade(scores, k + 1 if inclusive else k, workspace, stored and not deduplicate)
+    return order_top_rows(top) if ordered else top

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.ordering import order_collocations
+from ..operators.ordering import order_collocations, order_top_rows
 
 
 def collocation_lines(collocations: DataFrame, trailing_tab: bool = False) -> DataFrame:
@@ -37,6 +37,6 @@ def save_top_listing(
     ``single_file`` has one task write all of it, for listings known to be short.
     """
     if not single_file:
-        return save_collocation_lines(top_rows, path, mode=mode)
+        return save_collocation_lines(order_top_rows(top_rows), path, ordered=False, mode=mode)
     rows = top_rows.repartition(1).sortWithinPartitions("decade", F.desc("npmi"), "w1", "w2")
     collocation_lines(rows).write.mode(mode).text(path)
