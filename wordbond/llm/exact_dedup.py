@@ -8,7 +8,8 @@ joined back.
 
 Of equal texts the row with the largest id stays (a null id is the smallest). If
 that id repeats within the group, one of its rows stays. An empty table gives an
-empty result; other columns, whatever their names, are not read.
+empty result; other columns, whatever their names, are not read, or come out as they
+came in.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.joining import JoinLimits, attach_totals, store_totals
 from ..workspace import Workspace
 
-# Reserved column names, so that columns of the input never clash with them.
-_HASH, _BODY, _ROW, _KEEP, _TOP = "_hash", "_body", "_row", "_keep", "_top"
+# Names of this module's own columns. A row of the input with all its columns is one
+# struct, ``_ALL``, wherever it is carried along, so no name of the input meets these.
+_HASH, _BODY, _ROW, _KEEP, _TOP, _ALL = "_hash", "_body", "_row", "_keep", "_top", "_all"
 
 
 def normalised(text: Column | str) -> Column:
@@ -113,15 +115,16 @@ def drop_exact_copies(
     hash_of: Callable[[Column], Column] = content_hash,
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    """The rows that stay, with all their columns.
+    """The rows that stay, with all their columns, whatever these are named.
 
     Rows are told apart by id and text, so the texts themselves stay where they
     are unless the table of groups is too large to broadcast.
     """
-    body = normalised(F.col(text_column))
-    bodies = docs.select(F.col(id_column).alias("_id"), body.alias(_BODY)).withColumn(
+    body = normalised(F.col(text_column)).alias(_BODY)
+    marked = docs.select(F.struct("*").alias(_ALL), F.col(id_column).alias("_id"), body).withColumn(
         _HASH, hash_of(F.col(_BODY))
     )
+    bodies = marked.drop(_ALL)
     hashed = workspace.store(bodies.select("_id", _HASH), "content-hashes")
     repeated, size = _repeated(hashed, workspace, limits)
     collided = _collided(bodies, repeated, size, workspace, limits)
@@ -134,16 +137,14 @@ def drop_exact_copies(
     stored, sizes = store_totals(groups, workspace, "content-groups", limits=limits)
     again = stored.filter(F.col(f"{_KEEP}.{_TOP}") > 1).select(*keys)
 
-    marked = docs.withColumn(_BODY, body).withColumn(_HASH, hash_of(F.col(_BODY)))
-    top, own = F.col(f"{_KEEP}.{_TOP}"), F.col(id_column).eqNullSafe(F.col(f"{_KEEP}._id"))
+    top, own = F.col(f"{_KEEP}.{_TOP}"), F.col("_id").eqNullSafe(F.col(f"{_KEEP}._id"))
     if sizes[None].bytes <= limits.broadcast_bytes:
         grouped = marked.join(F.broadcast(stored.drop("rows")), keys, "left")
-        kept = grouped.filter(F.col(_KEEP).isNull() | (own & (top == 1))).select(*docs.columns)
+        kept = grouped.filter(F.col(_KEEP).isNull() | (own & (top == 1))).select(_ALL)
     else:  # both sides are shuffled, rows of a large group to several tasks
-        grouped = attach_totals(marked, stored, keys, [id_column], sizes[None], limits)
+        grouped = attach_totals(marked, stored, keys, ["_id"], sizes[None], limits)
         alone = marked.join(stored.select(*keys), keys, "left_anti")
-        kept = alone.select(*docs.columns).union(grouped.filter(own & (top == 1)).select(*docs.columns))
-    if again.isEmpty():
-        return kept
-    equal_ids = grouped.filter(own & (top > 1)).dropDuplicates(keys)
-    return kept.union(equal_ids.select(*docs.columns))
+        kept = alone.select(_ALL).union(grouped.filter(own & (top == 1)).select(_ALL))
+    if not again.isEmpty():
+        kept = kept.union(grouped.filter(own & (top > 1)).dropDuplicates(keys).select(_ALL))
+    return kept.select(f"{_ALL}.*")

@@ -265,7 +265,7 @@ def drop_near_copies(
     distance: int = DISTANCE,
     segments: int = SEGMENTS,
 ) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns.
+    """One document of each group, the one with the smallest id, with all its columns, whatever their names.
 
     A null id is the largest. If an id repeats, its rows are decided one by one, each
     in its own group. If the smallest id repeats within a group, one of its rows with
@@ -276,16 +276,20 @@ def drop_near_copies(
         _name_groups(prints, rooted, workspace).filter("_id <> component_id")
         .select(F.col("_id").alias("_gone")).distinct(), "near-copies",
     )
-    own = F.col(id_column)
+    # A document is one struct here, so that no name of its columns meets those below.
+    whole = docs.select(
+        F.struct("*").alias("_all"), F.col(id_column).alias("_id"), F.col(text_column).alias("_text")
+    )
+    own = F.col("_id")
     # Ids that don't tell their rows apart.
     unclear = workspace.store(
         prints.groupBy(F.col("_id").alias("_unclear")).agg(F.count("*").alias("_n"))
         .filter("_n > 1 OR _unclear IS NULL").select("_unclear"), "repeated-ids",
     )
     if unclear.isEmpty():
-        return docs.join(broadcast_if_small(gone), own == F.col("_gone"), "left_anti")
+        return whole.join(broadcast_if_small(gone), own == F.col("_gone"), "left_anti").select("_all.*")
     unclear = broadcast_if_small(unclear)
-    clear = docs.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_anti").join(
+    clear = whole.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_anti").join(
         broadcast_if_small(gone), own == F.col("_gone"), "left_anti"
     )
     # A fingerprint is in one group only, so id and fingerprint name the row that stays.
@@ -294,11 +298,11 @@ def drop_near_copies(
         rooted.groupBy("root").agg(first).select(F.col("_first.least").alias("_stays"), F.col("_first.fp").alias("_print"))
         .join(unclear, F.col("_stays").eqNullSafe(F.col("_unclear")), "left_semi"), "rows-that-stay",
     )
-    judged = docs.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_semi").withColumn(
-        "_own", _fingerprint_column(F.col(text_column), shingle)
+    judged = whole.join(unclear, own.eqNullSafe(F.col("_unclear")), "left_semi").withColumn(
+        "_own", _fingerprint_column(F.col("_text"), shingle)
     )
     kept = judged.join(
         broadcast_if_small(stays),
         own.eqNullSafe(F.col("_stays")) & F.col("_own").eqNullSafe(F.col("_print")), "left_semi",
     )
-    return clear.union(kept.dropDuplicates([id_column, "_own"]).select(*docs.columns))
+    return clear.select("_all").union(kept.dropDuplicates(["_id", "_own"]).select("_all")).select("_all.*")
