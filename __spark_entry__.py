@@ -110,6 +110,13 @@ def ngram_scan(spark, sf_dir):
     return sources.read_ngrams(spark, path)
 
 
+def ngram_scan_gzip(spark, sf_dir):
+    """Two files, each one gzip stream, split into words by all cores."""
+    path = Workspace(spark).new_path("ngrams-gzip")
+    ngram_lines(spark, sf_dir).coalesce(2).write.text(path, compression="gzip")
+    return sources.read_ngrams(spark, path)
+
+
 def sequence_scan(spark, sf_dir):
     """Some records hold line ends, which are white space like any other."""
     path = Workspace(spark).new_path("ngrams-sequence")
@@ -131,6 +138,19 @@ def malformed_rows(spark, sf_dir):
     return op.reject_malformed(kept, "DROPMALFORMED")
 
 
+def quarantined_rows(spark, sf_dir):
+    workspace = Workspace(spark)
+    languages = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang")
+    lines = ngram_lines(spark, sf_dir)
+    for ending in ("", " words 1990", " words 1990 0", " words never 3"):
+        lines = lines.union(languages.select(F.concat("lang", F.lit(ending)).alias("value")))
+    path = workspace.new_path("bad-rows")
+    plans.clean_ngrams(
+        lines, STOP_WORDS, language="english", mode="QUARANTINE", quarantine=path, workspace=workspace
+    )
+    return spark.read.parquet(path).select("reason", "value")
+
+
 def malformed_rows_failfast(spark, sf_dir):
     return op.reject_malformed(english_words(spark, sf_dir), "FAILFAST")
 
@@ -174,6 +194,11 @@ def row_sample_hash(spark, sf_dir):
     return sources.split_ngrams(op.sample_rows_by_hash(ngram_lines(spark, sf_dir), SAMPLE))
 
 
+def row_sample_hash_fields(spark, sf_dir):
+    rows = sources.split_ngrams(ngram_lines(spark, sf_dir))
+    return op.sample_rows_by_hash(rows, SAMPLE, plans.NGRAM_COLUMNS)
+
+
 # --- counts ------------------------------------------------------------------
 
 
@@ -187,6 +212,18 @@ def pair_counts_reload(spark, sf_dir):
     return sources.load_pair_counts(spark, path)
 
 
+def pair_counts_merged(spark, sf_dir):
+    """Counted in two batches, the second for some decades only and given twice."""
+    workspace = Workspace(spark)
+    rows = workspace.store(_clean(spark, sf_dir), "rows")
+    path = workspace.new_path("merged-counts")
+    later = (F.col("decade") >= 1900) & (F.pmod(F.hash("w2"), F.lit(3)) == 0)
+    sinks.merge_pair_counts(spark, path, rows.filter(~later), "first", workspace)
+    for _ in range(2):
+        sinks.merge_pair_counts(spark, path, rows.filter(later), "second", workspace)
+    return sources.load_pair_counts(spark, path)
+
+
 def decade_totals(spark, sf_dir):
     return op.decade_totals(op.count_pairs_per_decade(_clean(spark, sf_dir)))
 
@@ -225,6 +262,13 @@ def duplicate_pairs(spark, sf_dir):
     return op.duplicate_pairs(pairs.union(pairs.filter("decade >= 1900")))
 
 
+def duplicate_pairs_by_hash(spark, sf_dir):
+    workspace = Workspace(spark)
+    pairs = _stored_pairs(spark, sf_dir, workspace)
+    repeated = pairs.union(pairs.filter("decade >= 1900 AND w1 < 'c'"))
+    return op.find_duplicate_pairs(repeated, workspace, part_rows=5_000)
+
+
 def degenerate_pairs(spark, sf_dir):
     workspace = Workspace(spark)
     solo = spark.range(1).select(F.lit("solo pair\t1500\t7").alias("value"))
@@ -403,17 +447,21 @@ def oracle_sql() -> dict[str, str]:
 def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ngram_scan": ngram_scan,
+        "ngram_scan_gzip": ngram_scan_gzip,
         "sequence_scan": sequence_scan,
         "malformed_rows": malformed_rows,
         "malformed_rows_failfast": malformed_rows_failfast,
+        "quarantined_rows": quarantined_rows,
         "english_words": english_words,
         "hebrew_words": hebrew_words,
         "stop_word_filter": stop_word_filter,
         "decade_bucket": decade_bucket,
         "row_sample": row_sample,
         "row_sample_hash": row_sample_hash,
+        "row_sample_hash_fields": row_sample_hash_fields,
         "pair_counts": pair_counts,
         "pair_counts_reload": pair_counts_reload,
+        "pair_counts_merged": pair_counts_merged,
         "decade_totals": decade_totals,
         "attach_total": _with_marginal(op.attach_decade_total),
         "left_marginal": _with_marginal(op.attach_left_marginal),
@@ -423,6 +471,7 @@ def association_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]
         "ordered_count_lines": ordered_count_lines,
         "count_rollup": count_rollup,
         "duplicate_pairs": duplicate_pairs,
+        "duplicate_pairs_by_hash": duplicate_pairs_by_hash,
         "degenerate_pairs": degenerate_pairs,
         "pmi": pmi,
         "npmi": npmi,
@@ -539,6 +588,10 @@ def association_sql() -> dict[str, str]:
         UNION ALL SELECT lang FROM documents
         UNION ALL SELECT lang || ' words 1990' FROM documents
         UNION ALL SELECT lang || ' words 1990 0' FROM documents""")
+    unclean = _prefix(extra_lines="".join(
+        f"\n        UNION ALL SELECT lang || '{ending}' FROM documents"
+        for ending in ("", " words 1990", " words 1990 0", " words never 3")
+    ))
     all_records = " SELECT w1, w2, year, match_count FROM records"
     reloaded_score = " SELECT decade, w1, w2, round(npmi, 6) AS npmi FROM "
     relative = "decade, w1, w2, round(npmi, 6) AS npmi, round(rel_npmi, 9) AS rel_npmi"
@@ -550,12 +603,24 @@ def association_sql() -> dict[str, str]:
     counts = " SELECT decade, w1, w2, c12, n, c1 FROM counts"
     return {
         "ngram_scan": records + all_records,
+        "ngram_scan_gzip": records + all_records,
         "sequence_scan": records + """
             SELECT w1, w2, year, match_count FROM records
             UNION ALL SELECT w1, w2, year, match_count FROM records WHERE starts_with(w1, 't')
             UNION ALL SELECT w1, w2, year, match_count FROM records WHERE starts_with(w1, 't')""",
         "malformed_rows": broken + _ENGLISH_WORDS
         + " SELECT * FROM words WHERE year IS NOT NULL AND match_count >= 1",
+        "quarantined_rows": unclean + f"""
+            , judged AS (
+              SELECT value, CASE WHEN coalesce(w2, '') = '' THEN 'fewer than two words'
+                                 WHEN year IS NULL THEN 'year does not parse'
+                                 WHEN match_count IS NULL THEN 'count does not parse'
+                                 WHEN match_count < 1 THEN 'count below one' END AS reason
+              FROM records
+              WHERE coalesce(w2, '') = '' OR (
+                regexp_full_match(lower(w1), '[a-z]+') AND regexp_full_match(lower(w2), '[a-z]+')
+                AND lower(w1) NOT IN ({_STOP_LIST}) AND lower(w2) NOT IN ({_STOP_LIST}))
+            ) SELECT reason, value FROM judged WHERE reason IS NOT NULL""",
         "malformed_rows_failfast": words + " SELECT * FROM words",
         "english_words": words + " SELECT * FROM words",
         "hebrew_words": hebrew + " SELECT * FROM words",
@@ -565,7 +630,11 @@ def association_sql() -> dict[str, str]:
             SELECT true AS part_of_input, true AS repeatable, true AS near_fraction, count(*) AS lines FROM records""",
         "row_sample_hash": records + all_records
         + f" WHERE CAST('0x' || substr(md5(value), 1, 8) AS BIGINT) < {int(SAMPLE * 2**32)}",
+        "row_sample_hash_fields": records + all_records + f"""
+             WHERE CAST('0x' || substr(md5(concat_ws(chr(9), w1, w2, year, match_count)), 1, 8) AS BIGINT)
+                   < {int(SAMPLE * 2**32)}""",
         "pair_counts": pairs + counts,
+        "pair_counts_merged": pairs + counts,
         "pair_counts_reload": pairs + counts,
         "decade_totals": pairs + " SELECT decade, CAST(sum(c12) AS BIGINT) AS n FROM pairs GROUP BY decade",
         "attach_total": pairs + " SELECT decade, w1, w2, c12, n FROM counts",
@@ -587,6 +656,10 @@ def association_sql() -> dict[str, str]:
             SELECT decade, w1, w2, count(*) AS copies
             FROM (SELECT * FROM pairs UNION ALL SELECT * FROM pairs WHERE decade >= 1900)
             GROUP BY decade, w1, w2 HAVING count(*) > 1""",
+        "duplicate_pairs_by_hash": pairs + """
+            SELECT decade, w1, w2, count(*) AS copies
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM pairs WHERE decade >= 1900 AND w1 < 'c')
+            GROUP BY decade, w1, w2 HAVING count(*) > 1""",
         "degenerate_pairs": solo + _ENGLISH_WORDS + _pairs()
         + " SELECT decade, w1, w2, c12, n FROM counts WHERE c12 = n",
         "pmi": pairs + " SELECT decade, w1, w2, round(pmi, 6) AS pmi FROM pointwise",

@@ -1,0 +1,258 @@
+"""Repeated pairs by hash, bad rows set aside, merged counts, lines of unsplittable files."""
+
+import gzip
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordbond import Workspace, clean_ngrams, collocations, count_pairs, score_pairs
+from wordbond.operators import duplicate_pairs, find_duplicate_pairs, quarantine_ngrams, sample_rows_by_hash
+from wordbond.operators.quarantine import REASONS
+from wordbond.plans import NGRAM_COLUMNS
+from wordbond.sinks import merge_pair_counts, save_pair_counts
+from wordbond.sinks import merging
+from wordbond.sources import load_pair_counts, read_lines, read_ngrams
+
+
+def rows(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
+# --- uniqueness --------------------------------------------------------------
+
+
+def keyed(spark, size, hot=0):
+    pairs = spark.range(size).selectExpr(
+        "cast(1900 + 10 * (id % 9) AS int) AS decade", "concat('a', id % 997) AS w1", "concat('b', id) AS w2", "id AS c12"
+    )
+    same = spark.range(hot).selectExpr("1950 AS decade", "'hot' AS w1", "'hot' AS w2", "id AS c12")
+    return pairs.union(pairs.filter("c12 % 701 = 3")).union(same)
+
+
+@pytest.mark.parametrize("part_rows", [500, 1_000_000])
+@pytest.mark.parametrize("hot", [0, 2, 12_000])
+def test_repeated_pairs_are_found(spark, workspace, part_rows, hot):
+    pairs = keyed(spark, 20_000, hot)
+    found = find_duplicate_pairs(pairs, workspace, part_rows=part_rows)
+    assert rows(found) == rows(duplicate_pairs(pairs)) and found.count() == 29 + (hot > 1)
+
+
+def test_nulls_and_empty_tables(spark, workspace):
+    schema = "decade int, w1 string, w2 string, c12 bigint"
+    pairs = spark.createDataFrame([(None, None, None, 1), (None, None, None, 2), (1900, None, "b", 1), (1900, "b", None, 1)], schema)
+    assert [tuple(r) for r in find_duplicate_pairs(pairs, workspace).collect()] == [(None, None, None, 2)]
+    assert find_duplicate_pairs(spark.createDataFrame([], schema), workspace).collect() == []
+
+
+def test_hashes_are_compared_in_few_rows(spark, workspace, plan_of):
+    """On unique keys the rows that are shuffled are tasks times parts, not pairs."""
+    from wordbond.operators.uniqueness import suspicious_hashes
+
+    keys = spark.range(0, 200_000, 1, 8).select(
+        F.pmod(F.xxhash64("id"), F.lit(10)).cast("int").alias("part"), F.xxhash64("id").alias("hash")
+    )
+    again, overfull = suspicious_hashes(workspace.store(keys, "hashes"), 10, 200_000)
+    plan = plan_of(again)
+    assert again.collect() == overfull.collect() == []
+    assert plan.count("Exchange hashpartitioning") == 2  # the parts' sizes, and the packed hashes
+    assert "Exchange hashpartitioning(hash" not in plan
+    packed = workspace.store(keys.groupBy(F.spark_partition_id(), "part").agg(F.count("*")), "packed").count()
+    assert packed <= 80 <= 0.05 * 200_000
+
+
+def test_pairs_that_repeat_are_refused_by_scoring(spark):
+    counts = spark.createDataFrame([(1980, "a", "b", 1, 2, 1)] * 2, "decade int, w1 string, w2 string, c12 bigint, n bigint, c1 bigint")
+    with pytest.raises(ValueError, match="more than one row"):
+        score_pairs(counts)
+
+
+# --- quarantine --------------------------------------------------------------
+
+LINES = [
+    "green tea 1984 3", "Green TEA 1985 2", "one", "", " ", "bad year x 4", "tea pot 1990 many", "tea pot 1990",
+    "tea pot 1990 0", "tea pot 1990 -3", "the pot x 0", "t3a pot x 0", "  lead 1990 4", "old ship 1870 5 9 9 9",
+]
+BAD = [
+    ("count below one", "tea pot 1990 -3"), ("count below one", "tea pot 1990 0"),
+    ("count does not parse", "tea pot 1990"), ("count does not parse", "tea pot 1990 many"),
+    ("fewer than two words", ""), ("fewer than two words", " "), ("fewer than two words", "one"),
+    ("year does not parse", "bad year x 4"),
+]
+
+
+@pytest.fixture
+def files(tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.txt").write_text("\n".join(LINES[:6]) + "\n")
+    (folder / "b.txt").write_text("\n".join(LINES[6:]) + "\n")
+    return str(folder)
+
+
+def test_bad_rows_are_set_aside_with_reason_and_file(spark, workspace, files, tmp_path):
+    found = quarantine_ngrams(spark.read.text(files), ["the"], "english", workspace, str(tmp_path / "bad"))
+    assert rows(found.kept) == [(1870, "old", "ship", 5), (1980, "green", "tea", 2), (1980, "green", "tea", 3)]
+    assert rows(found.rejected.select("reason", "value")) == BAD
+    assert {row.value: row.file.rpartition("/")[2] for row in found.rejected.collect()} == {
+        value: "a.txt" if value in LINES[:6] else "b.txt" for _, value in BAD
+    }
+    assert found.counts == {"kept": 3, **{reason: sum(r == reason for r, _ in BAD) for reason in REASONS}}
+    assert rows(spark.read.parquet(str(tmp_path / "bad")).select("reason", "value")) == BAD
+
+
+def test_one_pass_serves_both(spark, workspace, lines):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    given = lines(*LINES)
+    found = quarantine_ngrams(given.mapInArrow(count, given.schema), None, "english", workspace)
+    assert (found.kept.count(), found.rejected.count(), runs.value) == (3, 9, len(LINES))
+
+
+def test_quarantine_in_plans(spark, workspace, files, tmp_path):
+    kept = clean_ngrams(
+        spark.read.text(files), ["the"], language="english", mode="QUARANTINE", quarantine=str(tmp_path / "bad")
+    )
+    dropped = clean_ngrams(spark.read.text(files), ["the"], language="english", mode="DROPMALFORMED")
+    assert rows(kept) == rows(dropped)
+    found = collocations(
+        spark, files, language="english", min_npmi=0.0, rel_min_npmi=0.0, mode="QUARANTINE",
+        quarantine=str(tmp_path / "again"), workspace=workspace,
+    )
+    assert found.columns and len(rows(spark.read.parquet(str(tmp_path / "again")))) == 9
+    for wrong in ({"mode": "QUARANTINE"}, {"quarantine": "x"}, {"mode": "DROPMALFORMED", "quarantine": "x"}):
+        with pytest.raises(ValueError, match="go together"):
+            clean_ngrams(spark.read.text(files), language="english", **wrong)
+
+
+# --- merged counts -----------------------------------------------------------
+
+
+def counted(spark, *records):
+    schema = "decade int, w1 string, w2 string, match_count bigint"
+    return spark.createDataFrame([(d, a, b, n) for d, a, b, n in records], schema)
+
+
+FIRST = [(1980, "a", "b", 3), (1980, "a", "c", 1), (1870, "x", "y", 2), (1990, "m", "n", 4)]
+SECOND = [(1980, "a", "b", 2), (1980, "d", "b", 7), (2000, "q", "r", 1), (1980, "a", "b", 1)]
+
+
+def whole(spark, workspace, records):
+    lines = spark.createDataFrame([(f"{a} {b} {d} {n}",) for d, a, b, n in records], "value string")
+    return count_pairs(lines, language="english", workspace=workspace)
+
+
+def listed(path):
+    return {
+        (folder, name): os.stat(os.path.join(path, folder, name)).st_mtime_ns
+        for folder in os.listdir(path) if folder.startswith("decade=")
+        for name in os.listdir(os.path.join(path, folder)) if name.startswith("part-")
+    }
+
+
+def test_two_halves_merged_equal_the_whole(spark, workspace, tmp_path):
+    path = str(tmp_path / "counts")
+    assert merge_pair_counts(spark, path, counted(spark, *FIRST), "2024-01") == [1870, 1980, 1990]
+    before = listed(path)
+    assert merge_pair_counts(spark, path, counted(spark, *SECOND), "2024-02") == [1980, 2000]
+    after = listed(path)
+    expected = whole(spark, workspace, FIRST + SECOND)
+    assert rows(load_pair_counts(spark, path).select(expected.columns)) == rows(expected)
+    kept = {key: at for key, at in before.items() if key[0] in ("decade=1870", "decade=1990")}
+    assert kept.items() <= after.items()  # untouched folders keep their files
+    assert not {key for key in before if key[0] == "decade=1980"} & set(after)
+
+
+def test_a_batch_is_added_once(spark, workspace, tmp_path):
+    path = str(tmp_path / "counts")
+    for _ in range(2):
+        merge_pair_counts(spark, path, counted(spark, *FIRST), "one", workspace)
+    assert merge_pair_counts(spark, path, counted(spark, *SECOND), "one", workspace) == []
+    expected = whole(spark, workspace, FIRST)
+    assert rows(load_pair_counts(spark, path).select(expected.columns)) == rows(expected)
+
+
+def test_merging_into_saved_counts_and_counted_pairs(spark, workspace, tmp_path):
+    path = str(tmp_path / "counts")
+    save_pair_counts(whole(spark, workspace, FIRST), path)
+    pairs = counted(spark, *SECOND).groupBy("decade", "w1", "w2").agg(F.sum("match_count").alias("c12"))
+    merge_pair_counts(spark, path, pairs, "two", workspace)
+    expected = whole(spark, workspace, FIRST + SECOND)
+    assert rows(load_pair_counts(spark, path).select(expected.columns)) == rows(expected)
+
+
+def test_a_merge_that_died_is_finished_by_running_it_again(spark, workspace, tmp_path, monkeypatch):
+    path = str(tmp_path / "counts")
+    merge_pair_counts(spark, path, counted(spark, *FIRST), "one", workspace)
+    publish = merging.save_pair_counts
+
+    def die(df, target, mode="error"):
+        if target == path:
+            publish(df.filter("decade = 1980"), target, mode)  # one folder is in place
+            raise RuntimeError("driver lost")
+        publish(df, target, mode)
+
+    monkeypatch.setattr(merging, "save_pair_counts", die)
+    with pytest.raises(RuntimeError):
+        merge_pair_counts(spark, path, counted(spark, *SECOND), "two", workspace)
+    monkeypatch.setattr(merging, "save_pair_counts", publish)
+    with pytest.raises(ValueError, match="unfinished"):
+        merge_pair_counts(spark, path, counted(spark, *SECOND), "three", workspace)
+    merge_pair_counts(spark, path, counted(spark), "two", workspace)  # what is staged counts, not what is given
+    expected = whole(spark, workspace, FIRST + SECOND)
+    assert rows(load_pair_counts(spark, path).select(expected.columns)) == rows(expected)
+
+
+def test_batches_are_named(spark, tmp_path):
+    for name in ("", "a/b", "..", "_x"):
+        with pytest.raises(ValueError, match="named"):
+            merge_pair_counts(spark, str(tmp_path), counted(spark, *FIRST), name)
+
+
+# --- unsplittable files ------------------------------------------------------
+
+
+def test_lines_of_one_gzip_file_reach_all_tasks(spark, tmp_path, plan_of):
+    with gzip.open(tmp_path / "big file.txt.gz", "wt") as out:
+        out.writelines(f"a b {1900 + n % 100} {n + 1}\n" for n in range(40_000))
+    path = str(tmp_path / "big file.txt.gz")
+    scan = read_lines(spark, path)
+    assert scan.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    sizes = [row["count"] for row in scan.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 0.75 * spark.sparkContext.defaultParallelism and sum(sizes) == 40_000
+    assert read_lines(spark, path, spread=3).rdd.getNumPartitions() == 3
+    assert read_lines(spark, path, spread=0).rdd.getNumPartitions() == 1
+    assert rows(read_lines(spark, path)) == rows(spark.read.text(path))
+    parsed = plan_of(read_ngrams(spark, path))
+    assert parsed.index("split(") < parsed.index("Exchange")  # the lines move before they are split
+
+
+def test_other_files_are_not_moved(spark, tmp_path, plan_of):
+    (tmp_path / "plain.txt").write_text("a b 1990 1\n")
+    with gzip.open(tmp_path / "packed.gz", "wt") as out:
+        out.write("c d 1990 2\n")
+    plain = read_lines(spark, str(tmp_path / "plain.txt"))
+    assert "Exchange" not in plan_of(plain)
+    mixed = read_lines(spark, str(tmp_path))
+    assert plan_of(mixed).count("Exchange") == 1
+    assert rows(mixed) == [("a b 1990 1",), ("c d 1990 2",)]
+
+
+# --- samples of fields -------------------------------------------------------
+
+
+def test_rows_of_fields_are_sampled_by_hash(spark):
+    frame = spark.range(4000).selectExpr("concat('w', id) AS w1", "'b' AS w2", "1990 AS year", "id AS match_count")
+    kept = rows(sample_rows_by_hash(frame, 0.3, NGRAM_COLUMNS))
+    assert 1000 < len(kept) < 1400
+    assert kept == rows(sample_rows_by_hash(frame.repartition(7), 0.3, NGRAM_COLUMNS))
+    cleaned = clean_ngrams(
+        frame.withColumn("w1", F.translate("w1", "0123456789", "abcdefghij")), language="english",
+        fraction=0.3, sample_by="hash",
+    )
+    assert 1000 < cleaned.count() < 1400

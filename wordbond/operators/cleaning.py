@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.words import decade_of, fold_case, in_alphabet
 from .joining import broadcast_if_small, local_table
 
+# What becomes of rows without a valid year and count; QUARANTINE is one of whole plans.
 MODES = ("FAILFAST", "DROPMALFORMED")
 
 

@@ -129,12 +129,3 @@ def locate_by_left(
 def duplicate_pairs(pairs: DataFrame) -> DataFrame:
     """Keys that occur in more than one row, with the number of rows."""
     return pairs.groupBy(*PAIR).agg(F.count("*").alias("copies")).filter("copies > 1")
-
-
-def require_unique_pairs(pairs: DataFrame) -> DataFrame:
-    """Return ``pairs``, or raise if a pair has more than one row."""
-    found = duplicate_pairs(pairs).take(3)
-    if found:
-        examples = ", ".join(f"({row.decade}, {row.w1}, {row.w2})" for row in found)
-        raise ValueError(f"more than one row for a pair of a decade, such as {examples}")
-    return pairs

@@ -10,22 +10,26 @@ from ..functions.words import check_language
 from ..operators.cleaning import check_mode, drop_stop_words, keep_language, reject_malformed, with_decade
 from ..operators.counting import (
     LEFT_LEVEL, RIGHT_LEVEL, Marginal, attach_decade_total, attach_left_marginal, attach_right_marginal,
-    count_pairs_per_decade, locate_by_left, marginals, require_unique_pairs,
+    count_pairs_per_decade, locate_by_left, marginals,
 )
 from ..operators.joining import JoinLimits, attach_totals, store_totals
 from ..operators.ordering import order_collocations, order_top_rows
+from ..operators.quarantine import quarantine_ngrams
 from ..operators.sampling import check_fraction, sample_rows, sample_rows_by_hash
 from ..operators.scoring import TOTAL_SCOPES, scoped_totals, with_npmi, with_relative_npmi
 from ..operators.selecting import (
     drop_high_scores, drop_repeated_scores, drop_self_pairs as without_self_pairs,
     keep_high_scores, top_k_per_decade,
 )
+from ..operators.uniqueness import require_unique_pairs
 from ..settings import require_ansi
 from ..sources.ngrams import bounded_splits, check_split_size, read_lines, split_ngrams
 from ..sources.stop_words import read_stop_words
 from ..workspace import Workspace
 
 SAMPLE_METHODS = ("row", "hash")
+QUARANTINE = "QUARANTINE"
+NGRAM_COLUMNS = ("w1", "w2", "year", "match_count")
 
 
 def _check_threshold(name: str, value: float) -> None:
@@ -42,27 +46,38 @@ def clean_ngrams(
     seed: int | None = None,
     sample_by: str = "row",
     mode: str = "FAILFAST",
+    quarantine: str | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Sample, split and filter n-gram records into ``decade, w1, w2, match_count``.
 
     ``ngrams`` is a table of lines (column ``value``) or of ``w1, w2, year,
     match_count``. ``stop_words`` is a table (column ``word``), a file path or
-    words. ``sample_by="hash"`` samples lines by their text.
+    words. ``sample_by="hash"`` samples lines by their text, or by the text of their
+    four fields. ``mode="QUARANTINE"`` takes lines, stores the clean rows at once and
+    saves bad ones with reason and file to the folder ``quarantine``.
     """
     require_ansi(ngrams.sparkSession)
-    check_language(language), check_fraction(fraction), check_mode(mode)
+    check_language(language), check_fraction(fraction)
+    if (mode == QUARANTINE) != (quarantine is not None):
+        raise ValueError(f"mode={QUARANTINE!r} and a folder named by quarantine go together")
+    if mode != QUARANTINE:
+        check_mode(mode)
+    elif "value" not in ngrams.columns:
+        raise ValueError(f"mode={QUARANTINE!r} needs a table of lines")
     if sample_by not in SAMPLE_METHODS:
         raise ValueError(f"sample_by must be one of {SAMPLE_METHODS}, not {sample_by!r}")
     if sample_by == "hash":
-        if "value" not in ngrams.columns:
-            raise ValueError("sample_by='hash' needs a table of lines")
-        ngrams = sample_rows_by_hash(ngrams, fraction)
+        ngrams = sample_rows_by_hash(ngrams, fraction, *[] if "value" in ngrams.columns else [NGRAM_COLUMNS])
     else:
         ngrams = sample_rows(ngrams, fraction, seed)
-    if "value" in ngrams.columns:
-        ngrams = split_ngrams(ngrams, mode)
     if isinstance(stop_words, str):
         stop_words = read_stop_words(ngrams.sparkSession, stop_words)
+    if mode == QUARANTINE:
+        workspace = workspace or Workspace(ngrams.sparkSession)
+        return quarantine_ngrams(ngrams, stop_words, language, workspace, quarantine).kept
+    if "value" in ngrams.columns:
+        ngrams = split_ngrams(ngrams, mode)
     kept = drop_stop_words(keep_language(ngrams, language), stop_words)
     return with_decade(reject_malformed(kept, mode))
 
@@ -93,8 +108,8 @@ def count_pairs(
 
     Takes the keyword arguments of :func:`clean_ngrams`.
     """
-    cleaned = clean_ngrams(ngrams, stop_words, **cleaning)
-    return _counted(cleaned, workspace or Workspace(ngrams.sparkSession), limits)[0]
+    workspace = workspace or Workspace(ngrams.sparkSession)
+    return _counted(clean_ngrams(ngrams, stop_words, workspace=workspace, **cleaning), workspace, limits)[0]
 
 
 def _scored(pair_counts: DataFrame, counted: dict[int, Marginal]) -> DataFrame:
@@ -115,14 +130,14 @@ def score_pairs(
 
     The counts are read twice, so they are stored first unless ``stored`` says
     that they already come from files. ``validate`` raises if a pair has several
-    rows in a decade, which costs a shuffle of all rows; :func:`count_pairs` never
-    gives any, so switch it off for its result.
+    rows in a decade, which costs three scans of the keys and a shuffle of packed
+    hashes; :func:`count_pairs` never gives any, so switch it off for its result.
     """
     workspace = workspace or Workspace(pair_counts.sparkSession)
     if not stored:
         pair_counts = workspace.store(pair_counts, "pair-counts")
     if validate:
-        require_unique_pairs(pair_counts)
+        require_unique_pairs(pair_counts, workspace, stored=True)
     counted = marginals(pair_counts, workspace, levels=(RIGHT_LEVEL,), limits=limits)
     return _scored(pair_counts, counted)
 
@@ -142,8 +157,8 @@ def score_ngrams(
     bytes of one split of the scan below ``ngrams``.
     """
     check_split_size(split_size)
-    cleaned = clean_ngrams(ngrams, stop_words, **cleaning)
     workspace = workspace or Workspace(ngrams.sparkSession)
+    cleaned = clean_ngrams(ngrams, stop_words, workspace=workspace, **cleaning)
     return _scored(*_counted(cleaned, workspace, limits, split_size))
 
 
@@ -193,6 +208,7 @@ def collocations(
     seed: int | None = None,
     sample_by: str = "row",
     mode: str = "FAILFAST",
+    quarantine: str | None = None,
     total_scope: str = "decade",
     buckets: int = 11,
     ordered: bool = True,
@@ -213,7 +229,7 @@ def collocations(
     )
     scores = score_ngrams(
         ngrams, stop_words, workspace=workspace, limits=limits, split_size=split_size,
-        language=language, fraction=fraction, seed=seed, sample_by=sample_by, mode=mode,
+        language=language, fraction=fraction, seed=seed, sample_by=sample_by, mode=mode, quarantine=quarantine,
     )
     return select_collocations(
         scores, min_npmi=min_npmi, rel_min_npmi=rel_min_npmi, total_scope=total_scope,

@@ -1,9 +1,10 @@
 from .lines import collocation_lines, save_collocation_lines, save_top_listing
+from .merging import merge_pair_counts
 from .tables import (
     save_pair_count_lines, save_pair_counts, save_pair_score_lines, save_pair_scores,
 )
 
 __all__ = [
-    "collocation_lines", "save_collocation_lines", "save_pair_count_lines", "save_pair_counts",
+    "collocation_lines", "merge_pair_counts", "save_collocation_lines", "save_pair_count_lines", "save_pair_counts",
     "save_pair_score_lines", "save_pair_scores", "save_top_listing",
 ]

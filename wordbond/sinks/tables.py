@@ -10,16 +10,21 @@ from ..operators.ordering import order_counts, order_scores
 def _save_by_decade(df: DataFrame, path: str, mode: str) -> None:
     # The hint groups rows by decade so that each task writes to few folders,
     # and lets adaptive execution split a decade that is too big for one task.
-    df.hint("rebalance", "decade").write.mode(mode).partitionBy("decade").parquet(path)
+    writer = df.hint("rebalance", "decade").write.partitionBy("decade")
+    if mode == "dynamic":  # only the folders of decades in df are replaced
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
+    writer.parquet(path)
 
 
 def save_pair_counts(pair_counts: DataFrame, path: str, mode: str = "error") -> None:
-    """Parquet, one folder per decade."""
+    """Parquet, one folder per decade; ``mode="dynamic"`` replaces the folders of the given decades only."""
     _save_by_decade(pair_counts, path, mode)
 
 
 def save_pair_scores(scores: DataFrame, path: str, mode: str = "error") -> None:
-    """Parquet, one folder per decade."""
+    """Parquet, one folder per decade; ``mode="dynamic"`` replaces the folders of the given decades only."""
     _save_by_decade(scores, path, mode)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,8 @@ from ..operators.cleaning import check_mode, reject_malformed
 
 # Four columns are used; the fifth element takes the rest of the line unsplit.
 _SPLIT_LIMIT = 5
+# Lines of an unsplittable file that go to one task together: 2 to this power.
+_BLOCK_BITS = 10
 
 
 @contextmanager
@@ -65,14 +68,50 @@ def _sequence_lines(spark: SparkSession, path: str | list[str], split_size: int
     return DataFrame(rows.toDF(), spark)
 
 
+def _text_lines(spark: SparkSession, path: str | list[str], spread: int | None) -> DataFrame:
+    """A text scan; the lines of files that cannot be split are dealt to ``spread`` tasks, block by block."""
+    lines = spark.read.text(path).select("value")
+    spread = spark.sparkContext.defaultParallelism if spread is None else spread
+    files = lines.inputFiles() if spread else []
+    whole = {ending for ending in {_ending(name) for name in files} if _cannot_be_split(spark, ending)}
+    if not whole:
+        return lines
+    # A task decodes a file and hands its lines on as it goes, so neither it nor those
+    # that parse them hold more than a few blocks. Which block a line is in depends on
+    # its place in the file alone, so a task that runs again deals out the same.
+    block = F.shiftright(F.monotonically_increasing_id(), _BLOCK_BITS)
+    packed = spark.read.text([unquote(name) for name in files if _ending(name) in whole])
+    dealt = packed.select("value", block.alias("block")).repartition(spread, "block").select("value")
+    others = [unquote(name) for name in files if _ending(name) not in whole]
+    return spark.read.text(others).select("value").union(dealt) if others else dealt
+
+
+def _ending(name: str) -> str:
+    return name.rpartition("/")[2].rpartition(".")[2]
+
+
+def _cannot_be_split(spark: SparkSession, ending: str) -> bool:
+    """Whether files of this ending are compressed as one stream."""
+    jvm = spark._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    codec = codecs.getCodec(jvm.org.apache.hadoop.fs.Path(f"lines.{ending}"))
+    splittable = jvm.java.lang.Class.forName("org.apache.hadoop.io.compress.SplittableCompressionCodec")
+    return codec is not None and not splittable.isInstance(codec)
+
+
 def read_lines(
     spark: SparkSession,
     path: str | list[str],
     format: str = "text",
     split_size: int | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
     """Scan n-gram records into one ``value`` column.
 
+    Text that is compressed as one stream, such as gzip, is decoded by one task a
+    file; its lines are shuffled once, so that ``spread`` tasks split and filter them
+    (as many as the session has cores unless given; 0 leaves them where they are).
+
     ``format`` is ``"text"`` (a record ends at a line end) or ``"sequence"``
     (SequenceFiles of ``Text`` values, a record each, line ends and all; the codec
     comes from the file header). Both are lazy. ``split_size`` bounds the bytes of
@@ -84,7 +123,7 @@ def read_lines(
     if format == "text":
         if split_size is not None:
             raise ValueError("for text set the split size in spark_settings")
-        return spark.read.text(path)
+        return _text_lines(spark, path, spread)
     if format == "sequence":
         return _sequence_lines(spark, path, split_size)
     raise ValueError(f"format must be 'text' or 'sequence', not {format!r}")
