@@ -101,3 +101,51 @@ def test_small_tables(spark, workspace, rows):
 def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     assert recall(queries.op3_projected_neighbours(spark, SF).collect(), brute(rows)) >= 0.95
+
+
+def test_blocks_are_repeated_only_for_parts_beyond_the_first(spark, workspace, monkeypatch):
+    """With one part enough for each block, the search reads the points once and a row for each visit."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 200)
+    rows = clustered(2000)
+    found = neighbours.nearest_neighbours(table(spark, rows), workspace)
+    import os
+    folder = workspace.path.removeprefix("file:")
+    stages = {name.split("-", 1)[1]: f"{folder}/{name}" for name in os.listdir(folder)}
+    counted = spark.read.parquet(stages["visits"])
+    assert counted.agg({"_parts": "max"}).first()[0] == 1
+    assert counted.count() <= 10 + 10 and spark.read.parquet(stages["indexed"]).count() == 2000
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_regions_grow_with_the_sample(spark, workspace, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
+    rows = clustered(3000)
+    made = neighbours.nearest_neighbours(table(spark, rows), workspace, sample_rows=40).collect()
+    assert recall(made, brute(rows)) >= 0.97  # ten regions of six blocks each
+
+
+def test_ties_of_equal_vectors_go_to_the_smaller_id(spark, workspace, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
+    rows = clustered(600, 64) + [(5000 + i, [0.1 * j for j in range(64)]) for i in range(900)]
+    found = {}
+    for r in neighbours.nearest_neighbours(table(spark, rows), workspace).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for query in (5000, 5050, 5850):
+        assert [i for _, i in sorted(found[query])] == [i for i in range(5000, 5006) if i != query][:5]
+
+
+def test_searching_together_equals_searching_alone():
+    draw = np.random.default_rng(8)
+    vectors = draw.normal(size=(3000, 16))
+    matrix = draw.normal(size=(16, neighbours.DIMENSIONS))
+    points = (vectors / np.sqrt((vectors ** 2).sum(axis=1))[:, None]) @ matrix
+    block = neighbours._Block(np.arange(3000), vectors, points)
+    quantile = neighbours.chi_square_quantile(neighbours.DIMENSIONS, 0.99)
+    rows = np.arange(0, 3000, 100)
+    together = block.search(rows, vectors[rows], points[rows], 5, quantile, np.full(len(rows), 4.0))
+    for place, row in enumerate(rows):
+        alone = block.search(rows[[place]], vectors[[row]], points[[row]], 5, quantile, np.full(1, 4.0))
+        assert (alone.ids[0] == together.ids[place]).all() and alone.bound[0] == together.bound[place]
+        assert row not in alone.ids[0]

@@ -9,14 +9,17 @@ The projections are indexed by a kd-tree. Its upper part is fitted on a bounded
 sample and cuts the space into regions; every vector is indexed in its region, in
 blocks of about ``BLOCK_ROWS`` that hold the lower parts. A query first searches
 its own block, which bounds the distance of its k-th neighbour, and then every
-block whose region may hold a nearer one. In a block it takes leaves, and in them
-points, by growing projected distance and verifies their true distance, until the
-chi-square test says that a nearer vector would have shown up by now with
-probability ``CONFIDENCE``.
-
-Regions with very many equal vectors are dealt by id over several blocks, and
-queries over parts, so no task holds more than a block and a part. Scores are
-cosines in double precision of the original vectors.
+block whose region may hold a nearer one. In a block it takes leaves by growing
+projected distance, and of their points those that are near enough in projection,
+and verifies their true distance, until the chi-square test says that a nearer
+vector would have shown up by now with probability ``confidence``. The queries of a
+block go through its leaves together, each in its own order, so that those that are
+at the same leaf share one matrix product.
+
+Regions with very many equal vectors are dealt by id over several blocks, and the
+queries that visit a block over parts, so no task holds more than a block and a part.
+A block is repeated only for parts beyond its first, and not read where no query
+visits it. Scores are cosines in double precision of the original vectors.
 
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite numbers take no part, nor do rows without an id. Rows of one id are one
@@ -36,10 +39,13 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.joining import broadcast_if_small
 from ..workspace import Workspace
 
 DIMENSIONS, CONFIDENCE, SEED = 8, 0.99, 7
-SAMPLE_ROWS, BLOCK_ROWS, LEAF_ROWS, QUERY_ROWS, MAX_REGIONS = 20_000, 8192, 64, 4096, 4096
+SAMPLE_ROWS, BLOCK_ROWS, LEAF_ROWS, QUERY_ROWS = 20_000, 8192, 512, 4096
+# Points of the sample that a region needs; a larger sample makes more regions.
+REGION_SAMPLE = 4
 QUERY_STEP, NEAREST = 50, 5
 
 
@@ -135,10 +141,53 @@ def _boxes(points: np.ndarray, leaf: np.ndarray, leaves: int):
     return filled, low, high
 
 
-def _box_distances(low: np.ndarray, high: np.ndarray, point: np.ndarray) -> np.ndarray:
-    """Squared distances of a point to boxes."""
-    gap = np.maximum(np.maximum(low - point, point - high), 0.0)
-    return (gap * gap).sum(axis=1)
+def _box_distances(low: np.ndarray, high: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances of points (rows) to boxes (columns)."""
+    total = np.zeros((len(points), len(low)))
+    for axis in range(points.shape[1]):
+        at = points[:, axis, None]
+        gap = np.maximum(np.maximum(low[None, :, axis] - at, at - high[None, :, axis]), 0.0)
+        total += gap * gap
+    return total
+
+
+# Products of matrices differ in their last bits from place to place; candidates whose
+# cosines agree to this many digits are ties until their scores are computed one by one.
+_DIGITS = 10
+
+
+@dataclass
+class _Found:
+    """The nearest candidates of some queries so far: a row each, best first."""
+
+    places: np.ndarray  # in the block, -1 where there is none yet
+    ids: np.ndarray
+    scores: np.ndarray
+    bound: np.ndarray  # on the squared distance of the k-th
+
+    @classmethod
+    def none(cls, bound: np.ndarray, k: int) -> "_Found":
+        shape = len(bound), k
+        return cls(np.full(shape, -1), np.full(shape, -1, np.int64), np.full(shape, -np.inf), bound.copy())
+
+    def add(self, rows: np.ndarray, places: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Cosines of points (columns) for some queries (rows); ``-inf`` where a point does not count."""
+        k = self.ids.shape[1]
+        scores = np.round(scores, _DIGITS)
+        better = scores > -np.inf
+        full = self.places[rows, -1] >= 0
+        better[full] &= scores[full] >= self.scores[rows[full], -1, None]
+        for at in np.flatnonzero(better.any(axis=1)).tolist():
+            row, new = rows[at], np.flatnonzero(better[at])
+            known = np.flatnonzero(self.places[row] >= 0)
+            every = [np.concatenate([mine[row, known], others]) for mine, others in (
+                (self.places, places[new]), (self.ids, ids[new]), (self.scores, scores[at, new])
+            )]
+            best = _best(every[1], every[2], k)
+            for mine, found in zip((self.places, self.ids, self.scores), every):
+                mine[row, :len(best)] = found[best]
+            if len(best) == k:
+                self.bound[row] = min(self.bound[row], max(2 - 2 * self.scores[row, -1], 1e-12))
 
 
 class _Block:
@@ -146,41 +195,48 @@ class _Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, projected: np.ndarray):
         self.ids, self.vectors, self.projected = ids, vectors, projected
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.units = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
         tree = split_space(projected, max(1, len(ids) // LEAF_ROWS))
         self.leaves, self.low, self.high = _boxes(projected, tree.leaf_of(projected), tree.leaves)
 
-    def search(self, own: int, vector: np.ndarray, projected: np.ndarray, k: int, quantile: float, bound: float):
-        """Ids and cosines of the nearest found, and the bound on the squared distance of the k-th.
+    def search(
+        self, own: np.ndarray, vectors: np.ndarray, projected: np.ndarray, k: int, quantile: float, bound: np.ndarray
+    ) -> _Found:
+        """The nearest points found for each query.
 
-        ``bound`` is one that is known already.
+        ``bound`` are bounds on the squared distance of the k-th that are known already.
         """
-        norm = math.sqrt((vector * vector).sum())
+        found = _Found.none(bound, k)
+        units = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
         far = _box_distances(self.low, self.high, projected)
-        ids, scores = np.empty(0, np.int64), np.empty(0)
-        for place in np.argsort(far, kind="stable").tolist():
-            if far[place] > quantile * bound:
-                break
-            rows = self.leaves[place]
-            gap = self.projected[rows] - projected
-            near = (gap * gap).sum(axis=1) <= quantile * bound
-            rows = rows[near & (self.ids[rows] != own)]
-            if not len(rows):
-                continue
-            cosine = (self.vectors[rows] * vector).sum(axis=1) / (self.norms[rows] * norm)
-            ids, scores = _best(np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, cosine]), k)
-            if len(ids) == k:
-                bound = min(bound, max(2 - 2 * scores[-1], 1e-12))
-        return ids, scores, bound
+        order = np.argsort(far, axis=1, kind="stable")
+        for step in range(len(self.leaves)):
+            leaf = order[:, step]
+            going = far[np.arange(len(far)), leaf] <= quantile * found.bound
+            if not going.any():
+                break  # leaves only get farther, and bounds smaller
+            for place in np.unique(leaf[going]).tolist():
+                rows = np.flatnonzero(going & (leaf == place))
+                points = self.leaves[place]
+                gap = (
+                    (projected[rows] ** 2).sum(axis=1)[:, None] + (self.projected[points] ** 2).sum(axis=1)[None, :]
+                    - 2 * projected[rows] @ self.projected[points].T
+                )
+                near = gap <= quantile * found.bound[rows, None] + 1e-9
+                near &= self.ids[points][None, :] != own[rows, None]
+                some = near.any(axis=0)
+                if some.any():
+                    scores = np.where(near[:, some], units[rows] @ self.units[points[some]].T, -np.inf)
+                    found.add(rows, points[some], self.ids[points[some]], scores)
+        return found
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int):
-    """The k largest scores of different ids, ties to the smaller id."""
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest scores of different ids, ties to the smaller id."""
     order = np.lexsort((ids, -scores))
-    ids, scores = ids[order], scores[order]
-    _, first = np.unique(ids, return_index=True)
+    _, first = np.unique(ids[order], return_index=True)
     first.sort()
-    return ids[first[:k]], scores[first[:k]]
+    return order[first[:k]]
 
 
 # --- Spark -------------------------------------------------------------------
@@ -238,10 +294,16 @@ def nearest_neighbours(
     nearest: int = NEAREST,
     query_step: int = QUERY_STEP,
     confidence: float = CONFIDENCE,
+    sample_rows: int = SAMPLE_ROWS,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``query_step``."""
+    """``query_id, rank, vec_id, score`` for every row whose id is divisible by ``query_step``.
+
+    ``sample_rows`` points fit the upper tree, which has a region for every
+    ``REGION_SAMPLE`` of them at most; beyond ``sample_rows / 4`` blocks of vectors take
+    a larger sample, or regions hold several blocks each.
+    """
     spark = vectors.sparkSession
     size = _usual_length(vectors, id_column, vector_column)
     if size is None:
@@ -250,9 +312,13 @@ def nearest_neighbours(
     quantile = chi_square_quantile(DIMENSIONS, confidence)
     points = workspace.store(_projected(vectors, matrix, id_column, vector_column), "points")
     total = points.count()
-    # A sample of points, bounded by SAMPLE_ROWS, fits the upper tree; all points are indexed.
-    sample = points.select("_id", "_point").orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS).collect()
-    regions = min(MAX_REGIONS, max(1, -(-total // BLOCK_ROWS)))
+    # A sample of points fits the upper tree; all points are indexed. The share is cut
+    # first, so that no more than the sample is sorted.
+    share = min(1.0, 1.2 * sample_rows / max(total, 1))
+    sample = points.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) <= int(share * (1 << 30))).select(
+        "_id", "_point"
+    ).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows).collect()
+    regions = min(max(1, len(sample) // REGION_SAMPLE), max(1, -(-total // BLOCK_ROWS)))
     tree = split_space(np.array([row._point for row in sample]).reshape(-1, DIMENSIONS), regions)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +334,7 @@ def nearest_neighbours(
     )
     bounds = [f(F.col("_point")[i]).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max))
               for i in range(DIMENSIONS)]
-    # A row per region, of which there are MAX_REGIONS at most.
+    # A row per region, of which the sample bounds the number.
     boxes = indexed.groupBy("_region").agg(F.count("*").alias("rows"), *bounds).collect()
     blocks = {row._region: -(-row.rows // BLOCK_ROWS) for row in boxes}
     low = np.array([[row[f"low{i}"] for i in range(DIMENSIONS)] for row in boxes])
@@ -278,20 +344,19 @@ def nearest_neighbours(
         F.array(*[F.lit(blocks.get(region, 1)) for region in range(tree.leaves)]), F.col("_region") + 1
     )
     placed = indexed.withColumn("_block", F.pmod(F.xxhash64("_id"), block_count).cast("int"))
-    is_query = F.col("_id") % query_step == 0
 
     def search_own(table: pa.Table) -> pa.Table:
         ids, values, projected = _columns(table, size)
-        block = _Block(ids, values, projected)
         rows = np.flatnonzero(ids % query_step == 0)
-        bound = [block.search(ids[r], values[r], projected[r], nearest, quantile, 4.0)[2] for r in rows]
+        bound = np.full(len(rows), 4.0)
+        if len(rows):
+            block = _Block(ids, values, projected)
+            bound = block.search(ids[rows], values[rows], projected[rows], nearest, quantile, bound).bound
         return pa.table({
             "_id": ids[rows], "_vector": _lists(values[rows]), "_point": _lists(projected[rows]),
             "_bound": pa.array(bound, pa.float64()),
         })
 
-    query_count = indexed.filter(is_query).count()
-    parts = max(1, -(-query_count // QUERY_ROWS))
     bounded = workspace.store(placed.groupBy("_region", "_block").applyInArrow(
         search_own, "_id bigint, _vector array<double>, _point array<double>, _bound double"
     ), "bounds")
@@ -299,13 +364,13 @@ def nearest_neighbours(
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             projected, bound = _matrix(batch.column(2), DIMENSIONS), batch.column(3).to_numpy()
+            near = _box_distances(low, high, projected) <= quantile * bound[:, None]
             rows, where, which = [], [], []
-            for row in range(batch.num_rows):
-                for place in np.flatnonzero(_box_distances(low, high, projected[row]) <= quantile * bound[row]):
-                    for block in range(blocks[numbers[place]]):
-                        rows.append(row)
-                        where.append(numbers[place])
-                        which.append(block)
+            for row, place in zip(*(found.tolist() for found in np.nonzero(near))):
+                count = blocks[numbers[place]]
+                rows += [row] * count
+                where += [numbers[place]] * count
+                which += range(count)
             yield pa.RecordBatch.from_arrays(
                 [*(column.take(pa.array(rows, pa.int64())) for column in batch.columns),
                  pa.array(where, pa.int32()), pa.array(which, pa.int32())],
@@ -314,26 +379,43 @@ def nearest_neighbours(
 
     visits = bounded.mapInArrow(
         visit, "_id bigint, _vector array<double>, _point array<double>, _bound double, _region int, _block int"
-    ).withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(parts)).cast("int"))
-    # Each part of the queries meets every block: the points are repeated, part by part.
-    repeated = placed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    keys = ["_region", "_block", "_part"]
+    )
+    # A block meets its queries part by part; most blocks have one part, and the others are
+    # repeated. The counts are a row per block.
+    counted = workspace.store(visits.groupBy("_region", "_block").agg(
+        F.ceil(F.count("*") / F.lit(QUERY_ROWS)).cast("int").alias("_parts")
+    ), "visits")
+    by_block = ["_region", "_block"]
+    keys = [*by_block, "_part"]
+    parts = broadcast_if_small(counted)
+    asked = visits.join(parts, by_block).withColumn(
+        "_part", F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")
+    ).drop("_parts")
+    repeated = placed.join(parts, by_block).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    ).drop("_parts")
 
     def search(points: pa.Table, asked: pa.Table) -> pa.Table:
-        found: list[tuple] = []
+        queries, ids, scores = (np.empty(0, kind) for kind in (np.int64, np.int64, float))
         if points.num_rows and asked.num_rows:
             block = _Block(*_columns(points, size))
-            ids, values, projected = _columns(asked, size)
-            for row, bound in enumerate(asked.column("_bound").to_pylist()):
-                near, scores, _ = block.search(ids[row], values[row], projected[row], nearest, quantile, bound)
-                found += [(int(ids[row]), int(i), float(s)) for i, s in zip(near, scores)]
-        columns = list(zip(*found)) if found else [(), (), ()]
+            own, values, projected = _columns(asked, size)
+            bound = asked.column("_bound").to_numpy()
+            found = block.search(own, values, projected, nearest, quantile, bound)
+            used = found.places >= 0
+            queries, ids = np.repeat(own, used.sum(axis=1)), found.ids[used]
+            # The products above may differ in the last bit; the score is the measure itself.
+            left = np.repeat(values, used.sum(axis=1), axis=0)
+            right = block.vectors[found.places[used]]
+            scores = (left * right).sum(axis=1) / (
+                np.sqrt((left * left).sum(axis=1)) * np.sqrt((right * right).sum(axis=1))
+            )
         return pa.table({
-            "_query": pa.array(columns[0], pa.int64()), "_found": pa.array(columns[1], pa.int64()),
-            "_score": pa.array(columns[2], pa.float64()),
+            "_query": pa.array(queries, pa.int64()), "_found": pa.array(ids, pa.int64()),
+            "_score": pa.array(scores, pa.float64()),
         })
 
-    found = repeated.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(search, _FOUND)
+    found = repeated.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, _FOUND)
     best = found.groupBy("_query", "_found").agg(F.max("_score").alias("_score"))
     rank = F.row_number().over(Window.partitionBy("_query").orderBy(F.desc("_score"), "_found"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= nearest).select(
