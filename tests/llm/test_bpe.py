@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -81,3 +82,24 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     found = queries.op4_byte_bpe(spark, SF).collect()
     assert sorted(map(tuple, found), key=str) == expected(rows)
+
+
+def test_pieces_join_in_the_order_of_ids():
+    tokenizer = load_tokenizer(PATH)
+    table, pieces = bpe.PieceTable.of(tokenizer), bpe.pieces_of(tokenizer)
+    ids = np.random.default_rng(2).integers(0, len(pieces), 5000)
+    assert table.join(ids) == b"".join(pieces[i] for i in ids)
+    assert table.join(np.empty(0, np.int64)) == b""
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(20,2)", "date", "binary", "string"])
+def test_ids_of_other_types(spark, workspace, kind):
+    rows = [(i, text) for i, text in enumerate(["one two", None, "three  four\n", "ü"])]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string")
+    cast = {"date": "date_add(date'2020-01-01', cast(doc_id AS int))", "binary": "cast(cast(doc_id AS string) AS binary)"}
+    docs = plain.selectExpr(f"{cast.get(kind, f'cast(doc_id AS {kind})')} AS doc_id", "text")
+    found = bpe.encode_decode(docs, PATH, workspace)
+    assert found.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    digests = sorted(tuple(r)[1:] for r in found.collect())
+    assert digests == sorted(tuple(r)[1:] for r in bpe.encode_decode(plain, PATH, workspace).collect())
+    assert {repr(r.doc_id) for r in found.collect()} == {repr(r.doc_id) for r in docs.collect()}

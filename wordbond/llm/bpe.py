@@ -8,9 +8,10 @@ alike alone and in its text. The work is one exchange by word and one by chunk:
    and, for each document, the words' places in that list.
 2. The words are exchanged by their hash, so that each distinct word meets all its
    chunks in one task, and there the library encodes it once.
-3. Ids are joined back to the documents by chunk and place, and the ids are
-   decoded by an id-to-piece lookup in the vocabulary, whose size the tokenizer
-   fixes and which is broadcast.
+3. Ids are joined back to the documents by chunk and place, and to the pieces they
+   stand for: the id-to-piece table has a row per id, so the tokenizer bounds its
+   size, and it is broadcast to where the ids are. Decoding uses nothing else of the
+   tokenizer.
 
 A chunk is a run of documents of about ``CHUNK_BYTES`` within a task, or a single
 longer document. The input is read twice and must come in the same chunks both
@@ -18,8 +19,9 @@ times, as rows of stored files do; each chunk carries a checksum of its words, a
 a mismatch fails the job. ``stored=False`` stores the input first.
 
 Null texts are empty: no ids, and the decoded text is empty. Equal ids and
-repeated rows each give a row, an empty table an empty result; other columns,
-whatever their names, are not read.
+repeated rows each give a row, an empty table an empty result; ids may be of any
+type that Arrow knows, null among them; other columns, whatever their names, are not
+read.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ import itertools
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..workspace import Workspace
 from .words import binary_values, load_tokenizer
@@ -243,12 +248,35 @@ def _joined(documents: pa.Table, words: pa.Table) -> Iterator[tuple[object, np.n
         yield owner, ids[at]
 
 
-def _finish(path: str, name: str, kind: pa.DataType, with_ids: bool):
+@dataclass(frozen=True)
+class PieceTable:
+    """The id-to-piece table: a row per id, of which a vocabulary bounds the number, so it is broadcast."""
+
+    pieces: bytes
+    starts: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, tokenizer) -> "PieceTable":
+        pieces = pieces_of(tokenizer)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        return cls(b"".join(pieces), np.cumsum(lengths) - lengths, lengths)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        """The pieces of ids, put together in their order."""
+        counts = self.lengths[ids]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(self.starts[ids] - ends + counts, counts)
+        return np.frombuffer(self.pieces, np.uint8)[at].tobytes()
+
+
+def _finish(table: Broadcast, name: str, kind: pa.DataType, with_ids: bool):
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
-        piece, text_of, rows = *_vocabulary(path), []
+        pieces, text_of, rows = table.value, _id_texts(len(table.value.lengths)), []
         for owner, ids in _joined(documents, words):
             listed = ids.tolist()
-            decoded = b"".join(map(piece.__getitem__, listed)).decode(errors="replace").encode()
+            decoded = pieces.join(ids).decode(errors="replace").encode()
             rows.append((
                 owner, len(listed), hashlib.sha256(",".join(map(text_of.__getitem__, listed)).encode()).hexdigest(),
                 hashlib.sha256(decoded).hexdigest(), ids.astype("<i4") if with_ids else None,
@@ -264,9 +292,8 @@ def _finish(path: str, name: str, kind: pa.DataType, with_ids: bool):
 
 
 @functools.lru_cache(maxsize=2)
-def _vocabulary(path: str) -> tuple[list[bytes], list[str]]:
-    piece = pieces_of(load_tokenizer(path))
-    return piece, [str(place) for place in range(len(piece))]
+def _id_texts(count: int) -> list[str]:
+    return [str(place) for place in range(count)]
 
 
 def encode_decode(
@@ -291,7 +318,8 @@ def encode_decode(
         rows = (workspace or Workspace(spark)).store(rows, "texts")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = rows.schema["_id"].dataType.simpleString()
-    arrow_kind = pa.string() if kind == "string" else {"bigint": pa.int64(), "int": pa.int32()}[kind]
+    arrow_kind = to_arrow_type(rows.schema["_id"].dataType)
+    pieces = spark.sparkContext.broadcast(PieceTable.of(load_tokenizer(tokenizer_path)))
 
     words = rows.mapInArrow(
         _word_rows(tokenizer_path, buckets, chunk_bytes),
@@ -307,6 +335,6 @@ def encode_decode(
     )
     result = f"`{id_column}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return places.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(
-        _finish(tokenizer_path, id_column, arrow_kind, with_ids),
+        _finish(pieces, id_column, arrow_kind, with_ids),
         result + ", ids array<int>, decoded string" * with_ids,
     )
