@@ -28,7 +28,7 @@ import pyarrow.compute
 
 # Words, and parts of words, that a worker's tables hold before they begin to forget;
 # bytes of text that are cut into words at a time; words that go to the library as one line.
-CACHE_WORDS, CACHE_PARTS, BLOCK_BYTES, LINE_WORDS = 50_000, 200_000, 1 << 21, 200
+CACHE_WORDS, CACHE_PARTS, BLOCK_BYTES, LINE_WORDS = 30_000, 100_000, 1 << 20, 200
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -195,7 +195,7 @@ class WordEncoder:
             return [np.empty(0, self.dtype) for _ in group]
         lower, kind = (np.frombuffer(made, np.uint8) for made in (text.lower(), text.translate(_KINDS)))
         solid = kind != _GAP
-        word = np.cumsum(solid & ~np.concatenate([[False], solid[:-1]]))  # numbers words from 1
+        word = np.cumsum(solid & ~np.concatenate([[False], solid[:-1]]), dtype=np.int32)  # numbers words from 1
         whole = np.full(word[-1] + 1, self.letters is None)
         if self.letters is not None:
             whole[word[self._apart(text, raw)]] = True
@@ -230,7 +230,7 @@ class WordEncoder:
         solid = kind != _GAP
         starts = np.flatnonzero(solid & np.concatenate([[True], kind[1:] != kind[:-1]]))
         packed = np.where(kind == _WHOLE, raw, lower)[solid]
-        offsets = np.append((np.cumsum(solid) - 1)[starts], len(packed)).astype(np.int64)
+        offsets = np.append(np.cumsum(solid, dtype=np.int32)[starts].astype(np.int64) - 1, len(packed))
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]
         )
