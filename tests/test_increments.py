@@ -253,6 +253,8 @@ def test_rows_of_fields_are_sampled_by_hash(spark):
     assert kept == rows(sample_rows_by_hash(frame.repartition(7), 0.3, NGRAM_COLUMNS))
     cleaned = clean_ngrams(
         frame.withColumn("w1", F.translate("w1", "0123456789", "abcdefghij")), language="english",
-        fraction=0.3, sample_by="hash",
+        fraction=0.3, sample_by="fields",
     )
     assert 1000 < cleaned.count() < 1400
+    with pytest.raises(ValueError, match="fields"):
+        clean_ngrams(spark.createDataFrame([("a b 1990 1",)], "value string"), language="english", sample_by="fields")

@@ -27,7 +27,7 @@ from ..sources.ngrams import bounded_splits, check_split_size, read_lines, split
 from ..sources.stop_words import read_stop_words
 from ..workspace import Workspace
 
-SAMPLE_METHODS = ("row", "hash")
+SAMPLE_METHODS = ("row", "hash", "fields")
 QUARANTINE = "QUARANTINE"
 NGRAM_COLUMNS = ("w1", "w2", "year", "match_count")
 
@@ -53,8 +53,8 @@ def clean_ngrams(
 
     ``ngrams`` is a table of lines (column ``value``) or of ``w1, w2, year,
     match_count``. ``stop_words`` is a table (column ``word``), a file path or
-    words. ``sample_by="hash"`` samples lines by their text, or by the text of their
-    four fields. ``mode="QUARANTINE"`` takes lines, stores the clean rows at once and
+    words. ``sample_by="hash"`` samples lines by their text, ``"fields"`` rows by the
+    text of their four fields. ``mode="QUARANTINE"`` takes lines, stores the clean rows at once and
     saves bad ones with reason and file to the folder ``quarantine``.
     """
     require_ansi(ngrams.sparkSession)
@@ -68,7 +68,13 @@ def clean_ngrams(
     if sample_by not in SAMPLE_METHODS:
         raise ValueError(f"sample_by must be one of {SAMPLE_METHODS}, not {sample_by!r}")
     if sample_by == "hash":
-        ngrams = sample_rows_by_hash(ngrams, fraction, *[] if "value" in ngrams.columns else [NGRAM_COLUMNS])
+        if "value" not in ngrams.columns:
+            raise ValueError("sample_by='hash' needs a table of lines; for one of fields take 'fields'")
+        ngrams = sample_rows_by_hash(ngrams, fraction)
+    elif sample_by == "fields":
+        if "value" in ngrams.columns:
+            raise ValueError("sample_by='fields' needs a table of w1, w2, year, match_count")
+        ngrams = sample_rows_by_hash(ngrams, fraction, NGRAM_COLUMNS)
     else:
         ngrams = sample_rows(ngrams, fraction, seed)
     if isinstance(stop_words, str):
