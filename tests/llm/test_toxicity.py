@@ -1,7 +1,11 @@
 """The random field against enumeration, and held-out accuracy of the scores."""
 
 import itertools
+import math
+import random
+import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -194,3 +198,64 @@ def test_no_beginning_that_passes_is_dropped(spark, workspace):
     assert len(expected) > 20_000 and {row.beginning for row in lexicon.collect()} == expected
     sample = spark.createDataFrame([(f"calm {words[0]}".encode(), True)], "_text binary, _toxic boolean")
     assert toxicity._marks(sample, lexicon) == set(toxicity._beginnings(words[0].encode()))
+
+
+def plain_score(text, model):
+    """The score of a text from a given model, by trying all tags of every sentence."""
+    text = (text or "").encode()
+    marginals = []
+    for sentence in re.split(rb"[.!?\n]+", text.lower()):
+        words = [word.decode().lower() for word in re.findall(rb"[a-z\x80-\xff]+", sentence)]
+        if not words:
+            continue
+        assert len(words) <= 12
+        own = []
+        for place, word in enumerate(words):
+            names = ["", word + "$", "-" + word[-3:], *[word[:n] for n in toxicity.BEGINNINGS if n < len(word)]]
+            if place:
+                names.append("<" + words[place - 1][:4])
+            if place + 1 < len(words):
+                names.append(">" + words[place + 1][:4])
+            own.append(sum(model.weights.get(name, 0.0) for name in names))
+        total, toxic = 0.0, [0.0] * len(words)
+        for tags in itertools.product((0, 1), repeat=len(words)):
+            score = sum(o for o, tag in zip(own, tags) if tag)
+            score += sum(model.moves[a][b] for a, b in zip(tags, tags[1:]))
+            weight = math.exp(score)
+            total += weight
+            for place, tag in enumerate(tags):
+                toxic[place] += weight * tag
+        marginals += [t / total for t in toxic]
+    odds = [max(-30.0, min(30.0, math.log(p) - math.log1p(-p))) for p in marginals]
+    one, largest, expected, length = model.curve
+    line = one + largest * max(odds, default=-30.0)
+    line += expected * math.log1p(sum(1 / (1 + math.exp(-o)) for o in odds)) + length * math.log1p(len(odds))
+    return 1 / (1 + math.exp(-line))
+
+
+def test_scores_equal_trying_all_tags(spark, workspace):
+    rows, marks = corpus()
+    model = toxicity.fit_toxicity(table(spark, rows), labels(spark, marks), workspace)
+    draw = random.Random(9)
+    vocabulary = sorted({word for _, text in rows for word in text.replace(".", " ").split()})
+    texts = [
+        ". ".join(" ".join(draw.choice(vocabulary) for _ in range(draw.randrange(1, 9))) for _ in range(draw.randrange(1, 4)))
+        for _ in range(60)
+    ] + [None, "", " . ! ", "unseen", "Unseen WORDS\nand other ones?"]
+    found = toxicity.score_toxicity(table(spark, list(enumerate(texts))), model).collect()
+    scores = {r.doc_id: r for r in found}
+    for i, text in enumerate(texts):
+        assert scores[i].score == pytest.approx(plain_score(text, model), abs=1e-9)
+        assert scores[i].predicted == (scores[i].score >= 0.5)
+    assert {r.predicted for r in found} == {0, 1}
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no test tables")
+def test_held_out_accuracy_on_more_documents(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    found = {r.doc_id: r for r in queries.op8_crf_toxicity(spark, sf_dir).collect() if r.held_out}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    judged = [(truth[i], r.predicted) for i, r in found.items() if i in truth]
+    toxic = sum(t for t, _ in judged)
+    assert sum(t and p for t, p in judged) >= 0.92 * toxic
+    assert sum(p and not t for t, p in judged) <= 0.015 * (len(judged) - toxic)
