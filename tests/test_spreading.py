@@ -46,3 +46,19 @@ def test_texts_of_one_row_group_are_cut_by_all_tasks(spark, one_group, plan_of):
     dealt = documents.repartition(8, F.monotonically_increasing_id()).groupBy(F.spark_partition_id()).count()
     sizes = [row["count"] for row in dealt.collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_a_task_takes_many_splits(spark, tmp_path, plan_of, stored_as):
+    path = str(tmp_path / "big.txt")
+    (tmp_path / "big.txt").write_text("strong tea\t1983\t4\t1\t1\nold ship 1984 2\ngreen tea 1985 3\n" * 5_000)
+    choices = dict(language="english", stop_words=["old"], min_npmi=0.0, rel_min_npmi=0.0)
+    whole = rows(collocations(spark, path, **choices))
+    stored_as.clear()
+    assert rows(collocations(spark, path, split_size=2_000, **choices)) == whole
+    pairs = next(df for name, df in stored_as if name == "pairs")
+    plan = plan_of(pairs)
+    assert plan.index("BroadcastHashJoin") < plan.index("Coalesce 8") < plan.index("Scan text")
+    assert "Coalesce" not in plan_of(clean_ngrams(read_lines(spark, path), ["old"], language="english"))
+    assert rows(score_ngrams(read_lines(spark, path), ["old"], language="english", split_size=2_000)) == rows(
+        score_ngrams(read_lines(spark, path), ["old"], language="english")
+    )

@@ -22,7 +22,7 @@ from ..operators.selecting import (
     keep_high_scores, top_k_per_decade,
 )
 from ..operators.uniqueness import require_unique_pairs
-from ..settings import require_ansi
+from ..settings import require_ansi, shuffle_tasks
 from ..sources.ngrams import bounded_splits, check_split_size, read_lines, split_ngrams
 from ..sources.stop_words import read_stop_words
 from ..workspace import Workspace
@@ -48,6 +48,7 @@ def clean_ngrams(
     mode: str = "FAILFAST",
     quarantine: str | None = None,
     workspace: Workspace | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Sample, split and filter n-gram records into ``decade, w1, w2, match_count``.
 
@@ -55,7 +56,8 @@ def clean_ngrams(
     match_count``. ``stop_words`` is a table (column ``word``), a file path or
     words. ``sample_by="hash"`` samples lines by their text, ``"fields"`` rows by the
     text of their four fields. ``mode="QUARANTINE"`` takes lines, stores the clean rows at once and
-    saves bad ones with reason and file to the folder ``quarantine``.
+    saves bad ones with reason and file to the folder ``quarantine``. Otherwise ``tasks`` bounds
+    the tasks of a scan in many small splits: each then takes several, one after the other.
     """
     require_ansi(ngrams.sparkSession)
     check_language(language), check_fraction(fraction)
@@ -82,6 +84,8 @@ def clean_ngrams(
     if mode == QUARANTINE:
         workspace = workspace or Workspace(ngrams.sparkSession)
         return quarantine_ngrams(ngrams, stop_words, language, workspace, quarantine).kept
+    if tasks is not None:  # below the joins, which each split would set up again
+        ngrams = ngrams.coalesce(tasks)
     if "value" in ngrams.columns:
         ngrams = split_ngrams(ngrams, mode)
     kept = drop_stop_words(keep_language(ngrams, language), stop_words)
@@ -160,10 +164,13 @@ def score_ngrams(
     """:func:`count_pairs` and :func:`score_pairs` in one, sharing all marginals.
 
     Takes the keyword arguments of :func:`clean_ngrams`. ``split_size`` bounds the
-    bytes of one split of the scan below ``ngrams``.
+    bytes of one split of the scan below ``ngrams``; a task counts several of them where
+    there are more than the session has shuffle partitions and cores.
     """
     check_split_size(split_size)
     workspace = workspace or Workspace(ngrams.sparkSession)
+    if split_size is not None:
+        cleaning.setdefault("tasks", shuffle_tasks(ngrams.sparkSession))
     cleaned = clean_ngrams(ngrams, stop_words, workspace=workspace, **cleaning)
     return _scored(*_counted(cleaned, workspace, limits, split_size))
 
