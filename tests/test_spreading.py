@@ -62,3 +62,10 @@ def test_a_task_takes_many_splits(spark, tmp_path, plan_of, stored_as):
     assert rows(score_ngrams(read_lines(spark, path), ["old"], language="english", split_size=2_000)) == rows(
         score_ngrams(read_lines(spark, path), ["old"], language="english")
     )
+
+
+@pytest.mark.parametrize("name", ["ngram_scan_gzip"])
+def test_lines_are_counted_once_and_by_all_tasks(spark, plan_of, stored_as, name):
+    found = spark_entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert [stored for stored, _ in stored_as] == ["lines"]
+    assert "Coalesce" not in plan_of(stored_as[0][1]) and found.count() > 0
