@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from wordbond import Workspace, collocations
 from wordbond.plans import clean_ngrams, score_ngrams
+from wordbond.sinks import save_sequence_lines
 from wordbond.sources import document_bigrams, read_lines
 
 
@@ -64,8 +65,19 @@ def test_a_task_takes_many_splits(spark, tmp_path, plan_of, stored_as):
     )
 
 
-@pytest.mark.parametrize("name", ["ngram_scan_gzip"])
+@pytest.mark.parametrize("name", ["ngram_scan_gzip", "sequence_scan"])
 def test_lines_are_counted_once_and_by_all_tasks(spark, plan_of, stored_as, name):
     found = spark_entry.queries()[name](spark, "/root/testdata/sf0.001")
     assert [stored for stored, _ in stored_as] == ["lines"]
     assert "Coalesce" not in plan_of(stored_as[0][1]) and found.count() > 0
+
+
+def test_sequence_files_are_written_without_python(spark, tmp_path, lines):
+    texts = ["a b 1990 1", "a\nb 1991\n2", "c\rd\r\n1992 3", "", " ", "ש ע 1994 5", "e f 1993 4 " + "x" * 300_000]
+    path, old = str(tmp_path / "new"), str(tmp_path / "old")
+    save_sequence_lines(lines(*texts).repartition(3), path)
+    spark.sparkContext.parallelize([(0, text) for text in texts], 3).saveAsSequenceFile(old)
+    assert sorted(spark.sparkContext.sequenceFile(path).collect()) == sorted(spark.sparkContext.sequenceFile(old).collect())
+    assert sorted(row.value for row in read_lines(spark, path, "sequence").collect()) == sorted(texts)
+    written = next(file for file in (tmp_path / "new").iterdir() if file.name.startswith("part-"))
+    assert written.read_bytes()[:60].split(b"org.apache.hadoop.io.")[1:][0].startswith(b"IntWritable")

@@ -1,4 +1,4 @@
-"""Saving results as text lines ``decade w1 w2 npmi``."""
+"""Saving results as text lines ``decade w1 w2 npmi``, and any lines as SequenceFiles."""
 
 from __future__ import annotations
 
@@ -40,3 +40,26 @@ def save_top_listing(
         return save_collocation_lines(order_top_rows(top_rows), path, ordered=False, mode=mode)
     rows = top_rows.repartition(1).sortWithinPartitions("decade", F.desc("npmi"), "w1", "w2")
     collocation_lines(rows).write.mode(mode).text(path)
+
+
+def save_sequence_lines(lines: DataFrame, path: str) -> None:
+    """Write ``value`` lines as SequenceFiles of ``Text`` values, a record each, with the key 0.
+
+    There is no DataFrame writer for SequenceFiles. This is what ``saveAsSequenceFile`` of a
+    PySpark RDD does on its JVM side, without passing every line through Python first.
+    """
+    spark = lines.sparkSession
+    jvm, java = spark._jvm, spark._jvm.java.lang.Class
+    encoders = jvm.org.apache.spark.sql.Encoders
+    pairs = lines.select(F.lit(0).alias("_1"), F.col("value").alias("_2"))._jdf
+    records = getattr(pairs, "as")(encoders.tuple(encoders.INT(), encoders.STRING())).rdd()
+    encode = jvm.org.apache.spark.api.python.JavaToWritableConverter()
+    written = jvm.org.apache.spark.api.python.PythonHadoopUtil.convertRDD(records, encode, encode)
+    anything = jvm.scala.reflect.ClassTag.apply(java.forName("java.lang.Object"))
+    jvm.org.apache.spark.api.java.JavaPairRDD.fromRDD(written, anything, anything).saveAsNewAPIHadoopFile(
+        path,
+        java.forName("org.apache.hadoop.io.IntWritable"),
+        java.forName("org.apache.hadoop.io.Text"),
+        java.forName("org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat"),
+        jvm.org.apache.hadoop.conf.Configuration(spark._jsc.hadoopConfiguration()),
+    )
