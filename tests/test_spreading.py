@@ -81,3 +81,16 @@ def test_sequence_files_are_written_without_python(spark, tmp_path, lines):
     assert sorted(row.value for row in read_lines(spark, path, "sequence").collect()) == sorted(texts)
     written = next(file for file in (tmp_path / "new").iterdir() if file.name.startswith("part-"))
     assert written.read_bytes()[:60].split(b"org.apache.hadoop.io.")[1:][0].startswith(b"IntWritable")
+
+
+def test_names_of_workspaces_that_are_gone_leave_the_catalogue(spark, tmp_path):
+    def stored():
+        return Workspace(spark, str(tmp_path)).store_bucketed(spark.range(100), "numbers", ["id"], buckets=2)
+
+    def names():
+        return {table.name for table in spark.catalog.listTables()}
+
+    before, first = names(), stored()
+    (name,) = names() - before
+    assert stored().count() == 100 and name not in names()
+    assert first.filter("id % 2 = 0").count() == 50  # reads files, not names
