@@ -8,6 +8,7 @@ from wordbond.operators import (
     drop_stop_words, keep_language, reject_malformed, sample_rows, sample_rows_by_hash, with_decade,
 )
 from wordbond.sources import as_lines, document_bigrams, read_ngrams, split_ngrams
+from wordbond.sources.ngrams import _records
 
 
 def rows(df):
@@ -156,3 +157,19 @@ def test_document_bigrams_against_plain_python(spark):
     bigrams = document_bigrams(documents)
     assert rows(bigrams) == sorted((*key, count) for key, count in expected.items())
     assert rows(split_ngrams(as_lines(bigrams))) == rows(bigrams)
+
+
+def test_records_are_split_as_a_regular_split_does(spark, lines, plan_of):
+    marks = [" ", "\t", "  ", "\t\t", " \t", "\n", "\x0b", "\f", "\r", "\x1c", " ", ""]
+    records = [
+        f"{start}w{a}é{b}1990{c}4{end}" for a in marks for b in marks for c in marks
+        for start, end in (("", ""), ("", "\t1\t1"), ("", " "), ("", "\t1 \n"), (" ", "\t1"), ("\t", ""))
+    ] + ["", " ", "\t", "a", "a b", "a b\t", "a b\t\t3", "a b\t1990", "a b\t1990\t", "\t\t\t", " \t \t \t", None]
+
+    def fields(t):
+        return None if t is None else ([*t, None, None, None])[:4]
+
+    ours = _records(lines(*records))
+    theirs = lines(*records).select(F.split("value", r"\s+", 5).alias("t"))
+    assert [fields(row.t) for row in ours.collect()] == [fields(row.t) for row in theirs.collect()]
+    assert "substring_index" in plan_of(ours)

@@ -7,7 +7,7 @@ import __spark_entry__ as spark_entry
 from wordbond import Workspace, collocations
 from wordbond.plans import clean_ngrams, score_ngrams
 from wordbond.sinks import save_sequence_lines
-from wordbond.sources import document_bigrams, read_lines
+from wordbond.sources import document_bigrams, documents, read_lines
 
 
 def rows(df):
@@ -94,3 +94,28 @@ def test_names_of_workspaces_that_are_gone_leave_the_catalogue(spark, tmp_path):
     (name,) = names() - before
     assert stored().count() == 100 and name not in names()
     assert first.filter("id % 2 = 0").count() == 50  # reads files, not names
+
+
+def test_a_years_pairs_are_counted_where_its_texts_are(spark, one_group, plan_of):
+    texts = spark.read.parquet(f"{one_group}/documents.parquet")
+    bigrams = document_bigrams(texts)
+    assert plan_of(bigrams).count("Exchange") == 1  # of texts: no pair is shuffled
+    assert rows(bigrams.filter("year IS NOT NULL")) == rows(document_bigrams(texts, spread=0).filter("year IS NOT NULL"))
+
+
+@pytest.mark.parametrize("year_bytes, exchanges", [(100, 1), (10, 2)])
+def test_large_years_are_counted_in_parts_or_by_pairs(spark, one_group, plan_of, monkeypatch, year_bytes, exchanges):
+    texts = spark.read.parquet(f"{one_group}/documents.parquet").filter("doc_id IS NOT NULL")  # 200 bytes a year
+    whole = rows(document_bigrams(texts, spread=0))
+    monkeypatch.setattr(documents, "YEAR_BYTES", year_bytes)
+    bigrams = document_bigrams(texts)
+    assert plan_of(bigrams).count("Exchange") == exchanges and rows(bigrams) == whole
+    assert bigrams.columns == ["w1", "w2", "year", "match_count"]
+
+
+def test_one_year_is_counted_by_all_tasks(spark, one_group, plan_of):
+    texts = spark.read.parquet(f"{one_group}/documents.parquet")
+    bigrams = document_bigrams(texts, year=F.lit(1990))
+    assert plan_of(bigrams).count("Exchange") == 2
+    assert rows(bigrams) == rows(document_bigrams(texts, year=F.lit(1990), spread=0))
+    assert document_bigrams(texts.limit(0)).count() == 0
