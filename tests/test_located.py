@@ -8,8 +8,8 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from wordbond import JoinLimits, Workspace, count_pairs
-from wordbond.functions import exact_sum
+from wordbond import JoinLimits, Workspace, count_pairs, score_ngrams
+from wordbond.functions import exact_sum, rounded
 from wordbond.operators import (
     attach_left_marginal, count_rollup, locate_by_left, marginals, npmi_totals, with_relative_npmi,
 )
@@ -84,6 +84,21 @@ def test_counts_beyond_the_broadcast_bound_are_located(spark, workspace, lines,
     assert rows(found) == expected and "SelectedBucketsCount" in plan_of(found)
 
 
+def test_buckets_are_not_sorted_in_vain(spark, skewed, workspace):
+    located(skewed, workspace)
+    described = spark.sql(f"DESCRIBE EXTENDED {workspace._tables[-1]}").collect()
+    assert {row.data_type for row in described if row.col_name == "Sort Columns"} <= {"[]"}
+    assert any(row.col_name == "Bucket Columns" and "w1" in row.data_type for row in described)
+
+
+def test_scores_do_not_store_pairs_by_first_word(spark, workspace, lines, plan_of):
+    given = lines(*[f"{a} {b} 1990 2" for a in ("a", "b", "c") for b in ("x", "y", "z")], "d x 1990 1")
+    expected = rows(score_ngrams(given, language="english"))
+    found = score_ngrams(given, language="english", workspace=workspace, limits=SHUFFLED)
+    assert rows(found) == expected and len(expected) == 10
+    assert "SelectedBucketsCount" not in plan_of(found) and not workspace._tables
+
+
 # --- sums --------------------------------------------------------------------
 
 
@@ -147,6 +162,22 @@ def test_relative_scores_and_thresholds_do_not_depend_on_order(spark, scores):
     assert kept[0] == kept[1]
 
 
+@pytest.mark.parametrize("digits", [4, 6, 9, 10])
+def test_rounding_gives_the_bits_of_spark(spark, scores, digits):
+    halves = [(2 * n + 1) / 2 / 10.0**digits for n in range(-300, 300)]
+    near = [math.nextafter(x, to) for x in halves for to in (-9.0, 9.0)]
+    odd = [0.0, -0.0, 1e-300, -1e-12, 1.0, 1e9, 123456.789, -1e17, 1e300, math.inf, -math.inf, math.nan, None]
+    frame = spark.createDataFrame([(x,) for x in [*halves, *near, *odd, *[s[3] for s in scores]]], "x double")
+    found = frame.select(rounded("x", digits).alias("a"), F.round("x", digits).alias("b")).collect()
+    assert [a is None or bits(a) for a, _ in found] == [b is None or bits(b) for _, b in found]
+
+
+def test_rounding_is_mostly_done_in_floating_point(spark, scores, plan_of):
+    frame = spark.createDataFrame(scores, "decade int, w1 string, w2 string, npmi double")
+    plan = plan_of(frame.select(rounded("npmi", 6)))
+    assert plan.index("FLOOR") < plan.index("round(")  # which is what is left for the rest
+
+
 # --- totals from totals ------------------------------------------------------
 
 

@@ -1,4 +1,4 @@
-"""Sums of doubles that do not depend on the order of their rows."""
+"""Sums of doubles that do not depend on the order of their rows, and rounding."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 _LIMB = 2.0**20
 # Numbers of at least this are no scores, and are added as they are.
 _LARGE = 2.0**20
+# Scaled numbers below this are off by less than an eighth of what must lie between them and a half.
+_EXACT, _HALF = 2.0**40, 2.0**-9
 
 
 def exact_sum(column: Column | str) -> Column:
@@ -37,3 +39,17 @@ def exact_sum(column: Column | str) -> Column:
     return F.when(
         F.count(value) > 0, F.coalesce(total, F.lit(0.0)) + F.coalesce(rare, F.lit(0.0))
     )
+
+
+def rounded(column: Column | str, digits: int) -> Column:
+    """``F.round`` of a double to the last bit, for a third of the time or less.
+
+    Spark rounds the decimal text of a number. A scaled number away from the half between
+    two whole ones rounds the same way in floating point, and a whole number divided by a power
+    of ten is the double nearest to that decimal. All others take ``F.round``.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    step = F.lit(10.0**digits)
+    scaled = value * step
+    clear = (F.abs(scaled) < _EXACT) & (F.abs(scaled - F.floor(scaled) - 0.5) > _HALF)
+    return F.when(clear, F.floor(scaled + 0.5) / step).otherwise(F.round(value, digits))

@@ -215,7 +215,10 @@ def locate(
     limits: JoinLimits = JoinLimits(),
     buckets: int | None = None,
 ) -> Located:
-    """Store ``detail`` by ``keys`` in buckets, each sorted, with hot keys split.
+    """Store ``detail`` by ``keys`` in buckets, with hot keys split.
+
+    The buckets are not sorted: Spark does not rely on the order in them, so a merge join
+    would sort their rows again.
 
     Takes ``totals``, ``spread`` and ``size`` as :func:`attach_totals` does. It shuffles the
     detail as that join would, but once for all later joins and sums by the key.
@@ -223,5 +226,5 @@ def locate(
     size = _sized(totals, size, limits)
     detail, totals, place = _split_hot(detail, totals, keys, spread, size, limits)
     dealt = keys if place is None else [*keys, place]
-    table = workspace.store_bucketed(detail, "located", dealt, buckets)
+    table = workspace.store_bucketed(detail, "located", dealt, buckets, sort=[])
     return Located(table, totals.hint(_strategy(detail, size, limits)), keys, place)

@@ -93,12 +93,12 @@ def clean_ngrams(
 
 
 def _counted(
-    cleaned: DataFrame, workspace: Workspace, limits: JoinLimits, split_size: int | None = None
+    cleaned: DataFrame, workspace: Workspace, limits: JoinLimits, split_size: int | None = None, located: bool = False
 ) -> tuple[DataFrame, dict[int, Marginal]]:
     with bounded_splits(cleaned.sparkSession, split_size):  # the one scan of the input
         pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
     counted = marginals(pairs, workspace, limits=limits)
-    if counted[LEFT_LEVEL].size.bytes <= limits.broadcast_bytes:
+    if not located or counted[LEFT_LEVEL].size.bytes <= limits.broadcast_bytes:
         with_left = attach_left_marginal(pairs, counted)
     else:  # stored by first word, so that whoever reads the counts joins in place
         with_left = locate_by_left(pairs, counted, workspace).attach()
@@ -119,7 +119,8 @@ def count_pairs(
     Takes the keyword arguments of :func:`clean_ngrams`.
     """
     workspace = workspace or Workspace(ngrams.sparkSession)
-    return _counted(clean_ngrams(ngrams, stop_words, workspace=workspace, **cleaning), workspace, limits)[0]
+    cleaned = clean_ngrams(ngrams, stop_words, workspace=workspace, **cleaning)
+    return _counted(cleaned, workspace, limits, located=True)[0]
 
 
 def _scored(pair_counts: DataFrame, counted: dict[int, Marginal]) -> DataFrame:
@@ -163,7 +164,7 @@ def score_ngrams(
 ) -> DataFrame:
     """:func:`count_pairs` and :func:`score_pairs` in one, sharing all marginals.
 
-    Takes the keyword arguments of :func:`clean_ngrams`. ``split_size`` bounds the
+    The counts are read once here, so they are not stored by first word. Takes the keyword arguments of :func:`clean_ngrams`. ``split_size`` bounds the
     bytes of one split of the scan below ``ngrams``; a task counts several of them where
     there are more than the session has shuffle partitions and cores.
     """
