@@ -3,7 +3,9 @@
 import os
 import subprocess
 import sys
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from wordbond import (
@@ -294,3 +296,25 @@ def test_bucketed_tables_join_in_place(spark, tmp_path, plan_of):
         names = [t.name for t in spark.catalog.listTables() if t.name.startswith("wordbond_")]
         assert names
     assert not [t.name for t in spark.catalog.listTables() if t.name in names]
+
+
+def _encodings(path):
+    found = {}
+    for file in Path(path).rglob("*.parquet"):
+        for group in range((meta := pq.ParquetFile(file).metadata).num_row_groups):
+            for column in (meta.row_group(group).column(n) for n in range(meta.num_columns)):
+                found.setdefault(column.path_in_schema, set()).update(column.encodings)
+    return found
+
+
+def test_pairs_and_scores_are_stored_without_a_dictionary(spark, tmp_path):
+    lines = spark.createDataFrame([(f"a{chr(97 + i % 26)} b{chr(97 + i % 7)} 1990 {i + 1}",) for i in range(60)], "value string")
+    with Workspace(spark, str(tmp_path)) as workspace:
+        kept = collocations(
+            spark, lines, language="english", min_npmi=0.0, rel_min_npmi=0.0, ordered=False, workspace=workspace
+        )
+        assert kept.count()
+        tables = {name.split("-", 1)[1]: _encodings(f"{workspace.path}/{name}") for name in os.listdir(workspace.path)}
+        for name in ("pairs", "scores"):
+            assert {"w1", "w2"} <= set(tables[name])
+            assert not any("DICTIONARY" in kind for kinds in tables[name].values() for kind in kinds)

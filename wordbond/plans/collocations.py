@@ -96,7 +96,7 @@ def _counted(
     cleaned: DataFrame, workspace: Workspace, limits: JoinLimits, split_size: int | None = None, located: bool = False
 ) -> tuple[DataFrame, dict[int, Marginal]]:
     with bounded_splits(cleaned.sparkSession, split_size):  # the one scan of the input
-        pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs")
+        pairs = workspace.store(count_pairs_per_decade(cleaned), "pairs", dictionary=False)
     counted = marginals(pairs, workspace, limits=limits)
     if not located or counted[LEFT_LEVEL].size.bytes <= limits.broadcast_bytes:
         with_left = attach_left_marginal(pairs, counted)
@@ -199,7 +199,7 @@ def select_collocations(
         raise ValueError(f"total_scope must be one of {TOTAL_SCOPES}, not {total_scope!r}")
     workspace = workspace or Workspace(scores.sparkSession)
     if not stored:
-        scores = workspace.store(scores, "scores")
+        scores = workspace.store(scores, "scores", dictionary=False)
     totals, sizes = store_totals(
         scoped_totals(scores, total_scope, buckets), workspace, "npmi-totals", limits=limits
     )
